@@ -1,0 +1 @@
+"""bramble.streaming"""
