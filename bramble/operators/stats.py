@@ -133,38 +133,47 @@ def histogram(df: DataFrame, c: str, bins: int | str = "auto") -> DataFrame:
 
     Edges are ``linspace(min, max, nbins + 1)`` (``min - 0.5, max + 0.5`` for a
     constant column).  Every bin is half-open except the last, which is closed.
-    ``bins`` is an integer or ``"auto"``.  Output: ``bin int, bin_lo double,
-    bin_hi double, count bigint``.  One scalar-subquery pass for the range (and
-    quartiles for ``"auto"``) and one aggregate; at most ``nbins`` rows leave
-    each map task.
+    ``bins`` is an integer or ``"auto"`` (NumPy's rule).  Output: ``bin int,
+    bin_lo double, bin_hi double, count bigint``.
+
+    Plan: one global aggregate gives the range (and quartiles for ``"auto"``)
+    as a one-row frame; the bin list is derived from it; the data side reads
+    it once per row through a single scalar subquery and is reduced by a
+    grouped count (at most ``nbins`` rows leave each map task); the two small
+    sides are joined on the bin id.
     """
     integral = isinstance(df.schema[c].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
-    x = F.col(c).cast("double")
-    data = df.select(x.alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
-    stat_cols = [F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")]
+    data = df.select(F.col(c).cast("double").alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
+    stat_cols = [F.count(F.lit(1)).alias("n"), F.min("x").alias("lo0"), F.max("x").alias("hi0")]
     if bins == "auto":
         stat_cols.append(F.percentile("x", F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
-    stats = data.agg(F.struct(*stat_cols)).scalar()
-    lo0, hi0 = stats["lo"], stats["hi"]
-    const = lo0 == hi0
-    lo = F.when(const, lo0 - 0.5).otherwise(lo0)
-    hi = F.when(const, hi0 + 0.5).otherwise(hi0)
+    raw = data.agg(*stat_cols)
+    const = F.col("lo0") == F.col("hi0")
     if bins == "auto":
-        nb = F.when(const, F.lit(1)).otherwise(_auto_bin_count(stats["n"], lo0, hi0, stats["q"][0], stats["q"][1], integral))
+        nb = F.when(const, F.lit(1)).otherwise(
+            _auto_bin_count(F.col("n"), F.col("lo0"), F.col("hi0"), F.col("q")[0], F.col("q")[1], integral)
+        )
     else:
         nb = F.lit(int(bins))
-    step = (hi - lo) / nb
-
-    def edge(k: Column) -> Column:
-        return F.when(k >= nb, hi).otherwise(lo + k.cast("double") * step)
-
-    idx0 = F.floor((F.col("x") - lo) / (hi - lo) * nb).cast("int")
-    idx0 = F.least(F.greatest(idx0, F.lit(0)), nb - 1)
-    idx1 = F.when(F.col("x") < edge(idx0), idx0 - 1).otherwise(idx0)
-    idx = F.when((F.col("x") >= edge(idx1 + 1)) & (idx1 != nb - 1), idx1 + 1).otherwise(idx1)
-    counts = data.groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    # Every bin id 0..nbins-1, so empty bins appear with a zero count.
-    all_bins = df.sparkSession.range(1).select(F.explode(F.sequence(F.lit(0), nb - 1)).alias("bin"))
+    params = raw.select(
+        F.when(const, F.col("lo0") - 0.5).otherwise(F.col("lo0")).alias("lo"),
+        F.when(const, F.col("hi0") + 0.5).otherwise(F.col("hi0")).alias("hi"),
+        nb.cast("int").alias("nb"),
+    )
+
+    def edge(k: Column, p: str = "") -> Column:
+        lo, hi, n = F.col(f"{p}lo"), F.col(f"{p}hi"), F.col(f"{p}nb")
+        return F.when(k >= n, hi).otherwise(lo + k.cast("double") * ((hi - lo) / n))
+
+    p = "__p."
+    x = F.col("x")
+    withp = data.select("x", params.select(F.struct("lo", "hi", "nb")).scalar().alias("__p"))
+    lo, hi, n = F.col(p + "lo"), F.col(p + "hi"), F.col(p + "nb")
+    idx0 = F.least(F.greatest(F.floor((x - lo) / (hi - lo) * n).cast("int"), F.lit(0)), n - 1)
+    idx1 = F.when(x < edge(idx0, p), idx0 - 1).otherwise(idx0)
+    idx = F.when((x >= edge(idx1 + 1, p)) & (idx1 != n - 1), idx1 + 1).otherwise(idx1)
+    counts = withp.groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    all_bins = params.select("lo", "hi", "nb", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("bin"))
     out = all_bins.join(counts, "bin", "left")
     return out.select(
         F.col("bin").cast("int").alias("bin"),
@@ -185,36 +194,46 @@ def kde(df: DataFrame, c: str, grid: int = 200, cut: float = 0.0, bw_adjust: flo
     reduced to distinct values with counts (a distributed aggregate); each
     distinct value then adds its kernel to the ``grid`` points, and a grouped sum
     (partial on the map side, so each task emits at most ``grid`` rows) adds
-    them up.  Suited to discrete or pre-binned columns, where the distinct
-    values are few.  Output: ``point int, x double, density double``.
+    them up.  The bandwidth and range come from one global aggregate read once
+    per row through a scalar subquery.  Suited to discrete or pre-binned
+    columns, where the distinct values are few.
+    Output: ``point int, x double, density double``.
     """
-    x = F.col(c).cast("double")
-    data = df.select(x.alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    data = df.select(F.col(c).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
     st = data.agg(
-        F.struct(
-            F.count(F.lit(1)).cast("double").alias("n"),
-            F.stddev_samp("v").alias("sd"),
-            F.min("v").alias("lo"),
-            F.max("v").alias("hi"),
-        )
-    ).scalar()
-    bw = st["sd"] * F.pow(st["n"], F.lit(-0.2)) * F.lit(float(bw_adjust))
-    gmin = st["lo"] - F.lit(float(cut)) * bw
-    gmax = st["hi"] + F.lit(float(cut)) * bw
+        F.count(F.lit(1)).cast("double").alias("n"),
+        F.stddev_samp("v").alias("sd"),
+        F.min("v").alias("lo"),
+        F.max("v").alias("hi"),
+    )
+    bw = F.col("sd") * F.pow(F.col("n"), F.lit(-0.2)) * F.lit(float(bw_adjust))
+    params = st.select(
+        "n",
+        bw.alias("bw"),
+        (F.col("lo") - F.lit(float(cut)) * bw).alias("gmin"),
+        (F.col("hi") + F.lit(float(cut)) * bw).alias("gmax"),
+    )
     last = grid - 1
 
-    def grid_x(g: Column) -> Column:
+    def grid_x(g: Column, p: str = "") -> Column:
+        gmin, gmax = F.col(f"{p}gmin"), F.col(f"{p}gmax")
         return F.when(g == last, gmax).otherwise(gmin + g.cast("double") * ((gmax - gmin) / F.lit(float(last))))
 
     vc = data.groupBy("v").agg(F.count(F.lit(1)).cast("double").alias("w"))
-    pts = vc.select("v", "w", F.explode(F.sequence(F.lit(0), F.lit(last))).alias("point"))
-    z = (grid_x(F.col("point")) - F.col("v")) / bw
-    contrib = F.col("w") * F.exp(F.lit(-0.5) * z * z)
-    dens = pts.groupBy("point").agg(F.sum(contrib).alias("s"))
-    return dens.select(
+    pts = vc.select(
+        "v",
+        "w",
+        params.select(F.struct("bw", "gmin", "gmax")).scalar().alias("__p"),
+        F.explode(F.sequence(F.lit(0), F.lit(last))).alias("point"),
+    )
+    z = (grid_x(F.col("point"), "__p.") - F.col("v")) / F.col("__p.bw")
+    dens = pts.groupBy("point").agg(F.sum(F.col("w") * F.exp(F.lit(-0.5) * z * z)).alias("s"))
+    grid_pts = params.select("n", "bw", "gmin", "gmax", F.explode(F.sequence(F.lit(0), F.lit(last))).alias("point"))
+    out = grid_pts.join(dens, "point", "left")
+    return out.select(
         F.col("point").cast("int").alias("point"),
         grid_x(F.col("point")).alias("x"),
-        (F.col("s") / (st["n"] * bw * F.lit(math.sqrt(2.0 * math.pi)))).alias("density"),
+        (F.coalesce(F.col("s"), F.lit(0.0)) / (F.col("n") * F.col("bw") * F.lit(math.sqrt(2.0 * math.pi)))).alias("density"),
     )
 
 

@@ -34,3 +34,59 @@ def with_reviews(body: str, *extra_ctes: str) -> str:
         *extra_ctes,
     ]
     return "WITH " + ",\n".join(ctes) + "\n" + body
+
+
+COLS = [
+    "age",
+    "title",
+    "review_text",
+    "rating",
+    "recommended_ind",
+    "positive_feedback_count",
+    "division_name",
+    "department_name",
+    "class_name",
+]
+
+
+def select_with(source: str, **overrides: str) -> str:
+    """``SELECT`` every review column from ``source``, replacing some by expressions."""
+    exprs = [f"{overrides[c]} AS {c}" if c in overrides else c for c in COLS]
+    return f"SELECT {', '.join(exprs)} FROM {source}"
+
+
+def mode_sql(source: str, c: str) -> str:
+    """Scalar subquery: most frequent non-null value, ties to the smallest."""
+    return f"(SELECT {c} FROM {source} WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} ASC LIMIT 1)"
+
+
+def group_mode_ctes(prefix: str, source: str, c: str, by: str) -> list[str]:
+    """CTEs ``{prefix}_gm(by, fill)``: per-group mode of ``c``."""
+    return [
+        f"{prefix}_dc AS (SELECT {by}, {c}, count(*) AS n FROM {source} "
+        f"WHERE {c} IS NOT NULL AND {by} IS NOT NULL GROUP BY {by}, {c})",
+        f"{prefix}_gm AS (SELECT {by}, {c} AS fill FROM (SELECT *, row_number() OVER "
+        f"(PARTITION BY {by} ORDER BY n DESC, {c} ASC) AS rn FROM {prefix}_dc) t WHERE rn = 1)",
+    ]
+
+
+def group_fill_select(prefix: str, source: str, c: str, by: str) -> str:
+    exprs = [f"coalesce(s.{c}, g.fill) AS {c}" if x == c else f"s.{x}" for x in COLS]
+    return f"SELECT {', '.join(exprs)} FROM {source} s LEFT JOIN {prefix}_gm g ON s.{by} = g.{by}"
+
+
+def imputed_ctes(source: str = "cleaned") -> list[str]:
+    """The reference's imputation order (exact median), as CTEs ``s1`` .. ``imputed``."""
+    return [
+        "s1 AS ("
+        + select_with(source, age=f"coalesce(CAST(age AS DOUBLE), (SELECT quantile_cont(age, 0.5) FROM {source}))")
+        + ")",
+        "s2 AS (" + select_with("s1", title="coalesce(title, 'No Title')") + ")",
+        "s3 AS (" + select_with("s2", rating=f"coalesce(rating, {mode_sql('s2', 'rating')})") + ")",
+        "s4 AS (" + select_with("s3", division_name=f"coalesce(division_name, {mode_sql('s3', 'division_name')})") + ")",
+        *group_mode_ctes("s5", "s4", "department_name", "division_name"),
+        "s5 AS (" + group_fill_select("s5", "s4", "department_name", "division_name") + ")",
+        "imputed AS ("
+        + select_with("s5", department_name=f"coalesce(department_name, {mode_sql('s5', 'department_name')})")
+        + ")",
+    ]

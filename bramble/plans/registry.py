@@ -19,7 +19,7 @@ from ..operators import missing as N
 from ..operators import stats as A
 from ..presets import REVIEW as R
 from ..sources.reviews_raw import reviews_raw
-from .oracle_sql import with_reviews
+from .oracle_sql import COLS, group_fill_select, group_mode_ctes, imputed_ctes, mode_sql, select_with, with_reviews
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -164,3 +164,291 @@ def q_n1_raw(spark, d):
 @register("n1_missing_profile_cleaned", with_reviews(_profile_sql("cleaned")))
 def q_n1_clean(spark, d):
     return round_doubles(N.missing_profile(cleaned(spark, d)))
+
+
+def imputed(spark: SparkSession, sf_dir: str, median_method: str = "exact") -> DataFrame:
+    """Cleaned reviews after the reference's imputation plan (exact median by default).
+
+    The cleaned input feeds every fill statistic and the imputed output feeds
+    several aggregates of the query that uses it, so both are persisted once
+    (lost blocks are recomputed from lineage).
+    """
+    base = cleaned(spark, sf_dir).persist()
+    return N.impute(base, N.review_plan(median_method=median_method)).imputed.persist()
+
+
+# --------------------------------------------------------------------------- imputation
+
+_AGE_R = "round(age, 4)"
+
+
+@register(
+    "i1_impute_median_exact",
+    with_reviews(
+        select_with("raw_n", age="round(coalesce(CAST(age AS DOUBLE), (SELECT quantile_cont(age, 0.5) FROM raw_n)), 4)")
+    ),
+)
+def q_i1(spark, d):
+    return round_doubles(N.impute_median(raw_n(spark, d), R.age, method="exact"))
+
+
+@register("i2_impute_constant", with_reviews(select_with("raw_n", title="coalesce(title, 'No Title')")))
+def q_i2(spark, d):
+    return N.impute_constant(raw_n(spark, d), R.title, "No Title")
+
+
+@register("i3_impute_mode_rating", with_reviews(select_with("raw_n", rating=f"coalesce(rating, {mode_sql('raw_n', 'rating')})")))
+def q_i3_rating(spark, d):
+    return N.impute_mode(raw_n(spark, d), R.rating)
+
+
+@register(
+    "i3_impute_mode_division",
+    with_reviews(select_with("cleaned", division_name=f"coalesce(division_name, {mode_sql('cleaned', 'division_name')})")),
+)
+def q_i3_division(spark, d):
+    return N.impute_mode(cleaned(spark, d), R.division)
+
+
+@register(
+    "i4_impute_group_mode",
+    with_reviews(
+        group_fill_select("gm", "cleaned", "department_name", "division_name"),
+        *group_mode_ctes("gm", "cleaned", "department_name", "division_name"),
+    ),
+)
+def q_i4(spark, d):
+    return N.impute_group_mode(cleaned(spark, d), R.department, R.division)
+
+
+@register("i5_impute_recipe", with_reviews(select_with("imputed", age=_AGE_R), *imputed_ctes()))
+def q_i5(spark, d):
+    return round_doubles(imputed(spark, d))
+
+
+@register("n1_missing_profile_imputed", with_reviews(_profile_sql("imputed"), *imputed_ctes()))
+def q_n1_imputed(spark, d):
+    return round_doubles(N.missing_profile(imputed(spark, d)))
+
+
+# --------------------------------------------------------------------------- descriptive statistics
+
+_STRING_COLS = {"title", "review_text", "division_name", "department_name", "class_name"}
+
+
+def _describe_sql(source: str) -> str:
+    parts = []
+    for c in COLS:
+        if c in _STRING_COLS:
+            mean, sd = "CAST(NULL AS DOUBLE)", "CAST(NULL AS DOUBLE)"
+        else:
+            mean, sd = f"round(avg({c}), 4)", f"round(stddev_samp({c}), 4)"
+        parts.append(
+            f"SELECT '{c}' AS \"column\", CAST(count({c}) AS BIGINT) AS \"count\", {mean} AS \"mean\", {sd} AS stddev, "
+            f"CAST(min({c}) AS VARCHAR) AS \"min\", CAST(max({c}) AS VARCHAR) AS \"max\" FROM {source}"
+        )
+    return "\nUNION ALL ".join(parts)
+
+
+@register("a1_describe_raw", with_reviews(_describe_sql("raw_n")))
+def q_a1(spark, d):
+    return round_doubles(A.describe_all(raw_n(spark, d)))
+
+
+_NUMERIC = ["age", "rating", "recommended_ind", "positive_feedback_count"]
+
+
+def _summary_sql(source: str) -> str:
+    parts = [
+        f"SELECT '{c}' AS \"column\", CAST(count({c}) AS BIGINT) AS \"count\", round(avg({c}), 4) AS \"mean\", "
+        f"round(stddev_samp({c}), 4) AS std, round(CAST(min({c}) AS DOUBLE), 4) AS \"min\", "
+        f"round(quantile_cont({c}, 0.25), 4) AS p25, round(quantile_cont({c}, 0.5), 4) AS p50, "
+        f"round(quantile_cont({c}, 0.75), 4) AS p75, round(CAST(max({c}) AS DOUBLE), 4) AS \"max\" FROM {source}"
+        for c in _NUMERIC
+    ]
+    return "\nUNION ALL ".join(parts)
+
+
+@register("a2_summarize_imputed", with_reviews(_summary_sql("imputed"), *imputed_ctes()))
+def q_a2(spark, d):
+    return round_doubles(A.summarize(imputed(spark, d), _NUMERIC))
+
+
+def _histogram_sql(source: str, c: str) -> str:
+    edge = "CASE WHEN {k} >= nb THEN hi ELSE lo + CAST({k} AS DOUBLE) * ((hi - lo) / nb) END"
+    ctes = [
+        f"h AS (SELECT CAST({c} AS DOUBLE) AS x FROM {source} WHERE {c} IS NOT NULL AND NOT isnan(CAST({c} AS DOUBLE)))",
+        "st AS (SELECT count(*) AS n, min(x) AS lo0, max(x) AS hi0, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.75) AS q3 FROM h)",
+        "w AS (SELECT *, CASE WHEN lo0 = hi0 THEN lo0 - 0.5 ELSE lo0 END AS lo, CASE WHEN lo0 = hi0 THEN hi0 + 0.5 ELSE hi0 END AS hi, "
+        "(hi0 - lo0) / (log2(CAST(n AS DOUBLE)) + 1.0) AS sturges, 2.0 * (q3 - q1) * pow(CAST(n AS DOUBLE), -1.0 / 3.0) AS fd FROM st)",
+        "w2 AS (SELECT *, CASE WHEN fd > 0 THEN least(fd, sturges) ELSE sturges END AS width FROM w)",
+        "nbt AS (SELECT lo, hi, CASE WHEN lo0 = hi0 THEN 1 WHEN hi0 - lo0 > 0 AND width > 0 "
+        "THEN CAST(ceil((hi0 - lo0) / width) AS INTEGER) ELSE 1 END AS nb FROM w2)",
+        "i0 AS (SELECT x, lo, hi, nb, least(greatest(CAST(floor((x - lo) / (hi - lo) * nb) AS INTEGER), 0), nb - 1) AS i0 FROM h, nbt)",
+        f"i1 AS (SELECT *, CASE WHEN x < {edge.format(k='i0')} THEN i0 - 1 ELSE i0 END AS i1 FROM i0)",
+        f"i2 AS (SELECT *, CASE WHEN x >= {edge.format(k='(i1 + 1)')} AND i1 <> nb - 1 THEN i1 + 1 ELSE i1 END AS bin FROM i1)",
+        "cnt AS (SELECT bin, count(*) AS n FROM i2 GROUP BY bin)",
+        "bins AS (SELECT CAST(b.range AS INTEGER) AS bin, lo, hi, nb FROM nbt, range(nbt.nb) b)",
+    ]
+    body = (
+        f"SELECT b.bin, round({edge.format(k='b.bin')}, 4) AS bin_lo, round({edge.format(k='(b.bin + 1)')}, 4) AS bin_hi, "
+        "CAST(coalesce(c.n, 0) AS BIGINT) AS \"count\" FROM bins b LEFT JOIN cnt c ON b.bin = c.bin"
+    )
+    return ctes, body
+
+
+_H_CTES, _H_BODY = _histogram_sql("imputed", "age")
+
+
+@register("a3_histogram_age", with_reviews(_H_BODY, *imputed_ctes(), *_H_CTES))
+def q_a3(spark, d):
+    return round_doubles(A.histogram(imputed(spark, d), R.age, bins="auto"))
+
+
+_H10_CTES, _H10_BODY = _histogram_sql("cleaned", "positive_feedback_count")
+_H10_CTES = [c.replace("CASE WHEN lo0 = hi0 THEN 1 WHEN hi0 - lo0 > 0 AND width > 0 THEN CAST(ceil((hi0 - lo0) / width) AS INTEGER) ELSE 1 END", "10") for c in _H10_CTES]
+
+
+@register("a3_histogram_feedback_10_bins", with_reviews(_H10_BODY, *_H10_CTES))
+def q_a3_10(spark, d):
+    return round_doubles(A.histogram(cleaned(spark, d), R.feedback, bins=10))
+
+
+def _kde_sql(source: str, c: str, grid: int = 200) -> tuple[list[str], str]:
+    last = grid - 1
+    ctes = [
+        f"kv AS (SELECT CAST({c} AS DOUBLE) AS v FROM {source} WHERE {c} IS NOT NULL AND NOT isnan(CAST({c} AS DOUBLE)))",
+        "kst AS (SELECT CAST(count(*) AS DOUBLE) AS n, stddev_samp(v) AS sd, min(v) AS lo, max(v) AS hi FROM kv)",
+        "kbw AS (SELECT *, sd * pow(n, -0.2) AS bw FROM kst)",
+        f"kg AS (SELECT CAST(range AS INTEGER) AS point, CASE WHEN range = {last} THEN hi ELSE lo + CAST(range AS DOUBLE) * ((hi - lo) / {float(last)}) END AS x, n, bw FROM kbw, range({grid}))",
+        "kvc AS (SELECT v, CAST(count(*) AS DOUBLE) AS w FROM kv GROUP BY v)",
+    ]
+    body = (
+        "SELECT point, round(x, 4) AS x, round(sum(w * exp(-0.5 * ((x - v) / bw) * ((x - v) / bw))) / (n * bw * sqrt(2.0 * pi())), 4) AS density "
+        "FROM kg, kvc GROUP BY point, x, n, bw"
+    )
+    return ctes, body
+
+
+_K_CTES, _K_BODY = _kde_sql("imputed", "age")
+
+
+@register("a4_kde_age", with_reviews(_K_BODY, *imputed_ctes(), *_K_CTES))
+def q_a4(spark, d):
+    return round_doubles(A.kde(imputed(spark, d), R.age))
+
+
+def _value_counts_sql(source: str, c: str) -> str:
+    return f'SELECT {c}, CAST(count(*) AS BIGINT) AS "count" FROM {source} WHERE {c} IS NOT NULL GROUP BY {c}'
+
+
+@register("a5_value_counts_rating", with_reviews(_value_counts_sql("imputed", "rating"), *imputed_ctes()))
+def q_a5(spark, d):
+    return A.value_counts(imputed(spark, d), R.rating, order="value")
+
+
+@register("a6_value_counts_division", with_reviews(_value_counts_sql("imputed", "division_name"), *imputed_ctes()))
+def q_a6_div(spark, d):
+    return A.value_counts(imputed(spark, d), R.division, order="count")
+
+
+@register("a6_value_counts_department", with_reviews(_value_counts_sql("imputed", "department_name"), *imputed_ctes()))
+def q_a6_dept(spark, d):
+    return A.value_counts(imputed(spark, d), R.department, order="count")
+
+
+@register("a6_value_counts_class", with_reviews(_value_counts_sql("imputed", "class_name"), *imputed_ctes()))
+def q_a6_class(spark, d):
+    return A.value_counts(imputed(spark, d), R.klass, order="count")
+
+
+def _box_sql(source: str, by: str, y: str) -> tuple[list[str], str]:
+    ctes = [
+        f"bx AS (SELECT {by} AS g, CAST({y} AS DOUBLE) AS y FROM {source} WHERE {by} IS NOT NULL AND {y} IS NOT NULL)",
+        "bq AS (SELECT g, count(*) AS n, quantile_cont(y, 0.25) AS q1, quantile_cont(y, 0.5) AS med, quantile_cont(y, 0.75) AS q3 FROM bx GROUP BY g)",
+        "bf AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo_lim, q3 + 1.5 * (q3 - q1) AS hi_lim FROM bq)",
+    ]
+    body = (
+        f"SELECT f.g AS {by}, CAST(f.n AS BIGINT) AS n, round(f.q1, 4) AS q1, round(f.med, 4) AS median, round(f.q3, 4) AS q3, "
+        "round(least(f.q1, min(CASE WHEN x.y >= f.lo_lim THEN x.y END)), 4) AS whisker_lo, "
+        "round(greatest(f.q3, max(CASE WHEN x.y <= f.hi_lim THEN x.y END)), 4) AS whisker_hi, "
+        "CAST(count(*) FILTER (WHERE x.y < f.lo_lim OR x.y > f.hi_lim) AS BIGINT) AS n_outliers "
+        "FROM bf f JOIN bx x ON f.g = x.g GROUP BY f.g, f.n, f.q1, f.med, f.q3"
+    )
+    return ctes, body
+
+
+_B8_CTES, _B8_BODY = _box_sql("imputed", "division_name", "rating")
+
+
+@register("a8_box_rating_by_division", with_reviews(_B8_BODY, *imputed_ctes(), *_B8_CTES))
+def q_a8(spark, d):
+    return round_doubles(A.box_stats(imputed(spark, d), R.division, R.rating))
+
+
+_B9_CTES, _B9_BODY = _box_sql("imputed", "rating", "positive_feedback_count")
+
+
+@register("a9_box_feedback_by_rating", with_reviews(_B9_BODY, *imputed_ctes(), *_B9_CTES))
+def q_a9(spark, d):
+    return round_doubles(A.box_stats(imputed(spark, d), R.rating, R.feedback))
+
+
+@register(
+    "a10_group_counts_division_department",
+    with_reviews(
+        'SELECT division_name, department_name, CAST(count(*) AS BIGINT) AS "count" FROM cleaned GROUP BY division_name, department_name'
+    ),
+)
+def q_a10(spark, d):
+    return A.group_counts(cleaned(spark, d), [R.division, R.department])
+
+
+@register(
+    "a11_group_means_by_division",
+    with_reviews(
+        "SELECT division_name, "
+        + ", ".join(f"round(avg(CAST({c} AS DOUBLE)), 4) AS avg_{c}" for c in _NUMERIC)
+        + " FROM imputed GROUP BY division_name",
+        *imputed_ctes(),
+    ),
+)
+def q_a11(spark, d):
+    return round_doubles(A.group_means(imputed(spark, d), R.division, _NUMERIC))
+
+
+_DIVISIONS = ["General", "General Petite", "Initmates", "Trend"]
+
+
+@register(
+    "a13_pivot_department_by_division",
+    with_reviews(
+        "SELECT department_name, "
+        + ", ".join(
+            f"CASE WHEN count(*) FILTER (WHERE division_name = '{v}') = 0 THEN NULL "
+            f"ELSE CAST(count(*) FILTER (WHERE division_name = '{v}') AS BIGINT) END AS \"{v}\""
+            for v in _DIVISIONS
+        )
+        + " FROM cleaned WHERE department_name IS NOT NULL AND division_name IS NOT NULL GROUP BY department_name"
+    ),
+)
+def q_a13(spark, d):
+    return A.pivot_counts(cleaned(spark, d), R.department, R.division, values=_DIVISIONS)
+
+
+@register(
+    "s4_preview_first_10",
+    with_reviews(
+        "SELECT * FROM cleaned ORDER BY " + ", ".join(f"{c} ASC NULLS FIRST" for c in COLS) + " LIMIT 10"
+    ),
+)
+def q_s4(spark, d):
+    return A.preview(cleaned(spark, d), 10)
+
+
+@register(
+    "s5_shape_cleaned",
+    with_reviews("SELECT CAST(count(*) AS BIGINT) AS n_rows, 9 AS n_cols FROM cleaned"),
+)
+def q_s5(spark, d):
+    return A.shape(cleaned(spark, d))

@@ -20,6 +20,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Generated methods above HotSpot's 8000-byte JIT limit would run interpreted;
+        # fall back to per-operator code for those plans instead (3-4x faster here).
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.driver.memory", os.environ.get("BRAMBLE_DRIVER_MEMORY", "16g"))
         .getOrCreate()
     )
