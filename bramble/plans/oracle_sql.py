@@ -90,3 +90,74 @@ def imputed_ctes(source: str = "cleaned") -> list[str]:
         + select_with("s5", department_name=f"coalesce(department_name, {mode_sql('s5', 'department_name')})")
         + ")",
     ]
+
+
+def _dlit(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    if isinstance(v, float):
+        return repr(v) + "e0" if "e" not in repr(v) else repr(v)
+    return str(v)
+
+
+def generator_sql(id_expr: str, source: str, seed: int = 42) -> str:
+    """DuckDB statement of the review generator, one review per row of ``source``."""
+    from ..functions.random_cols import cumulative
+    from ..sources import generator as G
+
+    def u(tag: str) -> str:
+        return f"(CAST('0x' || substr(md5('{seed}:{tag}:' || rid), 1, 8) AS BIGINT) / 4294967296e0)"
+
+    def choice(tag: str, values) -> str:
+        lst = "[" + ", ".join(_dlit(v) for v in values) + "]"
+        return f"({lst})[CAST(floor({u(tag)} * {len(values)}) + 1 AS INTEGER)]"
+
+    def rint(tag: str, lo: int, hi: int) -> str:
+        return f"CAST({lo} + floor({u(tag)} * ({hi} - {lo} + 1)) AS INTEGER)"
+
+    cum = cumulative(G.RATING_WEIGHTS)
+    rating = "CASE " + " ".join(
+        f"WHEN {u('rating')} < {_dlit(c)} THEN {v}" for v, c in zip(G.RATINGS[:-1], cum[:-1])
+    ) + f" ELSE {G.RATINGS[-1]} END"
+
+    def bern(p: float) -> str:
+        return f"CASE WHEN {u('recommended')} < {_dlit(cumulative([1.0 - p, p])[0])} THEN 0 ELSE 1 END"
+
+    dept = (
+        "CASE division0 WHEN 'Initmates' THEN 'Intimate' WHEN 'Trend' THEN 'Trend' ELSE "
+        + choice("department", G.OTHER_DEPARTMENTS)
+        + " END"
+    )
+    klass = "CASE department0 " + " ".join(
+        f"WHEN {_dlit(k)} THEN " + (choice("class", v) if len(v) > 1 else _dlit(v[0]))
+        for k, v in G.CLASS_BY_DEPARTMENT.items()
+    ) + f" ELSE {_dlit(G.OTHER_CLASSES[0])} END"
+    stage1 = (
+        f"SELECT {id_expr} AS rid, {rint('age', *G.AGE_RANGE)} AS age0, {choice('product', G.PRODUCTS)} AS product0, "
+        f"{choice('division', G.DIVISIONS)} AS division0, CAST({rating} AS INTEGER) AS rating0 FROM {source}"
+    )
+    stage2 = f"SELECT *, {dept} AS department0 FROM g1"
+    title = f"replace({choice('title', G.TITLE_TEMPLATES)}, '{{product}}', product0)"
+    text = f"replace({choice('text', G.TEXT_TEMPLATES)}, '{{product}}', product0)"
+    rec = (
+        f"CASE WHEN rating0 >= 4 THEN {bern(G.P_RECOMMENDED_HIGH)} WHEN rating0 = 3 THEN {bern(G.P_RECOMMENDED_MID)} "
+        f"ELSE {bern(G.P_RECOMMENDED_LOW)} END"
+    )
+    fb = (
+        f"CASE WHEN rating0 >= 4 THEN {rint('feedback', 0, G.FEEDBACK_MAX_HIGH)} "
+        f"ELSE {rint('feedback', 0, G.FEEDBACK_MAX_LOW)} END"
+    )
+
+    def nul(expr: str, tag: str, rate: float) -> str:
+        return f"CASE WHEN {u(tag)} < {_dlit(float(rate))} THEN NULL ELSE {expr} END"
+
+    final = (
+        "SELECT rid AS review_id, "
+        f"CAST({nul('age0', 'null_age', G.NULL_RATES['age'])} AS INTEGER) AS \"Age\", "
+        f"{nul(title, 'null_title', G.NULL_RATES['title'])} AS \"Title\", {text} AS \"Review_Text\", "
+        f"CAST({nul('rating0', 'null_rating', G.NULL_RATES['rating'])} AS INTEGER) AS \"Rating\", "
+        f"CAST({rec} AS INTEGER) AS \"Recommended_IND\", CAST({fb} AS INTEGER) AS \"Positive_Feedback_Count\", "
+        f"{nul('division0', 'null_division', G.NULL_RATES['division'])} AS \"Division_Name\", "
+        f"department0 AS \"Department_Name\", {klass} AS \"Class_Name\" FROM g2"
+    )
+    return f"WITH g1 AS ({stage1}), g2 AS ({stage2})\n{final}"
