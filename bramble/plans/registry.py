@@ -425,3 +425,226 @@ def q_s1_shares(spark, d):
     vc = gen.groupBy(F.col("Rating").alias("rating")).agg(F.count(F.lit(1)).alias("count"))
     total = gen.agg(F.count(F.lit(1)).alias("n")).scalar()
     return round_doubles(vc.select("rating", "count", (F.col("count") / total).alias("share")))
+
+# --------------------------------------------------------------------------- feature preparation and models
+
+from pyspark.ml import Pipeline  # noqa: E402
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+
+from ..operators import features as FE  # noqa: E402
+from ..operators import metrics as M  # noqa: E402
+from ..operators import models as MO  # noqa: E402
+from ..operators.joins import lookup_join  # noqa: E402
+
+ML_COLS = ["age", "rating", "recommended_ind", "positive_feedback_count", "division_name", "department_name", "class_name"]
+CATS = ["division_name", "department_name", "class_name"]
+REG_NUMS = ["age", "recommended_ind", "positive_feedback_count"]
+CLU_NUMS = ["age", "rating", "recommended_ind", "positive_feedback_count"]
+CLS_NUMS = ["age", "rating", "positive_feedback_count"]
+
+ML_CTE = "ml AS (SELECT " + ", ".join(ML_COLS) + " FROM imputed)"
+SPLIT_CTE = (
+    "mls AS (SELECT *, CASE WHEN CAST('0x' || substr(md5('42|' || concat_ws('|', "
+    "coalesce(printf('%.6f', age), '~'), coalesce(CAST(rating AS VARCHAR), '~'), coalesce(CAST(recommended_ind AS VARCHAR), '~'), "
+    "coalesce(CAST(positive_feedback_count AS VARCHAR), '~'), coalesce(division_name, '~'), coalesce(department_name, '~'), "
+    "coalesce(class_name, '~'))), 1, 8) AS BIGINT) % 1000 < 800 THEN 'train' ELSE 'test' END AS split FROM ml)"
+)
+
+
+def ml_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imputed(spark, sf_dir).select(*ML_COLS)
+
+
+def split_frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    train, test = FE.hash_split(ml_frame(spark, sf_dir), (0.8, 0.2), seed=42)
+    return train, test
+
+
+def _index_sql(c: str) -> str:
+    return (
+        f"SELECT '{c}' AS \"column\", {c} AS label, CAST(row_number() OVER (ORDER BY count(*) DESC, {c} ASC) - 1 AS INTEGER) AS label_index, "
+        f"CAST(count(*) AS BIGINT) AS n_rows FROM imputed GROUP BY {c}"
+    )
+
+
+@register("m1_string_index", with_reviews("\nUNION ALL ".join(_index_sql(c) for c in CATS), *imputed_ctes()))
+def q_m1(spark, d):
+    ml = ml_frame(spark, d)
+    out = FE.index_strings(CATS).fit(ml).transform(ml)
+    parts = [
+        out.groupBy(F.lit(c).alias("column"), F.col(c).alias("label"), F.col(c + FE.IDX).cast("int").alias("label_index")).agg(
+            F.count(F.lit(1)).alias("n_rows")
+        )
+        for c in CATS
+    ]
+    res = parts[0]
+    for p in parts[1:]:
+        res = res.unionByName(p)
+    return res
+
+
+def _onehot_sql(c: str) -> str:
+    return (
+        f"SELECT '{c}' AS \"column\", {c} AS label, CAST(row_number() OVER (ORDER BY count(*) DESC, {c} ASC) - 1 AS INTEGER) AS hot_slot, "
+        f"CAST(count(*) OVER () AS INTEGER) AS vec_size, CAST(count(*) AS BIGINT) AS n_rows FROM imputed GROUP BY {c}"
+    )
+
+
+@register("m2_one_hot", with_reviews("\nUNION ALL ".join(_onehot_sql(c) for c in CATS), *imputed_ctes()))
+def q_m2(spark, d):
+    ml = ml_frame(spark, d)
+    out = Pipeline(stages=[FE.index_strings(CATS), FE.one_hot(CATS)]).fit(ml).transform(ml)
+    parts = []
+    for c in CATS:
+        arr = vector_to_array(F.col(c + FE.VEC))
+        parts.append(
+            out.groupBy(
+                F.lit(c).alias("column"),
+                F.col(c).alias("label"),
+                (F.array_position(arr, 1.0) - 1).cast("int").alias("hot_slot"),
+                F.size(arr).cast("int").alias("vec_size"),
+            ).agg(F.count(F.lit(1)).alias("n_rows"))
+        )
+    res = parts[0]
+    for p in parts[1:]:
+        res = res.unionByName(p)
+    return res
+
+
+@register(
+    "m3_hash_split",
+    with_reviews("SELECT " + ", ".join(c if c != "age" else "round(age, 4) AS age" for c in ML_COLS) + ", split FROM mls",
+                 *imputed_ctes(), ML_CTE, SPLIT_CTE),
+)
+def q_m3(spark, d):
+    return round_doubles(FE.with_split_label(ml_frame(spark, d), (0.8, 0.2), seed=42))
+
+
+@register(
+    "m8_regression_metrics_group_mean_rule",
+    with_reviews(
+        "SELECT CAST(count(*) AS BIGINT) AS n, round(sqrt(avg((t.rating - m.pred) * (t.rating - m.pred))), 4) AS rmse, "
+        "round(avg(abs(t.rating - m.pred)), 4) AS mae, "
+        "round(1 - sum((t.rating - m.pred) * (t.rating - m.pred)) / (var_samp(CAST(t.rating AS DOUBLE)) * (count(*) - 1)), 4) AS r2 "
+        "FROM mls t JOIN (SELECT division_name, avg(CAST(rating AS DOUBLE)) AS pred FROM mls WHERE split = 'train' GROUP BY division_name) m "
+        "ON t.division_name = m.division_name WHERE t.split = 'test'",
+        *imputed_ctes(), ML_CTE, SPLIT_CTE,
+    ),
+)
+def q_m8(spark, d):
+    train, test = split_frames(spark, d)
+    means = train.groupBy(R.division).agg(F.avg(F.col(R.rating).cast("double")).alias("prediction"))
+    pred = lookup_join(test, means, on=R.division, how="inner")
+    return round_doubles(M.regression_metrics(pred, R.rating, "prediction"))
+
+
+_RULE = "CASE WHEN rating >= 4 THEN 1.0 ELSE 0.0 END"
+
+
+def rule_predictions(spark: SparkSession, d: str) -> DataFrame:
+    """A fixed rule (recommend when rating >= 4) on the test split: checks the metric operators."""
+    _, test = split_frames(spark, d)
+    return test.withColumn("prediction", F.when(F.col(R.rating) >= 4, F.lit(1.0)).otherwise(F.lit(0.0)))
+
+
+@register(
+    "m12_confusion_matrix_rule",
+    with_reviews(
+        f"SELECT recommended_ind, CAST(count(*) FILTER (WHERE {_RULE} = 0.0) AS BIGINT) AS pred_0, "
+        f"CAST(count(*) FILTER (WHERE {_RULE} = 1.0) AS BIGINT) AS pred_1 FROM mls WHERE split = 'test' GROUP BY recommended_ind",
+        *imputed_ctes(), ML_CTE, SPLIT_CTE,
+    ),
+)
+def q_m12(spark, d):
+    return M.confusion_matrix(rule_predictions(spark, d), R.recommended, "prediction", labels=[0.0, 1.0])
+
+
+@register(
+    "m15_classification_metrics_rule",
+    with_reviews(
+        """SELECT CAST(sum(n_actual) AS BIGINT) AS n, round(sum(tp) / sum(n_actual), 4) AS accuracy,
+       round(sum(CASE WHEN prec + rec > 0 THEN 2 * prec * rec / (prec + rec) ELSE 0 END * n_actual) / sum(n_actual), 4) AS f1
+FROM (SELECT a.label, a.n_actual, a.tp, CASE WHEN coalesce(p.n_pred, 0) > 0 THEN a.tp / p.n_pred ELSE 0.0 END AS prec,
+             a.tp / a.n_actual AS rec
+      FROM (SELECT CAST(recommended_ind AS DOUBLE) AS label, count(*) AS n_actual,
+                   sum(CASE WHEN CAST(recommended_ind AS DOUBLE) = pr THEN 1 ELSE 0 END) AS tp
+            FROM (SELECT *, """ + _RULE + """ AS pr FROM mls WHERE split = 'test') x GROUP BY 1) a
+      LEFT JOIN (SELECT """ + _RULE + """ AS label, count(*) AS n_pred FROM mls WHERE split = 'test' GROUP BY 1) p
+      ON a.label = p.label) per""",
+        *imputed_ctes(), ML_CTE, SPLIT_CTE,
+    ),
+)
+def q_m15(spark, d):
+    return round_doubles(M.classification_metrics(rule_predictions(spark, d), R.recommended, "prediction"))
+
+
+# Fitted models: SQL cannot state these, so the driver checks row counts only.
+
+
+@register("m6_linear_regression_predictions")
+def q_m6(spark, d):
+    train, test = split_frames(spark, d)
+    res = MO.fit_regression(train, test, REG_NUMS, CATS, label=R.rating)
+    return round_doubles(M.with_residual(res.predictions.select(*ML_COLS, "prediction"), R.rating, "prediction"))
+
+
+@register("m7_regression_coefficients")
+def q_m7(spark, d):
+    train, test = split_frames(spark, d)
+    return round_doubles(MO.coefficients(MO.fit_regression(train, test, REG_NUMS, CATS, label=R.rating)))
+
+
+@register("m8_regression_metrics_linear_model")
+def q_m8_lr(spark, d):
+    train, test = split_frames(spark, d)
+    return round_doubles(MO.fit_regression(train, test, REG_NUMS, CATS, label=R.rating).metrics)
+
+
+@register("m9_kmeans_sweep")
+def q_m9(spark, d):
+    return round_doubles(MO.kmeans_sweep(ml_frame(spark, d), CLU_NUMS, CATS, ks=(2, 3, 4, 5), seed=42).table)
+
+
+def _k3(spark, d):
+    return MO.kmeans_sweep(ml_frame(spark, d), CLU_NUMS, CATS, ks=(3,), seed=42)
+
+
+@register("m10_kmeans_assign_k3")
+def q_m10(spark, d):
+    return MO.kmeans_assign(_k3(spark, d), 3).select(*ML_COLS, F.col("prediction").alias("cluster"))
+
+
+@register("m11_cluster_profile")
+def q_m11(spark, d):
+    return round_doubles(MO.cluster_profile(MO.kmeans_assign(_k3(spark, d), 3), CLU_NUMS))
+
+
+@register("m11_division_by_cluster")
+def q_m11_div(spark, d):
+    return MO.cluster_by_group(MO.kmeans_assign(_k3(spark, d), 3), R.division, 3)
+
+
+def _forest(spark, d):
+    train, test = split_frames(spark, d)
+    return MO.fit_classifier(train, test, CLS_NUMS, CATS, label=R.recommended, num_trees=10, seed=42)
+
+
+@register("m13_random_forest_predictions")
+def q_m13(spark, d):
+    return _forest(spark, d).predictions.select(*ML_COLS, "prediction")
+
+
+@register("m14_feature_importance")
+def q_m14(spark, d):
+    return round_doubles(MO.feature_importance(_forest(spark, d), CLS_NUMS + [c + FE.VEC for c in CATS]))
+
+
+@register("m15_classification_metrics_forest")
+def q_m15_rf(spark, d):
+    return round_doubles(_forest(spark, d).metrics)
+
+
+@register("m16_probability_sample")
+def q_m16(spark, d):
+    pred = MO.vector_as_text(_forest(spark, d).predictions, "probability")
+    return MO.sample_predictions(pred, 10, ML_COLS, [R.recommended, "prediction", "probability_text"])
