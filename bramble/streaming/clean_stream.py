@@ -1,0 +1,26 @@
+"""The cleaning recipe on a stream.
+
+The reference is batch-only; the same cleaning operator applies unchanged to a
+streaming DataFrame (names, validity filters), and duplicate removal becomes
+Structured Streaming's stateful de-duplication.  With an event-time column and
+a watermark, the de-duplication state is bounded (``dropDuplicatesWithinWatermark``);
+without one, the state keeps every distinct row seen.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from ..operators import clean as C
+
+
+def clean_stream(stream: DataFrame, event_time: str | None = None, watermark: str = "1 hour") -> DataFrame:
+    """C5 for ``readStream`` input: normalise names, de-duplicate, apply the rules."""
+    df = C.normalize_columns(stream)
+    if event_time is not None:
+        df = df.withWatermark(C.normalized_name(event_time), watermark).dropDuplicatesWithinWatermark()
+    else:
+        df = df.dropDuplicates()
+    for rule in C.review_rules():
+        df = df.filter(rule.predicate)
+    return df
