@@ -3,6 +3,9 @@
 Every fill value is computed on the executors and reaches the filled column
 either as a scalar subquery (one value for the whole table) or through a
 size-checked lookup join (one value per group).  Nothing is collected.
+A one-value statistic is materialised (checkpointed) before it is read as a
+scalar subquery, so the filled frame's plan does not nest the whole upstream
+plan once per step, and a lost executor does not recompute it.
 
 Mode semantics (fixed here, arbitrary in the reference): nulls are not a
 candidate value, the most frequent value wins, ties go to the smallest value.
@@ -19,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..presets import REVIEW
-from .joins import lookup_join
+from .joins import lookup_join, materialize
 
 FLOATING = (T.FloatType, T.DoubleType)
 
@@ -63,7 +66,7 @@ def missing_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
 
 
 def median_value(df: DataFrame, c: str, method: str = "approx", rel_err: float = 0.01) -> Column:
-    """The median of ``c`` as a scalar-subquery column.
+    """The median of ``c`` as a scalar-subquery column (computed now, read lazily).
 
     ``approx``: the bounded quantile sketch with relative rank error ``rel_err``
     (the reference's ``approxQuantile(c, [0.5], 0.01)``; returns an actual value).
@@ -76,7 +79,7 @@ def median_value(df: DataFrame, c: str, method: str = "approx", rel_err: float =
         stat = F.percentile(x, F.lit(0.5))
     else:
         raise ValueError("method must be 'approx' or 'exact'")
-    return df.agg(stat.cast("double").alias("median")).scalar()
+    return materialize(df.agg(stat.cast("double").alias("median"))).scalar()
 
 
 def _value_counts(df: DataFrame, c: str, by: Sequence[str] = ()) -> DataFrame:
@@ -96,7 +99,7 @@ def mode_value(df: DataFrame, c: str) -> Column:
     global minimum over the distinct values, which carries one row per map
     task to the final step.
     """
-    return _value_counts(df, c).agg(_best(c).alias("mode")).scalar()
+    return materialize(_value_counts(df, c).agg(_best(c).alias("mode"))).scalar()
 
 
 def group_modes(df: DataFrame, c: str, by: Sequence[str] | str) -> DataFrame:

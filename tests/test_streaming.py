@@ -1,0 +1,19 @@
+from bramble.operators import clean as C
+from bramble.sources.reviews_raw import reviews_raw
+from bramble.streaming.clean_stream import clean_stream
+
+
+def test_stream_clean_equals_batch_clean(spark, sf_small, tmp_path):
+    raw = reviews_raw(spark, sf_small)
+    src = str(tmp_path / "raw")
+    raw.write.parquet(src)
+    stream = spark.readStream.schema(raw.schema).parquet(src)
+    q = clean_stream(stream).writeStream.format("memory").queryName("cleaned_stream").outputMode("append").start()
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = spark.table("cleaned_stream")
+    want = C.clean(raw)
+    assert got.count() == want.count() == 5199
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
