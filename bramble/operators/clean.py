@@ -119,9 +119,27 @@ def clean_report(df: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     the distinct rows (each carrying its copy count) yields every step's count.
     Output: ``step_no int, step string, rows_in bigint, rows_out bigint, dropped bigint``.
     """
+    return clean_with_report(df, rules)[1]
+
+
+def clean_with_report(df: DataFrame, rules: list[Rule] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """C5 and C6 from one duplicate-removal shuffle.
+
+    Returns ``(cleaned, report, distinct)``: ``distinct`` holds every distinct
+    normalised row with its copy count (``__copies``); the cleaned rows and
+    the per-step report are both read from it, so the raw table is shuffled
+    once instead of twice.  Persist ``distinct`` when both outputs are used.
+    """
     df = normalize_columns(df)
     rules = rules if rules is not None else review_rules()
     distinct = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__copies"))
+    cleaned = distinct
+    for rule in rules:
+        cleaned = cleaned.filter(rule.predicate)
+    return cleaned.drop("__copies"), _report_from_distinct(distinct, rules), distinct
+
+
+def _report_from_distinct(distinct: DataFrame, rules: list[Rule]) -> DataFrame:
     passed = F.lit(True)
     aggs = [F.sum("__copies").alias("c0"), F.count(F.lit(1)).alias("c1")]
     for i, rule in enumerate(rules):

@@ -140,3 +140,52 @@ def source_of(slot_name: str, inputs: Sequence[str]) -> str:
         if slot_name == c or slot_name.startswith(c + "_") or slot_name == base:
             return base
     return best
+
+
+def weighted_distinct(df: DataFrame, cols: Sequence[str], weight: str = "weight") -> DataFrame:
+    """Distinct rows of ``cols`` with their multiplicity as a double ``weight``.
+
+    For discrete feature spaces the distinct rows are bounded by the domain,
+    not by the row count, so a model fitted on them (with ``weightCol``) does
+    one pass over the data instead of one per iteration.  Weighted least
+    squares on this table has exactly the normal equations of the full table;
+    k-means has the same objective.  The aggregate is combined map-side, so a
+    hot feature row costs one row per map task.
+    """
+    return df.groupBy(*cols).agg(F.count(F.lit(1)).cast("double").alias(weight))
+
+
+def index_from_weights(points: DataFrame, cols: Sequence[str], weight: str = "weight", handle_invalid: str = "keep"):
+    """M1 on a weighted table: labels ordered by total weight desc, then label.
+
+    Returns one fitted ``StringIndexerModel`` per column.
+
+    Gives the same label order as :func:`index_strings` fitted on the
+    unweighted rows, without another pass over them.  Only the label lists
+    (bounded by the distinct labels) reach the driver.
+    """
+    from pyspark.ml.feature import StringIndexerModel
+
+    stacked = None
+    for c in cols:
+        part = points.groupBy(F.lit(c).alias("__c"), F.col(c).cast("string").alias("__v")).agg(F.sum(weight).alias("__w"))
+        stacked = part if stacked is None else stacked.unionByName(part)
+    rows = stacked.filter(F.col("__v").isNotNull()).collect()
+    labels = {c: [] for c in cols}
+    for r in sorted(rows, key=lambda r: (r["__c"], -r["__w"], r["__v"])):
+        labels[r["__c"]].append(r["__v"])
+    # One single-column model per input: PySpark pads ragged multi-column label
+    # arrays with nulls.
+    return [
+        StringIndexerModel.from_labels(labels[c], inputCol=c, outputCol=c + IDX, handleInvalid=handle_invalid) for c in cols
+    ]
+
+
+def fit_weighted_preparation(points: DataFrame, nums: Sequence[str], cats: Sequence[str], out: str = "features", weight: str = "weight"):
+    """M5 on a weighted table: the fitted indexer -> encoder -> assembler pipeline."""
+    from pyspark.ml import PipelineModel
+
+    indexers = index_from_weights(points, cats, weight)
+    indexed = PipelineModel(stages=indexers).transform(points)
+    encoder = one_hot(cats).fit(indexed)
+    return PipelineModel(stages=[*indexers, encoder, assemble(nums, cats, out)])

@@ -57,24 +57,37 @@ def fit_regression(
     label: str = "rating",
     solver: str = "auto",
     reg_param: float = 0.0,
+    compress: bool = True,
 ) -> RegressionResult:
     """M6-M8: linear regression of ``label`` on numeric and one-hot features.
 
-    The preparation pipeline is fitted on the training split only (unseen
-    test labels go to the indexer's extra bucket).
+    The preparation is fitted on the training split only (unseen test labels
+    go to the indexer's extra bucket).  With ``compress`` (default) the fit
+    runs on the training rows' distinct (features, label) combinations with
+    their counts as weights: the same normal equations, so the same
+    coefficients, from one pass over the data.
     """
-    pipe = Pipeline(
-        stages=[
-            *FE.feature_pipeline(nums, cats).getStages(),
-            LinearRegression(featuresCol="features", labelCol=label, solver=solver, regParam=reg_param),
-        ]
-    )
-    model = pipe.fit(train)
+    spark = train.sparkSession
+    cols = list(dict.fromkeys([*nums, *cats, label]))
+    if compress:
+        points = FE.weighted_distinct(train, cols).persist()
+        prep = FE.fit_weighted_preparation(points, nums, cats)
+        lr = LinearRegression(featuresCol="features", labelCol=label, solver=solver, regParam=reg_param, weightCol="weight")
+        lr_model = lr.fit(prep.transform(points))
+        model = PipelineModel(stages=[*prep.stages, lr_model])
+    else:
+        pipe = Pipeline(
+            stages=[
+                *FE.feature_pipeline(nums, cats).getStages(),
+                LinearRegression(featuresCol="features", labelCol=label, solver=solver, regParam=reg_param),
+            ]
+        )
+        model = pipe.fit(train)
+        lr_model = model.stages[-1]
     pred = model.transform(test)
-    lr = model.stages[-1]
-    names = FE.vector_names(model.transform(train.limit(0)), "features")
-    coefs = _names_frame(train.sparkSession, names, lr.coefficients.toArray().tolist(), "coefficient")
-    return RegressionResult(model, pred, regression_metrics(pred, label, "prediction"), coefs, float(lr.intercept))
+    names = FE.vector_names(model.transform(test.limit(0)), "features")
+    coefs = _names_frame(spark, names, lr_model.coefficients.toArray().tolist(), "coefficient")
+    return RegressionResult(model, pred, regression_metrics(pred, label, "prediction"), coefs, float(lr_model.intercept))
 
 
 def coefficients(result: RegressionResult) -> DataFrame:
@@ -90,35 +103,50 @@ def coefficients(result: RegressionResult) -> DataFrame:
 @dataclass
 class KMeansSweep:
     models: dict[int, KMeansModel]
-    prepared: DataFrame
+    prepared: DataFrame  # every input row with its feature vector
     table: DataFrame  # k, wssse, sizes
     prep_model: PipelineModel = field(default=None)
 
 
 def kmeans_sweep(
-    df: DataFrame, nums: Sequence[str], cats: Sequence[str], ks: Sequence[int] = (2, 3, 4, 5), seed: int = 42, scale: bool = False
+    df: DataFrame,
+    nums: Sequence[str],
+    cats: Sequence[str],
+    ks: Sequence[int] = (2, 3, 4, 5),
+    seed: int = 42,
+    scale: bool = False,
+    compress: bool = True,
 ) -> KMeansSweep:
     """Fit k-means for each k; report training cost and cluster sizes.
 
-    The feature frame is prepared once and persisted, because every fit
-    iterates over it.  Costs and sizes come from each model's training
-    summary (k numbers each), not from extra passes.
+    With ``compress`` (default) each fit iterates over the distinct feature
+    rows weighted by their counts (the same k-means objective, one pass over
+    the data in total) instead of over every row.  Costs come from each
+    model's training summary; sizes are weighted counts, i.e. rows.
     """
-    stages = FE.feature_pipeline(nums, cats, out="raw_features" if scale else "features").getStages()
+    cols = list(dict.fromkeys([*nums, *cats]))
+    out = "raw_features" if scale else "features"
+    points = FE.weighted_distinct(df, cols) if compress else df.select(*cols).withColumn("weight", F.lit(1.0))
+    points = points.persist()
+    prep = FE.fit_weighted_preparation(points, nums, cats, out=out)
     if scale:
         from pyspark.ml.feature import StandardScaler
 
-        stages.append(StandardScaler(inputCol="raw_features", outputCol="features", withMean=False, withStd=True))
-    prep = Pipeline(stages=stages).fit(df)
-    prepared = prep.transform(df).persist()
+        scaler = StandardScaler(inputCol="raw_features", outputCol="features", withMean=False, withStd=True)
+        scaler_model = scaler.fit(prep.transform(points))
+        prep = PipelineModel(stages=[*prep.stages, scaler_model])
+    prepared_points = prep.transform(points).persist()
     models, rows = {}, []
     for k in ks:
-        m = KMeans(featuresCol="features", k=int(k), seed=seed).fit(prepared)
+        m = KMeans(featuresCol="features", k=int(k), seed=seed, weightCol="weight").fit(prepared_points)
         models[int(k)] = m
-        rows.append((int(k), float(m.summary.trainingCost), [int(s) for s in m.summary.clusterSizes]))
-    schema = "k int, wssse double, sizes array<bigint>"
-    table = df.sparkSession.createDataFrame(rows, schema)
-    return KMeansSweep(models, prepared, table, prep)
+        sizes = {
+            int(r["prediction"]): int(r["n"])
+            for r in m.transform(prepared_points).groupBy("prediction").agg(F.sum("weight").alias("n")).collect()
+        }
+        rows.append((int(k), float(m.summary.trainingCost), [sizes.get(i, 0) for i in range(int(k))]))
+    table = df.sparkSession.createDataFrame(rows, "k int, wssse double, sizes array<bigint>")
+    return KMeansSweep(models, prep.transform(df), table, prep)
 
 
 def choose_k(sweep: KMeansSweep, k: int | str = 3) -> int:

@@ -35,12 +35,23 @@ class Prepared:
 
 
 def prepare(raw: DataFrame, median_method: str = "approx", steps: Sequence[str] = C.ALL_STEPS, cut_lineage: bool = True) -> Prepared:
-    """Clean -> impute, materialised once for the recipes that follow."""
-    cleaned = C.clean(raw, steps)
-    cleaned = materialize(cleaned) if cut_lineage else cleaned
+    """Clean -> impute, materialised once for the recipes that follow.
+
+    With every cleaning step selected, the cleaned rows and the cleaning
+    report come from one duplicate-removal shuffle.  The cleaned rows are
+    persisted (every fill statistic reads them); the imputed output is
+    checkpointed to ``spark.checkpoint.dir`` (or persisted when none is set),
+    which cuts the lineage the model fits would otherwise replay.
+    """
+    if set(steps) == set(C.ALL_STEPS):
+        cleaned, report, distinct = C.clean_with_report(raw)
+        distinct.persist()
+    else:
+        cleaned, report = C.clean(raw, steps), C.clean_report(raw)
+    cleaned = cleaned.persist() if cut_lineage else cleaned
     res = N.impute(cleaned, N.review_plan(median_method=median_method))
     data = materialize(res.imputed) if cut_lineage else res.imputed
-    return Prepared(data, C.clean_report(raw), res.profile_before, N.missing_profile(data))
+    return Prepared(data, report, res.profile_before, N.missing_profile(data))
 
 
 def explore(df: DataFrame, cols=REVIEW) -> dict[str, DataFrame]:

@@ -648,3 +648,14 @@ def q_m15_rf(spark, d):
 def q_m16(spark, d):
     pred = MO.vector_as_text(_forest(spark, d).predictions, "probability")
     return MO.sample_predictions(pred, 10, ML_COLS, [R.recommended, "prediction", "probability_text"])
+
+
+@register(
+    "a12_group_mode_department_by_division",
+    with_reviews(
+        "SELECT division_name, fill AS \"mode\" FROM gm_gm",
+        *group_mode_ctes("gm", "cleaned", "department_name", "division_name"),
+    ),
+)
+def q_a12(spark, d):
+    return N.group_modes(cleaned(spark, d), R.department, R.division)

@@ -101,3 +101,18 @@ def test_choose_k_elbow(spark, prepared):
     sweep = MO.kmeans_sweep(prepared.select(*E.ML_COLS), list(E.REVIEW.numeric), E.CATS, ks=(2, 3, 4))
     assert MO.choose_k(sweep, "elbow") in (2, 3, 4)
     assert MO.choose_k(sweep, 3) == 3
+
+
+def test_compressed_regression_equals_row_level_fit(spark, prepared):
+    _, train, test = E.ml_split(prepared)
+    nums = ["age", "recommended_ind", "positive_feedback_count"]
+    a = MO.fit_regression(train, test, nums, E.CATS, "rating", compress=True)
+    b = MO.fit_regression(train, test, nums, E.CATS, "rating", compress=False)
+    ca = {r.feature: r.coefficient for r in a.coefficients.collect()}
+    cb = {r.feature: r.coefficient for r in b.coefficients.collect()}
+    assert ca.keys() == cb.keys()
+    pa = sorted(r.prediction for r in a.predictions.collect())
+    pb = sorted(r.prediction for r in b.predictions.collect())
+    assert pa == pytest.approx(pb, abs=1e-6)
+    ma, mb = a.metrics.collect()[0], b.metrics.collect()[0]
+    assert (ma.rmse, ma.mae, ma.r2) == pytest.approx((mb.rmse, mb.mae, mb.r2), abs=1e-9)
