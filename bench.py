@@ -58,13 +58,14 @@ def main() -> None:
     state = {}
 
     def q_prepare():
+        # Start cold: an earlier run's persisted frames have the same plan and would be reused.
+        old = state.pop("prepared", None)
+        spark.catalog.clearCache()
         prep = E.prepare(reviews_raw(spark, sf_dir))
         pull({"a": prep.clean_report, "b": prep.profile_before, "c": prep.profile_after})
         force(prep.data)
-        old = state.get("prepared")
         state["prepared"] = prep.data
-        if old is not None:
-            old.unpersist()
+        del old
 
     def q_explore():
         pull(E.explore(state["prepared"]))

@@ -86,36 +86,44 @@ REVIEW_SCHEMA = T.StructType(
 )
 
 
+TAGS = (
+    "age", "product", "division", "rating", "department", "class", "recommended", "feedback",
+    "title", "text", "null_age", "null_title", "null_rating", "null_division",
+)
+
+
 def synthesize_reviews(df: DataFrame, id_col: str, seed: int = 42, keep_id: bool = True) -> DataFrame:
-    """S1 over an existing key column: one synthetic review per row of ``df``."""
-    rid = F.col(id_col)
+    """S1 over an existing key column: one synthetic review per row of ``df``.
+
+    Every draw is staged once as its own column (one md5 per row and tag),
+    then the dependent choices read those columns.
+    """
+    draws = df.select(F.col(id_col).alias("__id"), *[uniform(F.col(id_col), t, seed).alias(f"__u_{t}") for t in TAGS])
 
     def u(tag: str):
-        return uniform(rid, tag, seed)
+        return F.col(f"__u_{tag}")
 
-    staged = df.select(
-        rid.alias("__id"),
+    staged = draws.select(
+        "*",
         rand_int(u("age"), *AGE_RANGE).alias("__age"),
         rand_choice(u("product"), PRODUCTS).alias("__product"),
         rand_choice(u("division"), DIVISIONS).alias("__division"),
         weighted_choice(u("rating"), RATINGS, RATING_WEIGHTS).cast("int").alias("__rating"),
     )
-    rid = F.col("__id")
     division, rating = F.col("__division"), F.col("__rating")
-    department = dependent_choice(division, u("department"), DEPARTMENT_BY_DIVISION, OTHER_DEPARTMENTS)
-    staged = staged.withColumn("__department", department)
+    staged = staged.withColumn(
+        "__department", dependent_choice(division, u("department"), DEPARTMENT_BY_DIVISION, OTHER_DEPARTMENTS)
+    )
     klass = dependent_choice(F.col("__department"), u("class"), CLASS_BY_DEPARTMENT, OTHER_CLASSES)
     recommended = conditional_bernoulli(
         u("recommended"), [(rating >= 4, P_RECOMMENDED_HIGH), (rating == 3, P_RECOMMENDED_MID)], P_RECOMMENDED_LOW
     )
-    feedback = F.when(rating >= 4, rand_int(u("feedback"), 0, FEEDBACK_MAX_HIGH)).otherwise(
-        rand_int(u("feedback"), 0, FEEDBACK_MAX_LOW)
-    )
+    feedback = rand_int(u("feedback"), F.lit(0), F.when(rating >= 4, F.lit(FEEDBACK_MAX_HIGH)).otherwise(FEEDBACK_MAX_LOW))
     product = F.col("__product")
     title = fill_template(rand_choice(u("title"), TITLE_TEMPLATES), product=product)
     text = fill_template(rand_choice(u("text"), TEXT_TEMPLATES), product=product)
-    out = staged.select(
-        *([rid.alias(id_col)] if keep_id else []),
+    return staged.select(
+        *([F.col("__id").alias(id_col)] if keep_id else []),
         null_with_rate(F.col("__age"), u("null_age"), NULL_RATES["age"]).cast("int").alias("Age"),
         null_with_rate(title, u("null_title"), NULL_RATES["title"]).alias("Title"),
         text.alias("Review_Text"),
@@ -126,7 +134,6 @@ def synthesize_reviews(df: DataFrame, id_col: str, seed: int = 42, keep_id: bool
         F.col("__department").alias("Department_Name"),
         klass.alias("Class_Name"),
     )
-    return out
 
 
 def generate_reviews(spark: SparkSession, n: int = DEFAULT_ROWS, seed: int = 42, partitions: int | None = None) -> DataFrame:
