@@ -189,3 +189,20 @@ def fit_weighted_preparation(points: DataFrame, nums: Sequence[str], cats: Seque
     indexed = PipelineModel(stages=indexers).transform(points)
     encoder = one_hot(cats).fit(indexed)
     return PipelineModel(stages=[*indexers, encoder, assemble(nums, cats, out)])
+
+
+def vector_sums(df: DataFrame, col: str = "features") -> DataFrame:
+    """M4 check: the total of every slot of an assembled vector, by slot name.
+
+    One aggregate with one sum per slot (the slot count comes from the
+    column's metadata), then unpivoted: ``slot int, feature string, total double``.
+    """
+    from pyspark.ml.functions import vector_to_array
+
+    names = vector_names(df, col)
+    arr = vector_to_array(F.col(col))
+    sums = df.select(arr.alias("__a")).agg(*[F.sum(F.col("__a")[i]).alias(f"s{i}") for i in range(len(names))])
+    entries = ", ".join(f"{i}, '{n.replace(chr(39), chr(39) * 2)}', s{i}" for i, n in enumerate(names))
+    return sums.selectExpr(f"stack({len(names)}, {entries}) AS (slot, feature, total)").select(
+        F.col("slot").cast("int").alias("slot"), "feature", F.col("total").cast("double").alias("total")
+    )

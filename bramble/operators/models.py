@@ -248,3 +248,36 @@ def vector_as_text(df: DataFrame, col: str, out: str | None = None, digits: int
 def sample_predictions(pred: DataFrame, n: int, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """The first ``n`` predictions in a stated order, all columns from one query."""
     return pred.orderBy(*keys).limit(n).select(*cols)
+
+
+def lloyd_step(df: DataFrame, centres: Sequence[Sequence[float]], col: str = "features", weight: str | None = None) -> DataFrame:
+    """M9 check: one k-means assignment + update step from fixed centres.
+
+    Each row goes to its nearest centre (squared Euclidean distance; ties to
+    the lower index, as Spark's k-means); the output has, per cluster, the
+    weighted row count, the cost and the new centre.  The k x d centres are
+    model-sized literals; the step is one narrow projection and one grouped
+    aggregate (partial on the map side).
+    Output: ``cluster int, n double, cost double, centre array<double>``.
+    """
+    k, d = len(centres), len(centres[0])
+    x = vector_to_array(F.col(col))
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    cand = []
+    for i, c in enumerate(centres):
+        diff = F.zip_with(x, F.array(*[F.lit(float(v)) for v in c]), lambda a, b: (a - b) * (a - b))
+        d2 = F.aggregate(diff, F.lit(0.0), lambda acc, v: acc + v)
+        cand.append(F.struct(d2.alias("d2"), F.lit(i).alias("cluster")))
+    best = F.array_min(F.array(*cand))
+    rows = df.select(x.alias("__x"), w.alias("__w"), best.alias("__b"))
+    agg = rows.groupBy(F.col("__b.cluster").alias("cluster")).agg(
+        F.sum("__w").alias("n"),
+        F.sum(F.col("__w") * F.col("__b.d2")).alias("cost"),
+        *[F.sum(F.col("__w") * F.col("__x")[j]).alias(f"s{j}") for j in range(d)],
+    )
+    return agg.select(
+        F.col("cluster").cast("int").alias("cluster"),
+        "n",
+        "cost",
+        F.array(*[F.col(f"s{j}") / F.col("n") for j in range(d)]).alias("centre"),
+    )

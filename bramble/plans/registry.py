@@ -659,3 +659,73 @@ def q_m16(spark, d):
 )
 def q_a12(spark, d):
     return N.group_modes(cleaned(spark, d), R.department, R.division)
+
+
+def _assembled_ml(spark, d):
+    """The k-means feature set, indexed on every row, assembled."""
+    ml = ml_frame(spark, d)
+    return FE.feature_pipeline(CLU_NUMS, CATS).fit(ml).transform(ml)
+
+
+def _slot_sql(offset: str, c: str) -> str:
+    return (
+        f"SELECT CAST({offset} + idx AS INTEGER) AS slot, '{c}_vec_' || label AS feature, round(CAST(n AS DOUBLE), 4) AS total FROM "
+        f"(SELECT {c} AS label, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, {c} ASC) - 1 AS idx FROM imputed GROUP BY {c}) t"
+    )
+
+
+_ND = "(SELECT count(DISTINCT division_name) FROM imputed)"
+_NP = "(SELECT count(DISTINCT department_name) FROM imputed)"
+_M4_SQL = with_reviews(
+    "\nUNION ALL ".join(
+        [
+            f"SELECT {i} AS slot, '{c}' AS feature, round(sum(CAST({c} AS DOUBLE)), 4) AS total FROM imputed"
+            for i, c in enumerate(CLU_NUMS)
+        ]
+        + [
+            _slot_sql("4", "division_name"),
+            _slot_sql(f"4 + {_ND}", "department_name"),
+            _slot_sql(f"4 + {_ND} + {_NP}", "class_name"),
+        ]
+    ),
+    *imputed_ctes(),
+)
+
+
+@register("m4_assembled_feature_sums", _M4_SQL)
+def q_m4(spark, d):
+    return round_doubles(FE.vector_sums(_assembled_ml(spark, d)))
+
+
+_ORDER = ", ".join(f"{c} ASC NULLS FIRST" for c in ML_COLS)
+_M9_SQL = with_reviews(
+    "SELECT CAST(a.cl AS INTEGER) AS cluster, round(CAST(count(*) AS DOUBLE), 4) AS n, round(sum(a.d2), 4) AS cost, "
+    + ", ".join(f"round(avg(CAST(r.{c} AS DOUBLE)), 4) AS centre_{c}" for c in CLU_NUMS)
+    + " FROM asg a JOIN rows_ r ON a.rid = r.rid GROUP BY a.cl",
+    *imputed_ctes(),
+    ML_CTE,
+    f"cen AS (SELECT row_number() OVER (ORDER BY {_ORDER}) - 1 AS ci, * FROM (SELECT DISTINCT * FROM ml) u ORDER BY {_ORDER} LIMIT 3)",
+    "rows_ AS (SELECT row_number() OVER () AS rid, * FROM ml)",
+    "cd AS (SELECT r.rid, c.ci, "
+    + " + ".join(f"(CAST(r.{x} AS DOUBLE) - CAST(c.{x} AS DOUBLE)) * (CAST(r.{x} AS DOUBLE) - CAST(c.{x} AS DOUBLE))" for x in CLU_NUMS)
+    + " + "
+    + " + ".join(f"CASE WHEN r.{x} = c.{x} THEN 0 ELSE 2 END" for x in CATS)
+    + " AS d2 FROM rows_ r, cen c)",
+    "best AS (SELECT rid, min(d2) AS d2 FROM cd GROUP BY rid)",
+    "asg AS (SELECT cd.rid, min(cd.ci) AS cl, min(cd.d2) AS d2 FROM cd JOIN best b ON cd.rid = b.rid AND cd.d2 = b.d2 GROUP BY cd.rid)",
+)
+
+
+@register("m9_lloyd_step_fixed_centres", _M9_SQL)
+def q_m9_step(spark, d):
+    """One assignment + update step from three fixed centres: the first three
+    distinct model rows in column order (k model-sized vectors reach the driver)."""
+    ml = ml_frame(spark, d)
+    prep = FE.feature_pipeline(CLU_NUMS, CATS).fit(ml)
+    first = A.preview(ml.distinct(), 3, ML_COLS)
+    ordered = prep.transform(first).orderBy(*[F.asc_nulls_first(c) for c in ML_COLS])
+    centres = [r.c for r in ordered.select(vector_to_array("features").alias("c")).collect()]
+    step = MO.lloyd_step(prep.transform(ml), centres)
+    return round_doubles(
+        step.select("cluster", "n", "cost", *[F.col("centre")[i].alias(f"centre_{c}") for i, c in enumerate(CLU_NUMS)])
+    )

@@ -116,3 +116,30 @@ def test_compressed_regression_equals_row_level_fit(spark, prepared):
     assert pa == pytest.approx(pb, abs=1e-6)
     ma, mb = a.metrics.collect()[0], b.metrics.collect()[0]
     assert (ma.rmse, ma.mae, ma.r2) == pytest.approx((mb.rmse, mb.mae, mb.r2), abs=1e-9)
+
+
+def test_lloyd_step_matches_numpy(spark):
+    import numpy as np
+    from pyspark.ml.linalg import Vectors
+
+    rng = np.random.default_rng(11)
+    pts = rng.normal(size=(300, 3))
+    df = spark.createDataFrame([(Vectors.dense(p.tolist()),) for p in pts], ["features"])
+    centres = [pts[0].tolist(), pts[1].tolist(), pts[2].tolist()]
+    got = {r.cluster: r for r in MO.lloyd_step(df, centres).collect()}
+    d2 = ((pts[:, None, :] - np.array(centres)[None, :, :]) ** 2).sum(-1)
+    lab = d2.argmin(1)
+    for k in range(3):
+        sel = pts[lab == k]
+        assert got[k].n == len(sel)
+        assert got[k].cost == pytest.approx(d2[lab == k, k].sum())
+        assert got[k].centre == pytest.approx(sel.mean(0).tolist())
+
+
+def test_vector_sums_by_name(spark):
+    df = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("a", 3.0)], "c string, x double")
+    from pyspark.ml import Pipeline
+
+    out = Pipeline(stages=[FE.index_strings(["c"]), FE.one_hot(["c"]), FE.assemble(["x"], ["c"])]).fit(df).transform(df)
+    sums = {r.feature: r.total for r in FE.vector_sums(out).collect()}
+    assert sums == {"x": 6.0, "c_vec_a": 2.0, "c_vec_b": 1.0}
