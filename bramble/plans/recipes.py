@@ -44,11 +44,14 @@ def prepare(raw: DataFrame, median_method: str = "approx", steps: Sequence[str]
     which cuts the lineage the model fits would otherwise replay.
     """
     if set(steps) == set(C.ALL_STEPS):
+        # One shuffle of the raw rows feeds both the report and the cleaned rows;
+        # the cleaned rows are a filter over the persisted distinct table.
         cleaned, report, distinct = C.clean_with_report(raw)
-        distinct.persist()
+        if cut_lineage:
+            distinct.persist()
     else:
         cleaned, report = C.clean(raw, steps), C.clean_report(raw)
-    cleaned = cleaned.persist() if cut_lineage else cleaned
+        cleaned = cleaned.persist() if cut_lineage else cleaned
     res = N.impute(cleaned, N.review_plan(median_method=median_method))
     data = materialize(res.imputed) if cut_lineage else res.imputed
     return Prepared(data, report, res.profile_before, N.missing_profile(data))

@@ -45,6 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
+    if fallback is None and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder; a machine-local one is unsafe on a cluster")
     path = fallback or tempfile.mkdtemp(prefix="bramble-ckpt-", dir="/tmp")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
