@@ -38,8 +38,9 @@ def prepare(raw: DataFrame, median_method: str = "approx", steps: Sequence[str]
     """Clean -> impute, materialised once for the recipes that follow.
 
     With every cleaning step selected, the cleaned rows and the cleaning
-    report come from one duplicate-removal shuffle.  The cleaned rows are
-    persisted (every fill statistic reads them); the imputed output is
+    report come from one duplicate-removal shuffle, and only that distinct
+    table is persisted (every fill statistic reads the cleaned rows, a filter
+    over it); otherwise the cleaned rows are persisted.  The imputed output is
     checkpointed to ``spark.checkpoint.dir`` (or persisted when none is set),
     which cuts the lineage the model fits would otherwise replay.
     """
