@@ -106,6 +106,7 @@ class KMeansSweep:
     prepared: DataFrame  # every input row with its feature vector
     table: DataFrame  # k, wssse, sizes
     prep_model: PipelineModel = field(default=None)
+    points: DataFrame = field(default=None)  # distinct feature rows with ``weight``, prepared
 
 
 def kmeans_sweep(
@@ -146,7 +147,7 @@ def kmeans_sweep(
         }
         rows.append((int(k), float(m.summary.trainingCost), [sizes.get(i, 0) for i in range(int(k))]))
     table = df.sparkSession.createDataFrame(rows, "k int, wssse double, sizes array<bigint>")
-    return KMeansSweep(models, prep.transform(df), table, prep)
+    return KMeansSweep(models, prep.transform(df), table, prep, prepared_points)
 
 
 def choose_k(sweep: KMeansSweep, k: int | str = 3) -> int:
@@ -170,16 +171,33 @@ def kmeans_assign(sweep: KMeansSweep, k: int | str = 3) -> DataFrame:
     return sweep.models[choose_k(sweep, k)].transform(sweep.prepared)
 
 
-def cluster_profile(assigned: DataFrame, cols: Sequence[str], cluster: str = "prediction") -> DataFrame:
-    """The mean of each column per cluster, named by column (not by position)."""
-    return assigned.groupBy(F.col(cluster).alias("cluster")).agg(
-        F.count(F.lit(1)).alias("size"), *[F.avg(F.col(c).cast("double")).alias(f"avg_{c}") for c in cols]
+def assign_points(sweep: KMeansSweep, k: int | str = 3) -> DataFrame:
+    """M10 on the weighted distinct feature rows: a cluster per row kind, with its ``weight``.
+
+    Identical rows get identical labels, so any per-cluster statistic of the
+    rows can be computed from this (small) table with the weights.
+    """
+    return sweep.models[choose_k(sweep, k)].transform(sweep.points)
+
+
+def cluster_profile(assigned: DataFrame, cols: Sequence[str], cluster: str = "prediction", weight: str | None = None) -> DataFrame:
+    """Size and mean of each column per cluster, named by column (not by position).
+
+    With ``weight`` the input is a weighted table (see :func:`assign_points`):
+    sizes are weight sums and means are weighted, equal to the row-level result.
+    """
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    size = F.sum(w)
+    out = assigned.groupBy(F.col(cluster).alias("cluster")).agg(
+        size.alias("__size"), *[(F.sum(w * F.col(c).cast("double")) / size).alias(f"avg_{c}") for c in cols]
     )
+    return out.select("cluster", F.col("__size").cast("bigint").alias("size"), *[f"avg_{c}" for c in cols])
 
 
-def cluster_by_group(assigned: DataFrame, by: str, k: int, cluster: str = "prediction") -> DataFrame:
+def cluster_by_group(assigned: DataFrame, by: str, k: int, cluster: str = "prediction", weight: str | None = None) -> DataFrame:
     """Rows per (group, cluster) as a wide table, zeros for absent pairs."""
-    piv = assigned.groupBy(by).pivot(cluster, list(range(k))).agg(F.count(F.lit(1)))
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    piv = assigned.groupBy(by).pivot(cluster, list(range(k))).agg(F.sum(w).cast("bigint"))
     return piv.fillna(0, subset=[str(i) for i in range(k)])
 
 

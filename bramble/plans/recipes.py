@@ -95,16 +95,22 @@ def run_regression(df: DataFrame, seed: int = 42, solver: str = "auto", layout_p
 
 
 def run_segmentation(df: DataFrame, ks: Sequence[int] = (2, 3, 4, 5), k: int | str = 3, seed: int = 42, scale: bool = False) -> dict:
-    """K-means sweep, labels from the chosen k's model, profiles per cluster."""
+    """K-means sweep, labels from the chosen k's model, profiles per cluster.
+
+    The fits, the profile and the division x cluster table all run on the
+    weighted distinct feature rows; only the row labels (``assigned``) touch
+    every row, lazily.
+    """
     sweep = MO.kmeans_sweep(df.select(*ML_COLS), list(REVIEW.numeric), CATS, ks, seed, scale)
     kk = MO.choose_k(sweep, k)
-    assigned = MO.kmeans_assign(sweep, kk)
+    points = MO.assign_points(sweep, kk)
     return {
         "sweep": sweep.table,
         "k": kk,
-        "profile": MO.cluster_profile(assigned, list(REVIEW.numeric)),
-        "division_by_cluster": MO.cluster_by_group(assigned, REVIEW.division, kk),
-        "assigned": assigned,
+        # Profiles from the weighted distinct rows: equal to the row-level result, no pass over the rows.
+        "profile": MO.cluster_profile(points, list(REVIEW.numeric), weight="weight"),
+        "division_by_cluster": MO.cluster_by_group(points, REVIEW.division, kk, weight="weight"),
+        "assigned": MO.kmeans_assign(sweep, kk),  # every row with its label (lazy)
     }
 
 

@@ -616,12 +616,12 @@ def q_m10(spark, d):
 
 @register("m11_cluster_profile")
 def q_m11(spark, d):
-    return round_doubles(MO.cluster_profile(MO.kmeans_assign(_k3(spark, d), 3), CLU_NUMS))
+    return round_doubles(MO.cluster_profile(MO.assign_points(_k3(spark, d), 3), CLU_NUMS, weight="weight"))
 
 
 @register("m11_division_by_cluster")
 def q_m11_div(spark, d):
-    return MO.cluster_by_group(MO.kmeans_assign(_k3(spark, d), 3), R.division, 3)
+    return MO.cluster_by_group(MO.assign_points(_k3(spark, d), 3), R.division, 3, weight="weight")
 
 
 def _forest(spark, d):

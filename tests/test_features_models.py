@@ -143,3 +143,19 @@ def test_vector_sums_by_name(spark):
     out = Pipeline(stages=[FE.index_strings(["c"]), FE.one_hot(["c"]), FE.assemble(["x"], ["c"])]).fit(df).transform(df)
     sums = {r.feature: r.total for r in FE.vector_sums(out).collect()}
     assert sums == {"x": 6.0, "c_vec_a": 2.0, "c_vec_b": 1.0}
+
+
+def test_weighted_cluster_profile_equals_row_level(spark, prepared):
+    sweep = MO.kmeans_sweep(prepared.select(*E.ML_COLS), list(E.REVIEW.numeric), E.CATS, ks=(3,))
+    rows = MO.kmeans_assign(sweep, 3)
+    pts = MO.assign_points(sweep, 3)
+    a = {r.cluster: r for r in MO.cluster_profile(rows, list(E.REVIEW.numeric)).collect()}
+    b = {r.cluster: r for r in MO.cluster_profile(pts, list(E.REVIEW.numeric), weight="weight").collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert a[k].size == b[k].size
+        for c in E.REVIEW.numeric:
+            assert a[k][f"avg_{c}"] == pytest.approx(b[k][f"avg_{c}"])
+    pa = sorted(map(tuple, MO.cluster_by_group(rows, "division_name", 3).collect()))
+    pb = sorted(map(tuple, MO.cluster_by_group(pts, "division_name", 3, weight="weight").collect()))
+    assert pa == pb
