@@ -220,17 +220,27 @@ def fit_classifier(
     label: str = "recommended_ind",
     num_trees: int = 10,
     seed: int = 42,
+    compress: bool = False,
 ) -> ClassificationResult:
-    """Random forest for ``label``; accuracy and weighted F1 on the test split."""
-    pipe = Pipeline(
-        stages=[
-            *FE.feature_pipeline(nums, cats).getStages(),
-            RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=num_trees, seed=seed),
-        ]
-    )
-    model = pipe.fit(train)
+    """Random forest for ``label``; accuracy and weighted F1 on the test split.
+
+    Row-level by default (each tree bootstraps rows, as in the reference).
+    ``compress=True`` trains on the distinct (features, label) rows with their
+    counts as instance weights: one pass over the data, then every tree level
+    reads the small weighted table.  Split statistics are the same; the
+    bootstrap then resamples distinct rows with their weights, a different
+    (still valid) bagging scheme, so the forest is not identical.
+    """
+    rf = RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=num_trees, seed=seed)
+    if compress:
+        points = FE.weighted_distinct(train, list(dict.fromkeys([*nums, *cats, label]))).persist()
+        prep = FE.fit_weighted_preparation(points, nums, cats)
+        forest = rf.setWeightCol("weight").fit(prep.transform(points))
+        model = PipelineModel(stages=[*prep.stages, forest])
+    else:
+        model = Pipeline(stages=[*FE.feature_pipeline(nums, cats).getStages(), rf]).fit(train)
     pred = model.transform(test)
-    names = FE.vector_names(model.transform(train.limit(0)), "features")
+    names = FE.vector_names(model.transform(test.limit(0)), "features")
     imp = model.stages[-1].featureImportances.toArray().tolist()
     importances = _names_frame(train.sparkSession, names, imp, "importance")
     return ClassificationResult(model, pred, classification_metrics(pred, label, "prediction"), importances)

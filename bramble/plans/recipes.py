@@ -114,13 +114,15 @@ def run_segmentation(df: DataFrame, ks: Sequence[int] = (2, 3, 4, 5), k: int | s
     }
 
 
-def run_classification(df: DataFrame, seed: int = 42, num_trees: int = 10, layout_partitions: int | None = None) -> dict:
+def run_classification(
+    df: DataFrame, seed: int = 42, num_trees: int = 10, layout_partitions: int | None = None, compress: bool = False
+) -> dict:
     """E5: random forest for the recommendation flag; metrics, confusion matrix
     over every test row, importances by source column, a probability sample."""
     _, train, test = ml_split(df, seed, layout_partitions)
     train = train.persist()
     nums = ["age", "rating", "positive_feedback_count"]
-    res = MO.fit_classifier(train, test, nums, CATS, "recommended_ind", num_trees, seed)
+    res = MO.fit_classifier(train, test, nums, CATS, "recommended_ind", num_trees, seed, compress=compress)
     return {
         "metrics": res.metrics,
         "confusion": M.confusion_matrix(res.predictions, "recommended_ind", "prediction", [0.0, 1.0]),

@@ -76,7 +76,14 @@ def main(argv):
     import __spark_entry__ as entry
     from bramble.session import local_session
 
-    spark = local_session(8)
+    if os.environ.get("ORACLE_PLAIN_SESSION"):
+        # The driver's own session: no checkpoint folder, default codegen limits.
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = local_session(8)
     con = duck(sf_dir)
     qs, sqls = entry.queries(), entry.oracle_sql()
     bad = []

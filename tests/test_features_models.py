@@ -159,3 +159,13 @@ def test_weighted_cluster_profile_equals_row_level(spark, prepared):
     pa = sorted(map(tuple, MO.cluster_by_group(rows, "division_name", 3).collect()))
     pb = sorted(map(tuple, MO.cluster_by_group(pts, "division_name", 3, weight="weight").collect()))
     assert pa == pb
+
+
+def test_compressed_forest_is_a_valid_forest(spark, prepared):
+    r = E.run_classification(prepared, compress=True)
+    imp = r["importance"].collect()
+    assert sum(x.importance for x in imp) == pytest.approx(1.0)
+    met = r["metrics"].collect()[0]
+    row_level = E.run_classification(prepared)["metrics"].collect()[0]
+    assert met.n == row_level.n
+    assert abs(met.accuracy - row_level.accuracy) < 0.05
