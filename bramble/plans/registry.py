@@ -13,16 +13,34 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 
 from ..operators import clean as C
+from ..operators import features as FE
+from ..operators import metrics as M
+from ..operators import models as MO
 from ..operators import missing as N
 from ..operators import stats as A
+from ..operators.joins import lookup_join
 from ..presets import REVIEW as R
+from ..sources import generator as G
 from ..sources.reviews_raw import reviews_raw
-from .oracle_sql import COLS, group_fill_select, group_mode_ctes, imputed_ctes, mode_sql, select_with, with_reviews
+from ..sources.tables import read_table
+from .oracle_sql import (
+    COLS,
+    generator_sql,
+    group_fill_select,
+    group_mode_ctes,
+    imputed_ctes,
+    mode_sql,
+    select_with,
+    with_reviews,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+
 def round_doubles(df: DataFrame, digits: int = 4) -> DataFrame:
     """Round every double/float column (for cross-engine comparison)."""
     out = []
@@ -33,15 +51,19 @@ def round_doubles(df: DataFrame, digits: int = 4) -> DataFrame:
             out.append(F.col(f"`{f.name}`"))
     return df.select(*out)
 
+
 def raw_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.normalize_columns(reviews_raw(spark, sf_dir))
 
+
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.clean(reviews_raw(spark, sf_dir))
 
+
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
+
 def register(name: str, sql: str | None = None):
     def deco(fn: Query) -> Query:
         QUERIES[name] = fn
@@ -51,16 +73,20 @@ def register(name: str, sql: str | None = None):
 
     return deco
 
+
 # --------------------------------------------------------------------------- cleaning
 
+
 @register("p1_normalize_columns", with_reviews("SELECT * FROM raw_n"))
 def q_p1(spark, d):
     return raw_n(spark, d)
 
+
 @register("c1_drop_exact_duplicates", with_reviews("SELECT * FROM deduped"))
 def q_c1(spark, d):
     return C.drop_exact_duplicates(raw_n(spark, d))
 
+
 @register(
     "c2_filter_age_open_range",
     with_reviews("SELECT * FROM raw_n WHERE age IS NOT NULL AND age > 0 AND age < 100"),
@@ -68,6 +94,7 @@ def q_c1(spark, d):
 def q_c2(spark, d):
     return C.filter_range(raw_n(spark, d), R.age, 0, 100, inclusive=(False, False))
 
+
 @register(
     "c3_filter_rating_closed_range",
     with_reviews("SELECT * FROM raw_n WHERE rating IS NOT NULL AND rating BETWEEN 1 AND 5"),
@@ -75,6 +102,7 @@ def q_c2(spark, d):
 def q_c3(spark, d):
     return C.filter_range(raw_n(spark, d), R.rating, 1, 5)
 
+
 @register(
     "c4_filter_recommended_in",
     with_reviews("SELECT * FROM raw_n WHERE recommended_ind IS NOT NULL AND recommended_ind IN (0, 1)"),
@@ -82,10 +110,12 @@ def q_c3(spark, d):
 def q_c4(spark, d):
     return C.filter_in(raw_n(spark, d), R.recommended, (0, 1))
 
+
 @register("c5_clean", with_reviews("SELECT * FROM cleaned"))
 def q_c5(spark, d):
     return cleaned(spark, d)
 
+
 _C6_SQL = with_reviews(
     """SELECT CAST(step_no AS INTEGER) AS step_no, step, CAST(rows_in AS BIGINT) AS rows_in,
        CAST(rows_out AS BIGINT) AS rows_out, CAST(rows_in - rows_out AS BIGINT) AS dropped
@@ -100,24 +130,30 @@ FROM (
 ) t"""
 )
 
+
 @register("c6_clean_report", _C6_SQL)
 def q_c6(spark, d):
     return C.clean_report(reviews_raw(spark, d))
 
+
 # --------------------------------------------------------------------------- crosstab (step 1 slice)
 
+
 _A7_SQL = with_reviews(
     """SELECT rating, CAST(count(*) FILTER (WHERE recommended_ind = 0) AS BIGINT) AS "0",
        CAST(count(*) FILTER (WHERE recommended_ind = 1) AS BIGINT) AS "1"
 FROM cleaned WHERE rating IS NOT NULL AND recommended_ind IS NOT NULL GROUP BY rating"""
 )
 
+
 @register("a7_crosstab_rating_recommended", _A7_SQL)
 def q_a7(spark, d):
     return A.crosstab(cleaned(spark, d), R.rating, R.recommended, values=[0, 1])
 
+
 # --------------------------------------------------------------------------- missing values
 
+
 def _profile_sql(source: str) -> str:
     cols = [
         "age",
@@ -137,14 +173,17 @@ def _profile_sql(source: str) -> str:
     ]
     return "\nUNION ALL ".join(parts)
 
+
 @register("n1_missing_profile_raw", with_reviews(_profile_sql("raw_n")))
 def q_n1_raw(spark, d):
     return round_doubles(N.missing_profile(raw_n(spark, d)))
 
+
 @register("n1_missing_profile_cleaned", with_reviews(_profile_sql("cleaned")))
 def q_n1_clean(spark, d):
     return round_doubles(N.missing_profile(cleaned(spark, d)))
 
+
 def imputed(spark: SparkSession, sf_dir: str, median_method: str = "exact") -> DataFrame:
     """Cleaned reviews after the reference's imputation plan (exact median by default).
 
@@ -155,10 +194,13 @@ def imputed(spark: SparkSession, sf_dir: str, median_method: str = "exact") -> D
     base = cleaned(spark, sf_dir).persist()
     return N.impute(base, N.review_plan(median_method=median_method)).imputed.persist()
 
+
 # --------------------------------------------------------------------------- imputation
 
+
 _AGE_R = "round(age, 4)"
 
+
 @register(
     "i1_impute_median_exact",
     with_reviews(
@@ -168,14 +210,17 @@ _AGE_R = "round(age, 4)"
 def q_i1(spark, d):
     return round_doubles(N.impute_median(raw_n(spark, d), R.age, method="exact"))
 
+
 @register("i2_impute_constant", with_reviews(select_with("raw_n", title="coalesce(title, 'No Title')")))
 def q_i2(spark, d):
     return N.impute_constant(raw_n(spark, d), R.title, "No Title")
 
+
 @register("i3_impute_mode_rating", with_reviews(select_with("raw_n", rating=f"coalesce(rating, {mode_sql('raw_n', 'rating')})")))
 def q_i3_rating(spark, d):
     return N.impute_mode(raw_n(spark, d), R.rating)
 
+
 @register(
     "i3_impute_mode_division",
     with_reviews(select_with("cleaned", division_name=f"coalesce(division_name, {mode_sql('cleaned', 'division_name')})")),
@@ -183,6 +228,7 @@ def q_i3_rating(spark, d):
 def q_i3_division(spark, d):
     return N.impute_mode(cleaned(spark, d), R.division)
 
+
 @register(
     "i4_impute_group_mode",
     with_reviews(
@@ -193,18 +239,23 @@ def q_i3_division(spark, d):
 def q_i4(spark, d):
     return N.impute_group_mode(cleaned(spark, d), R.department, R.division)
 
+
 @register("i5_impute_recipe", with_reviews(select_with("imputed", age=_AGE_R), *imputed_ctes()))
 def q_i5(spark, d):
     return round_doubles(imputed(spark, d))
 
+
 @register("n1_missing_profile_imputed", with_reviews(_profile_sql("imputed"), *imputed_ctes()))
 def q_n1_imputed(spark, d):
     return round_doubles(N.missing_profile(imputed(spark, d)))
 
+
 # --------------------------------------------------------------------------- descriptive statistics
 
+
 _STRING_COLS = {"title", "review_text", "division_name", "department_name", "class_name"}
 
+
 def _describe_sql(source: str) -> str:
     parts = []
     for c in COLS:
@@ -218,12 +269,15 @@ def _describe_sql(source: str) -> str:
         )
     return "\nUNION ALL ".join(parts)
 
+
 @register("a1_describe_raw", with_reviews(_describe_sql("raw_n")))
 def q_a1(spark, d):
     return round_doubles(A.describe_all(raw_n(spark, d)))
 
+
 _NUMERIC = ["age", "rating", "recommended_ind", "positive_feedback_count"]
 
+
 def _summary_sql(source: str) -> str:
     parts = [
         f"SELECT '{c}' AS \"column\", CAST(count({c}) AS BIGINT) AS \"count\", round(avg({c}), 4) AS \"mean\", "
@@ -234,10 +288,12 @@ def _summary_sql(source: str) -> str:
     ]
     return "\nUNION ALL ".join(parts)
 
+
 @register("a2_summarize_imputed", with_reviews(_summary_sql("imputed"), *imputed_ctes()))
 def q_a2(spark, d):
     return round_doubles(A.summarize(imputed(spark, d), _NUMERIC))
 
+
 def _histogram_sql(source: str, c: str) -> str:
     edge = "CASE WHEN {k} >= nb THEN hi ELSE lo + CAST({k} AS DOUBLE) * ((hi - lo) / nb) END"
     ctes = [
@@ -260,19 +316,24 @@ def _histogram_sql(source: str, c: str) -> str:
     )
     return ctes, body
 
+
 _H_CTES, _H_BODY = _histogram_sql("imputed", "age")
 
+
 @register("a3_histogram_age", with_reviews(_H_BODY, *imputed_ctes(), *_H_CTES))
 def q_a3(spark, d):
     return round_doubles(A.histogram(imputed(spark, d), R.age, bins="auto"))
 
+
 _H10_CTES, _H10_BODY = _histogram_sql("cleaned", "positive_feedback_count")
 _H10_CTES = [c.replace("CASE WHEN lo0 = hi0 THEN 1 WHEN hi0 - lo0 > 0 AND width > 0 THEN CAST(ceil((hi0 - lo0) / width) AS INTEGER) ELSE 1 END", "10") for c in _H10_CTES]
 
+
 @register("a3_histogram_feedback_10_bins", with_reviews(_H10_BODY, *_H10_CTES))
 def q_a3_10(spark, d):
     return round_doubles(A.histogram(cleaned(spark, d), R.feedback, bins=10))
 
+
 def _kde_sql(source: str, c: str, grid: int = 200) -> tuple[list[str], str]:
     last = grid - 1
     ctes = [
@@ -288,31 +349,39 @@ def _kde_sql(source: str, c: str, grid: int = 200) -> tuple[list[str], str]:
     )
     return ctes, body
 
+
 _K_CTES, _K_BODY = _kde_sql("imputed", "age")
 
+
 @register("a4_kde_age", with_reviews(_K_BODY, *imputed_ctes(), *_K_CTES))
 def q_a4(spark, d):
     return round_doubles(A.kde(imputed(spark, d), R.age))
 
+
 def _value_counts_sql(source: str, c: str) -> str:
     return f'SELECT {c}, CAST(count(*) AS BIGINT) AS "count" FROM {source} WHERE {c} IS NOT NULL GROUP BY {c}'
 
+
 @register("a5_value_counts_rating", with_reviews(_value_counts_sql("imputed", "rating"), *imputed_ctes()))
 def q_a5(spark, d):
     return A.value_counts(imputed(spark, d), R.rating, order="value")
 
+
 @register("a6_value_counts_division", with_reviews(_value_counts_sql("imputed", "division_name"), *imputed_ctes()))
 def q_a6_div(spark, d):
     return A.value_counts(imputed(spark, d), R.division, order="count")
 
+
 @register("a6_value_counts_department", with_reviews(_value_counts_sql("imputed", "department_name"), *imputed_ctes()))
 def q_a6_dept(spark, d):
     return A.value_counts(imputed(spark, d), R.department, order="count")
 
+
 @register("a6_value_counts_class", with_reviews(_value_counts_sql("imputed", "class_name"), *imputed_ctes()))
 def q_a6_class(spark, d):
     return A.value_counts(imputed(spark, d), R.klass, order="count")
 
+
 def _box_sql(source: str, by: str, y: str) -> tuple[list[str], str]:
     ctes = [
         f"bx AS (SELECT {by} AS g, CAST({y} AS DOUBLE) AS y FROM {source} WHERE {by} IS NOT NULL AND {y} IS NOT NULL)",
@@ -328,18 +397,23 @@ def _box_sql(source: str, by: str, y: str) -> tuple[list[str], str]:
     )
     return ctes, body
 
+
 _B8_CTES, _B8_BODY = _box_sql("imputed", "division_name", "rating")
 
+
 @register("a8_box_rating_by_division", with_reviews(_B8_BODY, *imputed_ctes(), *_B8_CTES))
 def q_a8(spark, d):
     return round_doubles(A.box_stats(imputed(spark, d), R.division, R.rating))
 
+
 _B9_CTES, _B9_BODY = _box_sql("imputed", "rating", "positive_feedback_count")
 
+
 @register("a9_box_feedback_by_rating", with_reviews(_B9_BODY, *imputed_ctes(), *_B9_CTES))
 def q_a9(spark, d):
     return round_doubles(A.box_stats(imputed(spark, d), R.rating, R.feedback))
 
+
 @register(
     "a10_group_counts_division_department",
     with_reviews(
@@ -349,6 +423,7 @@ def q_a9(spark, d):
 def q_a10(spark, d):
     return A.group_counts(cleaned(spark, d), [R.division, R.department])
 
+
 @register(
     "a11_group_means_by_division",
     with_reviews(
@@ -361,8 +436,10 @@ def q_a10(spark, d):
 def q_a11(spark, d):
     return round_doubles(A.group_means(imputed(spark, d), R.division, _NUMERIC))
 
+
 _DIVISIONS = ["General", "General Petite", "Initmates", "Trend"]
 
+
 @register(
     "a13_pivot_department_by_division",
     with_reviews(
@@ -378,6 +455,7 @@ _DIVISIONS = ["General", "General Petite", "Initmates", "Trend"]
 def q_a13(spark, d):
     return A.pivot_counts(cleaned(spark, d), R.department, R.division, values=_DIVISIONS)
 
+
 @register(
     "s4_preview_first_10",
     with_reviews(
@@ -387,6 +465,7 @@ def q_a13(spark, d):
 def q_s4(spark, d):
     return A.preview(cleaned(spark, d), 10)
 
+
 @register(
     "s5_shape_cleaned",
     with_reviews("SELECT CAST(count(*) AS BIGINT) AS n_rows, 9 AS n_cols FROM cleaned"),
@@ -394,17 +473,16 @@ def q_s4(spark, d):
 def q_s5(spark, d):
     return A.shape(cleaned(spark, d))
 
+
 # --------------------------------------------------------------------------- generator
 
-from ..sources import generator as G  # noqa: E402
-from ..sources.tables import read_table  # noqa: E402
-from .oracle_sql import generator_sql  # noqa: E402
 
 def lineitem_review_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One key per line item, ``"<orderkey>-<linenumber>"``: the generator's row ids."""
     li = read_table(spark, sf_dir, "lineitem")
     return li.select(F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("review_id"))
 
+
 @register(
     "s1_generate_reviews",
     generator_sql("concat(CAST(l_orderkey AS VARCHAR), '-', CAST(l_linenumber AS VARCHAR))", "lineitem"),
@@ -412,6 +490,7 @@ def lineitem_review_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_s1(spark, d):
     return G.synthesize_reviews(lineitem_review_keys(spark, d), "review_id", seed=42)
 
+
 @register(
     "s1_generated_rating_shares",
     "WITH gen AS ("
@@ -426,15 +505,9 @@ def q_s1_shares(spark, d):
     total = gen.agg(F.count(F.lit(1)).alias("n")).scalar()
     return round_doubles(vc.select("rating", "count", (F.col("count") / total).alias("share")))
 
-# --------------------------------------------------------------------------- feature preparation and models
 
-from pyspark.ml import Pipeline  # noqa: E402
-from pyspark.ml.functions import vector_to_array  # noqa: E402
+# --------------------------------------------------------------------------- feature preparation and models
 
-from ..operators import features as FE  # noqa: E402
-from ..operators import metrics as M  # noqa: E402
-from ..operators import models as MO  # noqa: E402
-from ..operators.joins import lookup_join  # noqa: E402
 
 ML_COLS = ["age", "rating", "recommended_ind", "positive_feedback_count", "division_name", "department_name", "class_name"]
 CATS = ["division_name", "department_name", "class_name"]
@@ -442,6 +515,7 @@ REG_NUMS = ["age", "recommended_ind", "positive_feedback_count"]
 CLU_NUMS = ["age", "rating", "recommended_ind", "positive_feedback_count"]
 CLS_NUMS = ["age", "rating", "positive_feedback_count"]
 
+
 ML_CTE = "ml AS (SELECT " + ", ".join(ML_COLS) + " FROM imputed)"
 SPLIT_CTE = (
     "mls AS (SELECT *, CASE WHEN CAST('0x' || substr(md5('42|' || concat_ws('|', "
@@ -574,6 +648,8 @@ FROM (SELECT a.label, a.n_actual, a.tp, CASE WHEN coalesce(p.n_pred, 0) > 0 THEN
         *imputed_ctes(), ML_CTE, SPLIT_CTE,
     ),
 )
+
+
 def q_m15(spark, d):
     return round_doubles(M.classification_metrics(rule_predictions(spark, d), R.recommended, "prediction"))
 
