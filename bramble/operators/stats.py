@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .joins import lookup_join
+from .joins import lookup_join, materialize
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -137,7 +137,7 @@ def histogram(df: DataFrame, c: str, bins: int | str = "auto") -> DataFrame:
     bin_lo double, bin_hi double, count bigint``.
 
     Plan: one global aggregate gives the range (and quartiles for ``"auto"``)
-    as a one-row frame; the bin list is derived from it; the data side reads
+    as a one-row frame, materialised once; the bin list is derived from it; the data side reads
     it once per row through a single scalar subquery and is reduced by a
     grouped count (at most ``nbins`` rows leave each map task); the two small
     sides are joined on the bin id.
@@ -155,10 +155,12 @@ def histogram(df: DataFrame, c: str, bins: int | str = "auto") -> DataFrame:
         )
     else:
         nb = F.lit(int(bins))
-    params = raw.select(
-        F.when(const, F.col("lo0") - 0.5).otherwise(F.col("lo0")).alias("lo"),
-        F.when(const, F.col("hi0") + 0.5).otherwise(F.col("hi0")).alias("hi"),
-        nb.cast("int").alias("nb"),
+    params = materialize(
+        raw.select(
+            F.when(const, F.col("lo0") - 0.5).otherwise(F.col("lo0")).alias("lo"),
+            F.when(const, F.col("hi0") + 0.5).otherwise(F.col("hi0")).alias("hi"),
+            nb.cast("int").alias("nb"),
+        )
     )
 
     def edge(k: Column, p: str = "") -> Column:
@@ -196,8 +198,8 @@ def kde(
     reduced to distinct values with counts (a distributed aggregate); each
     distinct value then adds its kernel to the ``grid`` points, and a grouped sum
     (partial on the map side, so each task emits at most ``grid`` rows) adds
-    them up.  The bandwidth and range come from one global aggregate read once
-    per row through a scalar subquery.  Suited to discrete or pre-binned
+    them up.  The bandwidth and range come from one global aggregate,
+    materialised once and read once per row through a scalar subquery.  Suited to discrete or pre-binned
     columns, where the distinct values are few; for a continuous column pass
     ``bin_width`` (e.g. a tenth of the expected bandwidth): values are snapped
     to bin centres before the kernels are summed, which bounds the work by the
@@ -215,11 +217,13 @@ def kde(
         F.max("v").alias("hi"),
     )
     bw = F.col("sd") * F.pow(F.col("n"), F.lit(-0.2)) * F.lit(float(bw_adjust))
-    params = st.select(
-        "n",
-        bw.alias("bw"),
-        (F.col("lo") - F.lit(float(cut)) * bw).alias("gmin"),
-        (F.col("hi") + F.lit(float(cut)) * bw).alias("gmax"),
+    params = materialize(
+        st.select(
+            "n",
+            bw.alias("bw"),
+            (F.col("lo") - F.lit(float(cut)) * bw).alias("gmin"),
+            (F.col("hi") + F.lit(float(cut)) * bw).alias("gmax"),
+        )
     )
     last = grid - 1
 
@@ -310,6 +314,8 @@ def box_stats(df: DataFrame, by: str, y: str, whis: float = 1.5, method: str = "
     src = df.filter(F.col(by).isNotNull() & F.col(y).isNotNull())
     vc = src.groupBy(by, F.col(y).cast("double").alias("__y")).agg(F.count(F.lit(1)).alias("__n"))
     if method == "exact":
+        # Read twice (quartiles, then whiskers): compute the reduced table once.
+        vc = materialize(vc)
         q = vc.groupBy(by).agg(_percentiles(F.col("__y"), (0.25, 0.5, 0.75), "exact", accuracy, F.col("__n")).alias("__q"))
     else:
         q = src.groupBy(by).agg(_percentiles(F.col(y).cast("double"), (0.25, 0.5, 0.75), "approx", accuracy).alias("__q"))

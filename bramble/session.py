@@ -23,6 +23,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         # Generated methods above HotSpot's 8000-byte JIT limit would run interpreted;
         # fall back to per-operator code for those plans instead (3-4x faster here).
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        # Materialised statistics are small checkpoints; delete them once unreferenced.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("BRAMBLE_DRIVER_MEMORY", "16g"))
         .getOrCreate()
     )
