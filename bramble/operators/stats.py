@@ -263,6 +263,31 @@ def value_counts(df: DataFrame, c: str, order: str = "count", dropna: bool = Tru
     raise ValueError("order must be 'count' or 'value'")
 
 
+def value_counts_many(df: DataFrame, cols: Sequence[str], dropna: bool = True) -> DataFrame:
+    """A5/A6 for several columns in one pass: ``column, value (text), count``.
+
+    Each row contributes one ``(column, value)`` pair per column; a single
+    grouped count (combined map-side, so at most distinct-values rows per task)
+    covers every column.  Use :func:`split_value_counts` to get one typed
+    frame per column.
+    """
+    pairs = F.explode(
+        F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])
+    )
+    long = df.select(pairs.alias("__p")).select("__p.column", "__p.value")
+    if dropna:
+        long = long.filter(F.col("value").isNotNull())
+    return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
+
+
+def split_value_counts(long: DataFrame, df: DataFrame, c: str, order: str = "count") -> DataFrame:
+    """One column's typed ``c, count`` frame from :func:`value_counts_many`'s output."""
+    out = long.filter(F.col("column") == F.lit(c)).select(F.col("value").cast(df.schema[c].dataType).alias(c), "count")
+    if order == "count":
+        return out.orderBy(F.desc("count"), F.asc_nulls_last(c))
+    return out.orderBy(F.asc_nulls_last(c))
+
+
 def group_counts(df: DataFrame, by: Sequence[str]) -> DataFrame:
     """A10: rows per group, ``*by, count``."""
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("count"))

@@ -805,3 +805,18 @@ def q_m9_step(spark, d):
     return round_doubles(
         step.select("cluster", "n", "cost", *[F.col("centre")[i].alias(f"centre_{c}") for i, c in enumerate(CLU_NUMS)])
     )
+
+
+@register(
+    "a6_value_counts_many",
+    with_reviews(
+        "\nUNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value, CAST(count(*) AS BIGINT) AS \"count\" "
+            f"FROM imputed WHERE {c} IS NOT NULL GROUP BY {c}"
+            for c in ["rating", "division_name", "department_name", "class_name"]
+        ),
+        *imputed_ctes(),
+    ),
+)
+def q_a6_many(spark, d):
+    return A.value_counts_many(imputed(spark, d), [R.rating, R.division, R.department, R.klass])

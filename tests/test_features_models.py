@@ -169,3 +169,19 @@ def test_compressed_forest_is_a_valid_forest(spark, prepared):
     row_level = E.run_classification(prepared)["metrics"].collect()[0]
     assert met.n == row_level.n
     assert abs(met.accuracy - row_level.accuracy) < 0.05
+
+
+def test_explore_bundle_consistent(spark, prepared):
+    from bramble.operators import stats as A
+
+    n = prepared.count()
+    eda = E.explore(prepared)
+    for key in ("rating_counts", "division_counts", "department_counts", "class_counts"):
+        assert sum(r["count"] for r in eda[key].collect()) == n
+    assert sorted(map(tuple, eda["rating_counts"].collect())) == sorted(
+        map(tuple, A.value_counts(prepared, "rating", order="value").collect())
+    )
+    assert sum(r["count"] for r in eda["age_histogram"].collect()) == n
+    assert sum(r.n for r in eda["rating_by_division"].collect()) == n
+    ct = eda["rating_vs_recommended"].collect()
+    assert sum(r["0"] + r["1"] for r in ct) == n

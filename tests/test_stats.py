@@ -114,3 +114,15 @@ def test_shape_and_preview(spark):
     df = spark.createDataFrame([(3,), (1,), (2,)], "v int")
     assert A.shape(df).collect()[0].asDict() == {"n_rows": 3, "n_cols": 1}
     assert [r.v for r in A.preview(df, 2).collect()] == [1, 2]
+
+
+def test_value_counts_many_equals_single_column_counts(spark):
+    df = spark.createDataFrame(
+        [(1, "a"), (2, "b"), (1, None), (3, "a"), (None, "a")], "r int, s string"
+    )
+    long = A.value_counts_many(df, ["r", "s"])
+    for c in ("r", "s"):
+        one = sorted(map(tuple, A.value_counts(df, c).collect()), key=repr)
+        many = sorted(map(tuple, A.split_value_counts(long, df, c).collect()), key=repr)
+        assert one == many
+    assert dict(A.split_value_counts(long, df, "r").dtypes)["r"] == "int"
