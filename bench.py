@@ -76,8 +76,7 @@ def main() -> None:
 
     def q_segmentation():
         r = E.run_segmentation(state["prepared"])
-        pull({k: v for k, v in r.items() if k not in ("assigned",)})
-        r["assigned"].sparkSession  # labels stay lazy; profile/pivot above consumed them
+        pull({k: v for k, v in r.items() if k != "assigned"})  # row labels stay lazy
 
     def q_classification():
         r = E.run_classification(state["prepared"])
