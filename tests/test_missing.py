@@ -80,3 +80,21 @@ def test_impute_recipe_leaves_no_nulls_and_is_idempotent(spark, sf_small):
         assert after[c] == 0
     again = N.impute(res.imputed, N.review_plan(median_method="exact")).imputed
     assert sorted(map(tuple, again.collect()), key=repr) == sorted(map(tuple, res.imputed.collect()), key=repr)
+
+
+def test_impute_recipe_on_empty_frame(spark):
+    from bramble.operators import clean as C
+    from bramble.sources.generator import reviews_frame
+
+    empty = C.normalize_columns(reviews_frame(spark, []))
+    res = N.impute(empty, N.review_plan(median_method="approx"))
+    assert res.imputed.count() == 0
+    assert dict(res.imputed.dtypes)["age"] == "double"
+    assert all(r.missing_pct is None for r in res.profile_after.collect())
+
+
+def test_null_can_not_become_the_mode(spark):
+    # Null is the most frequent "value"; the reference would fill null with null.
+    rows = [(None,)] * 5 + [("x",), ("y",), ("y",)]
+    df = spark.createDataFrame(rows, "v string")
+    assert [r.v for r in N.impute_mode(df, "v").collect()].count("y") == 7
