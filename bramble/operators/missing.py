@@ -199,10 +199,72 @@ class ImputeResult:
     profile_after: DataFrame
 
 
+def _fill_batch(df: DataFrame, batch: list[Step]) -> DataFrame:
+    """Apply independent global fills whose statistics share passes.
+
+    All medians come from one aggregate; all modes from one multi-column
+    value count (each column's ``(value, count)`` pairs, combined map-side).
+    Each step's statistic reads only its own column, which no step of the
+    batch modifies before it, so the result equals applying them one by one.
+    """
+    from .stats import value_counts_many
+
+    fills: dict[str, Column] = {}
+    medians = [s for s in batch if s.kind == "median"]
+    if medians:
+        aggs = []
+        for i, s in enumerate(medians):
+            x = F.col(s.column)
+            stat = F.percentile(x, F.lit(0.5)) if s.value == "exact" else F.percentile_approx(x, F.lit(0.5), 100)
+            aggs.append(stat.cast("double").alias(f"m{i}"))
+        row = materialize(df.agg(*aggs)).select(F.struct(*[f"m{i}" for i in range(len(medians))])).scalar()
+        for i, s in enumerate(medians):
+            fills[s.column] = F.coalesce(F.col(s.column).cast("double"), row[f"m{i}"])
+    modes = [s for s in batch if s.kind == "mode"]
+    if modes:
+        cols = [s.column for s in modes]
+        long = value_counts_many(df, cols)
+        # Ties go to the smallest *typed* value, as in mode_value (not the smallest text).
+        best = [
+            F.min(
+                F.when(
+                    F.col("column") == F.lit(c),
+                    F.struct((-F.col("count")).alias("k"), F.col("value").cast(df.schema[c].dataType).alias("v")),
+                )
+            )["v"].alias(f"d{i}")
+            for i, c in enumerate(cols)
+        ]
+        row = materialize(long.agg(*best)).select(F.struct(*[f"d{i}" for i in range(len(cols))])).scalar()
+        for i, c in enumerate(cols):
+            fills[c] = F.coalesce(F.col(c), row[f"d{i}"])
+    for s in batch:
+        if s.kind == "constant":
+            fills[s.column] = F.coalesce(F.col(s.column), F.lit(s.value).cast(df.schema[s.column].dataType))
+    return df.select(*[fills[c].alias(c) if c in fills else F.col(c) for c in df.columns])
+
+
+_BATCHABLE = ("median", "constant", "mode")
+
+
 def impute(df: DataFrame, plan: list[Step] | None = None) -> ImputeResult:
-    """Run the plan in order; report the missing profile before and after."""
+    """Run the plan in order; report the missing profile before and after.
+
+    Consecutive global steps (median / constant / mode) on columns no earlier
+    step has filled are applied together by :func:`_fill_batch`, so their
+    statistics share passes over the data; other steps run one by one.
+    """
     plan = plan if plan is not None else review_plan()
-    out = df
-    for step in plan:
-        out = apply_step(out, step)
+    out, filled, i = df, set(), 0
+    while i < len(plan):
+        batch, j = [], i
+        while j < len(plan) and plan[j].kind in _BATCHABLE and plan[j].column not in filled | {s.column for s in batch}:
+            batch.append(plan[j])
+            j += 1
+        if len(batch) > 1:
+            out = _fill_batch(out, batch)
+        else:
+            batch, j = [plan[i]], i + 1
+            out = apply_step(out, plan[i])
+        filled |= {s.column for s in batch}
+        i = j
     return ImputeResult(out, missing_profile(df), missing_profile(out))

@@ -98,3 +98,16 @@ def test_null_can_not_become_the_mode(spark):
     rows = [(None,)] * 5 + [("x",), ("y",), ("y",)]
     df = spark.createDataFrame(rows, "v string")
     assert [r.v for r in N.impute_mode(df, "v").collect()].count("y") == 7
+
+
+def test_batched_fills_equal_one_by_one(spark):
+    # 9 and 10 tie for the mode: the typed smallest (9) must win, not the text smallest ("10").
+    rows = [(9, "b", 1.0), (9, "a", None), (10, "a", 3.0), (10, None, 5.0), (None, "b", 2.0), (None, None, None)]
+    df = spark.createDataFrame(rows, "r int, s string, x double")
+    plan = [N.Step("median", "x", "exact"), N.Step("mode", "r"), N.Step("constant", "s", "zz"), N.Step("mode", "s")]
+    batched = N.impute(df, plan).imputed
+    one = df
+    for st in plan:
+        one = N.apply_step(one, st)
+    assert sorted(map(tuple, batched.collect()), key=repr) == sorted(map(tuple, one.collect()), key=repr)
+    assert [r.r for r in batched.collect()].count(9) == 4
