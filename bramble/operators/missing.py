@@ -243,6 +243,29 @@ def _fill_batch(df: DataFrame, batch: list[Step]) -> DataFrame:
     return df.select(*[fills[c].alias(c) if c in fills else F.col(c) for c in df.columns])
 
 
+def _group_then_global_mode(df: DataFrame, c: str, by: list[str], max_broadcast_rows: int | None = None) -> DataFrame:
+    """I4 followed by I3 on the same column, from one pass over the rows.
+
+    One grouped count over ``(*by, c)``, nulls included, gives the per-group
+    modes and also the column's counts *after* the group fill (each group's
+    nulls are credited to that group's mode), hence the global mode.  Rows
+    are then filled in one projection after a size-checked lookup join.
+    Equal to ``impute_group_mode`` then ``impute_mode``.
+    """
+    counts = materialize(df.groupBy(*by, c).agg(F.count(F.lit(1)).alias("__n")))
+    known = counts.filter(F.col(c).isNotNull())
+    for b in by:
+        known = known.filter(F.col(b).isNotNull())
+    modes = known.groupBy(*by).agg(_best(c).alias("__fill"))
+    group_nulls = counts.filter(F.col(c).isNull()).drop(c).join(modes, by, "inner").select(F.col("__fill").alias(c), "__n")
+    after = counts.filter(F.col(c).isNotNull()).select(c, "__n").unionByName(group_nulls)
+    total = after.groupBy(c).agg(F.sum("__n").alias("__n"))
+    global_mode = materialize(total.agg(_best(c).alias("mode"))).scalar()
+    kw = {} if max_broadcast_rows is None else {"max_broadcast_rows": max_broadcast_rows}
+    joined = lookup_join(df, modes, on=by, how="left", **kw)
+    return joined.withColumn(c, F.coalesce(F.col(c), F.col("__fill"), global_mode)).select(*df.columns)
+
+
 _BATCHABLE = ("median", "constant", "mode")
 
 
@@ -251,7 +274,9 @@ def impute(df: DataFrame, plan: list[Step] | None = None) -> ImputeResult:
 
     Consecutive global steps (median / constant / mode) on columns no earlier
     step has filled are applied together by :func:`_fill_batch`, so their
-    statistics share passes over the data; other steps run one by one.
+    statistics share passes over the data; a group-mode fill followed by a
+    global mode of the same column shares one pass
+    (:func:`_group_then_global_mode`); other steps run one by one.
     """
     plan = plan if plan is not None else review_plan()
     out, filled, i = df, set(), 0
@@ -262,6 +287,14 @@ def impute(df: DataFrame, plan: list[Step] | None = None) -> ImputeResult:
             j += 1
         if len(batch) > 1:
             out = _fill_batch(out, batch)
+        elif (
+            plan[i].kind == "group_mode"
+            and i + 1 < len(plan)
+            and plan[i + 1].kind == "mode"
+            and plan[i + 1].column == plan[i].column
+        ):
+            batch, j = [plan[i], plan[i + 1]], i + 2
+            out = _group_then_global_mode(out, plan[i].column, list(plan[i].by))
         else:
             batch, j = [plan[i]], i + 1
             out = apply_step(out, plan[i])

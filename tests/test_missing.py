@@ -111,3 +111,18 @@ def test_batched_fills_equal_one_by_one(spark):
         one = N.apply_step(one, st)
     assert sorted(map(tuple, batched.collect()), key=repr) == sorted(map(tuple, one.collect()), key=repr)
     assert [r.r for r in batched.collect()].count(9) == 4
+
+
+def test_group_then_global_mode_equals_one_by_one(spark):
+    rows = [("A", "x"), ("A", "x"), ("A", None), ("A", None), ("A", None), ("B", "y"), ("B", "y"), ("B", "y"),
+            ("B", None), ("C", None), (None, None), (None, "z")]
+    df = spark.createDataFrame(rows, "div string, dept string")
+    plan = [N.Step("group_mode", "dept", by=("div",)), N.Step("mode", "dept")]
+    fused = N.impute(df, plan).imputed
+    one = df
+    for st in plan:
+        one = N.apply_step(one, st)
+    got = sorted(map(tuple, fused.collect()), key=repr)
+    assert got == sorted(map(tuple, one.collect()), key=repr)
+    # after the group fill: x = 2 + 3 nulls of A = 5, y = 3 + 1 = 4, so C's and the null group's rows get x
+    assert ("C", "x") in got and (None, "x") in got
