@@ -1,7 +1,9 @@
 """Bench: the headline recipes on the driver's tables; prints one JSON line.
 
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
-(default 8), ``BENCH_REPEAT`` (default 3; the median is reported).  Each
+(default 8), ``BENCH_REPEAT`` (default 3; the median is reported).  Per
+query it also records the number of Spark jobs and the rows pulled to the
+driver (from the in-process status tracker, last repeat).  Each
 timing covers building the plan and pulling every result to the driver; large
 frames are forced by a hash over all columns (a plain count would let Catalyst
 prune columns and skip the work).
@@ -28,9 +30,9 @@ from bramble.sources.reviews_raw import reviews_raw  # noqa: E402
 from bramble.sources.tables import read_table  # noqa: E402
 
 
-def force(df: DataFrame):
-    """Evaluate every column of ``df`` without collecting it."""
-    return df.select(F.count(F.lit(1)), F.bit_xor(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))).collect()
+def force(df: DataFrame) -> int:
+    """Evaluate every column of ``df`` without collecting it; returns rows sent to the driver (1)."""
+    return len(df.select(F.count(F.lit(1)), F.bit_xor(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))).collect())
 
 
 def pull(frames: dict) -> int:
@@ -48,12 +50,12 @@ def main() -> None:
     spark = local_session(cpus, shuffle_partitions=int(cpus) * 2 if cpus != "*" else 16, app="bramble-bench")
 
     def q_clean():
-        force(C.clean(reviews_raw(spark, sf_dir)))
+        return force(C.clean(reviews_raw(spark, sf_dir)))
 
     def q_generate():
         li = read_table(spark, sf_dir, "lineitem")
         keys = li.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("review_id"))
-        force(synthesize_reviews(keys, "review_id", seed=42))
+        return force(synthesize_reviews(keys, "review_id", seed=42))
 
     state = {}
 
@@ -62,25 +64,26 @@ def main() -> None:
         old = state.pop("prepared", None)
         spark.catalog.clearCache()
         prep = E.prepare(reviews_raw(spark, sf_dir))
-        pull({"a": prep.clean_report, "b": prep.profile_before, "c": prep.profile_after})
-        force(prep.data)
+        n = pull({"a": prep.clean_report, "b": prep.profile_before, "c": prep.profile_after})
+        n += force(prep.data)
         state["prepared"] = prep.data
         del old
+        return n
 
     def q_explore():
-        pull(E.explore(state["prepared"]))
+        return pull(E.explore(state["prepared"]))
 
     def q_regression():
         r = E.run_regression(state["prepared"])
-        pull({k: v for k, v in r.items() if k != "model"})
+        return pull({k: v for k, v in r.items() if k != "model"})
 
     def q_segmentation():
         r = E.run_segmentation(state["prepared"])
-        pull({k: v for k, v in r.items() if k != "assigned"})  # row labels stay lazy
+        return pull({k: v for k, v in r.items() if k != "assigned"})  # row labels stay lazy
 
     def q_classification():
         r = E.run_classification(state["prepared"])
-        pull({k: v for k, v in r.items() if k != "model"})
+        return pull({k: v for k, v in r.items() if k != "model"})
 
     plan = [
         ("c5_clean", q_clean),
@@ -100,13 +103,18 @@ def main() -> None:
     for _, fn in plan:
         fn()
     sf_dir = real_dir
-    times = {}
+    times, jobs, driver_rows = {}, {}, {}
+    sc = spark.sparkContext
     for name, fn in plan:
         runs = []
-        for _ in range(repeat):
+        for rep in range(repeat):
+            group = f"bench-{name}-{rep}"
+            sc.setJobGroup(group, name)
             t0 = time.perf_counter()
-            fn()
+            rows = fn()
             runs.append(time.perf_counter() - t0)
+            jobs[name] = len(sc.statusTracker().getJobIdsForGroup(group))
+            driver_rows[name] = rows
         times[name] = round(statistics.median(runs), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(
@@ -119,6 +127,8 @@ def main() -> None:
                 "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
                 "repeat": repeat,
                 "cpus": cpus,
+                "spark_jobs": jobs,
+                "rows_to_driver": driver_rows,
             }
         )
     )

@@ -23,7 +23,12 @@ def materialize(df: DataFrame) -> DataFrame:
     persisted (lost blocks are recomputed from lineage).
     """
     if df.sparkSession.sparkContext.getCheckpointDir():
-        return df.checkpoint(eager=True)
+        # Writing a reliable checkpoint runs a second job over the plan; with the
+        # frame cached first, that job reads the cache instead of recomputing.
+        cached = df.persist()
+        out = cached.checkpoint(eager=True)
+        cached.unpersist(blocking=False)
+        return out
     out = df.persist()
     out.count()
     return out
