@@ -105,7 +105,15 @@ def clean(df: DataFrame, steps: Iterable[str] = ALL_STEPS, rules: list[Rule] | N
         df = normalize_columns(df)
     if "dedupe" in steps:
         df = drop_exact_duplicates(df)
-    for rule in rules if rules is not None else review_rules():
+    if rules is None:
+        # Without the renaming step, the rules address the columns by their original names.
+        actual = {normalized_name(c): f"`{c}`" for c in df.columns}
+        cols = REVIEW
+        rules = review_rules(
+            type(cols)(age=actual.get(cols.age, cols.age), rating=actual.get(cols.rating, cols.rating),
+                       recommended=actual.get(cols.recommended, cols.recommended))
+        )
+    for rule in rules:
         if rule.name in steps:
             df = df.filter(rule.predicate)
     return df

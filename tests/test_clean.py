@@ -62,3 +62,10 @@ def test_clean_idempotent(spark, sf_small):
     once = C.clean(reviews_raw(spark, sf_small))
     twice = C.clean(once)
     assert once.count() == twice.count()
+
+
+def test_clean_without_renaming_uses_original_names(spark, sf_small):
+    raw = reviews_raw(spark, sf_small)
+    kept = C.clean(raw, steps=["dedupe", "age", "rating", "recommended"])
+    assert "Recommended IND" in kept.columns
+    assert kept.count() == C.clean(raw).count() == 5199

@@ -17,3 +17,29 @@ def test_stream_clean_equals_batch_clean(spark, sf_small, tmp_path):
     want = C.clean(raw)
     assert got.count() == want.count() == 5199
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_stream_clean_with_watermark_dedupes_within_delay(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from bramble.sources.generator import generate_reviews
+
+    gen = generate_reviews(spark, 400, seed=9).withColumn("Event Time", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("Age")))
+    raw = gen.unionByName(gen.limit(50))  # exact copies, same event time
+    src = str(tmp_path / "raw_ts")
+    raw.write.parquet(src)
+    stream = spark.readStream.schema(raw.schema).parquet(src)
+    q = (
+        clean_stream(stream, event_time="Event Time", watermark="1 hour")
+        .writeStream.format("memory")
+        .queryName("cleaned_stream_wm")
+        .outputMode("append")
+        .start()
+    )
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = spark.table("cleaned_stream_wm")
+    want = C.clean(raw)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
