@@ -820,3 +820,33 @@ def q_m9_step(spark, d):
 )
 def q_a6_many(spark, d):
     return A.value_counts_many(imputed(spark, d), [R.rating, R.division, R.department, R.klass])
+
+
+_GEN_COLS = [f.name for f in G.REVIEW_SCHEMA.fields]
+_GEN_NUMERIC = {"Age", "Rating", "Recommended_IND", "Positive_Feedback_Count"}
+
+
+def _describe_generated_sql() -> str:
+    parts = []
+    for c in _GEN_COLS:
+        q = f'"{c}"'
+        mean, sd = (f"round(avg({q}), 4)", f"round(stddev_samp({q}), 4)") if c in _GEN_NUMERIC else (
+            "CAST(NULL AS DOUBLE)",
+            "CAST(NULL AS DOUBLE)",
+        )
+        parts.append(
+            f"SELECT '{c}' AS \"column\", CAST(count({q}) AS BIGINT) AS \"count\", {mean} AS \"mean\", {sd} AS stddev, "
+            f"CAST(min({q}) AS VARCHAR) AS \"min\", CAST(max({q}) AS VARCHAR) AS \"max\" FROM gen"
+        )
+    return (
+        "WITH gen AS ("
+        + generator_sql("concat(CAST(l_orderkey AS VARCHAR), '-', CAST(l_linenumber AS VARCHAR))", "lineitem")
+        + ")\n"
+        + "\nUNION ALL ".join(parts)
+    )
+
+
+@register("a1_describe_generated", _describe_generated_sql())
+def q_a1_generated(spark, d):
+    gen = G.synthesize_reviews(lineitem_review_keys(spark, d), "review_id", seed=42, keep_id=False)
+    return round_doubles(A.describe_all(gen))
