@@ -78,3 +78,8 @@ def join_row(df: DataFrame, columns: list[str], text_col: str, text: Column, rep
         else:
             out.append(F.col("__row").getField(c).alias(c))
     return df.select(*out)
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, also where the body uses it inside a lambda."""
+    return F.transform(F.array(value), body)[0]

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, SPACE_RE, col, written
+from .common import SPACE, SPACE_RE, col, let, written
 
 BUCKETS = 1 << 16
 SYMBOLS = "#*$%&|<>"
@@ -36,11 +36,6 @@ def words(text: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, f"[{SPACE_RE}]+", -1))
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _next(a: Column, b: Column, skip: int) -> Column:
     """Hashes of a's elements with b's from ``skip`` on, as far as both go."""
     return F.slice(F.zip_with(a, F.slice(b, F.lit(skip + 1), F.size(b)), lambda x, y: F.xxhash64(x, y)), F.lit(1), F.greatest(F.size(b) - skip, F.lit(0)))
@@ -57,13 +52,13 @@ def n_repeat_words(h: Column) -> Column:
             lambda x: x["d"],
         )
         starts = F.sort_array(F.transform(again, lambda x: x["p"]))
-        return _let(starts, lambda p: F.aggregate(
+        return let(starts, lambda p: F.aggregate(
             F.zip_with(p, F.slice(p, F.lit(2), F.size(p)), lambda a, b: F.least(F.lit(3), F.coalesce(b, a + 3) - a)),
             F.lit(0), lambda acc, x: acc + x,
         ))
 
     pairs = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("p"))))
-    return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(_let(pairs, over)).cast("long")
+    return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(let(pairs, over)).cast("long")
 
 
 def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[Column] | None = None) -> DataFrame:
@@ -81,7 +76,7 @@ def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.size("__w").cast("long").alias("n_words"),
         F.length(F.array_join("__w", "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace("__t", "[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
-        _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+        let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
         F.transform("__w", lambda x: F.xxhash64(x)).alias("one"),
     )
     rows = rows.withColumn("two", _next(F.col("one"), F.col("one"), 1)).withColumn("__three", _next(F.col("two"), F.col("one"), 2))

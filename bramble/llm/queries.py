@@ -10,7 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import decontam, lines, mixing, quality_rules, simhash
+from . import chat, decontam, licenses, lines, mixing, quality_rules, simhash
+
+
+#: A conversation whose texts hold the template's own control strings.
+PROBE = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame(PROBE, "conv_id bigint, turn bigint, role string, text string")
+    return chat.digests(chat.conversations(turns.unionByName(probe)))
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +47,12 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every license notice found: the fullest window of each template in each document."""
+    found = licenses.scan(read_table(spark, sf_dir, "documents"), licenses.template_table(spark))
+    return found.select("doc_id", "template", "n_windows", "start", "containment")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = quality_rules.trusted_ids(read_table(spark, sf_dir, "labels"))
     out = quality_rules.judged(read_table(spark, sf_dir, "documents"), trusted)
@@ -50,15 +66,29 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_chat_formatting": op1_chat_formatting,
     "op2_line_dedup": op2_line_dedup,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_source_mixing": op5_source_mixing,
+    "op7_license_scan": op7_license_scan,
     "op8_quality_rules": op8_quality_rules,
     "pipeline": pipeline,
 }
 
 ORACLE = {
+    "op1_chat_formatting": r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')) v(conv_id, turn, role, text)),
+f AS (
+  SELECT *, length(regexp_replace(regexp_replace(text, '(<)(\\*/?s>)', '\1\\\2', 'g'), '(\[)(\\*/?INST\])', '\1\\\2', 'g'))
+            + length(role) + 9 + length(regexp_replace(role, '[^\n\\]', '', 'g')) AS chars FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM f GROUP BY conv_id""",
     "op2_line_dedup": r"""
 WITH l AS (
   SELECT doc_id, pos, line,
