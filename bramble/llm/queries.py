@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import chat, decontam, licenses, lines, mixing, quality_rules, simhash
+from . import chat, decontam, licenses, lines, lmscore, mixing, quality_clf, quality_rules, simhash
 
 
 #: A conversation whose texts hold the template's own control strings.
@@ -47,6 +47,12 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-entropy difference of every document: target the texts labelled good, background all."""
+    trusted = quality_rules.trusted_ids(read_table(spark, sf_dir, "labels"))
+    return lmscore.score(read_table(spark, sf_dir, "documents"), trusted)
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every license notice found: the fullest window of each template in each document."""
     found = licenses.scan(read_table(spark, sf_dir, "documents"), licenses.template_table(spark))
@@ -59,6 +65,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_clf.scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -71,8 +81,10 @@ QUERIES = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_source_mixing": op5_source_mixing,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_license_scan": op7_license_scan,
     "op8_quality_rules": op8_quality_rules,
+    "op10_quality_classifier": op10_quality_classifier,
     "pipeline": pipeline,
 }
 
