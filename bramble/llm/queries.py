@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import chat, decontam, licenses, lines, lmscore, mixing, quality_clf, quality_rules, simhash
+from . import chat, decontam, html_extract, licenses, lines, lmscore, mixing, quality_clf, quality_rules, simhash
 
 
 #: A conversation whose texts hold the template's own control strings.
@@ -65,6 +65,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_extract.extract(read_table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_clf.scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -84,6 +89,7 @@ QUERIES = {
     "op6_lm_scoring": op6_lm_scoring,
     "op7_license_scan": op7_license_scan,
     "op8_quality_rules": op8_quality_rules,
+    "op9_html_extraction": op9_html_extraction,
     "op10_quality_classifier": op10_quality_classifier,
     "pipeline": pipeline,
 }
