@@ -111,7 +111,8 @@ def _around(w: Column, k: int, reach: int, size: int) -> Column:
 
         return F.transform(F.filter(F.sequence(F.lit(0), F.size(h) - 1), lambda p: known(h[p])), piece)
 
-    return let(F.struct(_hashes(w, k).alias("h")), pieces)
+    # No filter on the length: it would be pushed below and split the text twice.
+    return let(F.struct(_hashes(w, k).alias("h")), lambda z: F.when(F.size(z["h"]) > 0, pieces(z)))
 
 
 def scan(
@@ -130,7 +131,7 @@ def scan(
     for k, reach in [tuple(r) for r in table.groupBy("k").agg(F.max("n")).orderBy("k").collect()]:  # at most `shingle` rows
         own = table.filter(F.col("k") == k)
         bits, size = _bits(spark, own)
-        at = rows.withColumn("bits", bits).filter(F.size("w") >= k)
+        at = rows.withColumn("bits", bits)
 
         at = at.select("doc_id", "row", F.explode(_around(F.col("w"), k, reach, size)).alias("a")).select("doc_id", "row", "a.*")
         opens = own.select("n", F.posexplode("hashes").alias("at", "hash")).distinct()
