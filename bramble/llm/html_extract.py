@@ -37,7 +37,7 @@ from .common import col
 PATH_DIM, WORD_DIM, MEASURES = 192, 32, 8
 HIDDEN = 16
 SAMPLE_PAGES = 200
-COMPOSED_PAGES = 700
+COMPOSED_PAGES = 1200
 SEED = 42
 
 # Element names of HTML.
@@ -246,7 +246,7 @@ class Labeller:
             at = upto
         return [np.zeros(0, np.float32) if o is None else o for o in out]
 
-    def fit(self, pages: list[np.ndarray], labels: list[np.ndarray], epochs: int = 6, batch: int = 32, rate: float = 0.01, seed: int = SEED) -> Labeller:
+    def fit(self, pages: list[np.ndarray], labels: list[np.ndarray], epochs: int = 10, batch: int = 32, rate: float = 0.01, seed: int = SEED) -> Labeller:
         rng = np.random.default_rng(seed)
         mean = {k: np.zeros_like(v) for k, v in self.p.items()}
         square = {k: np.zeros_like(v) for k, v in self.p.items()}
@@ -328,7 +328,7 @@ def composed(vocabulary: list[str], n: int, seed: int = SEED) -> tuple[list, lis
 
     pages, labels = [], []
     for _ in range(n):
-        top = ("html", "body", *pick([(), (), ("div wrapper",), ("div container",), ("div page",)]))
+        top = (*pick([("html", "body"), ("html", "body"), ("body",), ()]), *pick([(), (), ("div wrapper",), ("div container",), ("div page",)]))
         frame = pick([("article",), ("article",), ("main",), ("main", "article"), (f"article {pick(CONTENT)}",), (f"div {pick(CONTENT)}",), (f"div {pick(CONTENT)}",), (f"section {pick(CONTENT)}",), (f"div {pick(CONTENT)} {pick(CONTENT)}", "div")])
         page = []
         for _ in range(int(rng.integers(0, 5))):
