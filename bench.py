@@ -79,7 +79,7 @@ def main() -> None:
 
     def q_segmentation():
         r = E.run_segmentation(state["prepared"])
-        return pull({k: v for k, v in r.items() if k != "assigned"})  # row labels stay lazy
+        return pull({k: v for k, v in r.items() if k != "assigned"}) + force(r["assigned"])
 
     def q_classification():
         r = E.run_classification(state["prepared"])
@@ -110,6 +110,7 @@ def main() -> None:
         for rep in range(repeat):
             group = f"bench-{name}-{rep}"
             sc.setJobGroup(group, name)
+            spark.catalog.clearCache()  # nothing of an earlier run is reused
             t0 = time.perf_counter()
             rows = fn()
             runs.append(time.perf_counter() - t0)

@@ -90,64 +90,82 @@ def review_rules(cols=REVIEW) -> list[Rule]:
 ALL_STEPS = ("normalize", "dedupe", "age", "rating", "recommended")
 
 
+def _selected(df: DataFrame, steps: Iterable[str], rules: list[Rule] | None) -> tuple[set, list[Rule]]:
+    """The steps as a set and the rules to apply, in order.
+
+    Rules that were passed all apply, except one named like a built-in step that is
+    not selected; the built-in rules apply where their step is selected.
+    """
+    steps = set(steps)
+    known = set(ALL_STEPS) | {r.name for r in rules or []}
+    if steps - known:
+        raise ValueError(f"unknown cleaning steps {sorted(steps - known)}; choose from {sorted(known)}")
+    if rules is not None:
+        return steps, [r for r in rules if r.name in steps or r.name not in ALL_STEPS]
+    # Without the renaming step, the rules address the columns by their original names.
+    actual = {} if "normalize" in steps else {normalized_name(c): f"`{c}`" for c in df.columns}
+    cols = REVIEW
+    own = review_rules(
+        type(cols)(age=actual.get(cols.age, cols.age), rating=actual.get(cols.rating, cols.rating),
+                   recommended=actual.get(cols.recommended, cols.recommended))
+    )
+    return steps, [r for r in own if r.name in steps]
+
+
 def clean(df: DataFrame, steps: Iterable[str] = ALL_STEPS, rules: list[Rule] | None = None) -> DataFrame:
     """Normalise names, drop exact duplicates, then apply the validity rules.
 
-    Each step is optional.  Written in the reference's order (duplicates first);
-    Catalyst moves the deterministic filters below the aggregate, so the
+    Each step is optional.  ``rules`` replace the built-in ones; every rule passed
+    applies (see :func:`_selected`).  Written in the reference's order (duplicates
+    first); Catalyst moves the deterministic filters below the aggregate, so the
     shuffle only carries valid rows.
     """
-    steps = set(steps)
-    unknown = steps - set(ALL_STEPS)
-    if unknown:
-        raise ValueError(f"unknown cleaning steps {sorted(unknown)}; choose from {ALL_STEPS}")
+    steps, rules = _selected(df, steps, rules)
     if "normalize" in steps:
         df = normalize_columns(df)
     if "dedupe" in steps:
         df = drop_exact_duplicates(df)
-    if rules is None:
-        # Without the renaming step, the rules address the columns by their original names.
-        actual = {normalized_name(c): f"`{c}`" for c in df.columns}
-        cols = REVIEW
-        rules = review_rules(
-            type(cols)(age=actual.get(cols.age, cols.age), rating=actual.get(cols.rating, cols.rating),
-                       recommended=actual.get(cols.recommended, cols.recommended))
-        )
     for rule in rules:
-        if rule.name in steps:
-            df = df.filter(rule.predicate)
+        df = df.filter(rule.predicate)
     return df
 
 
-def clean_report(df: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
-    """Rows in and out of every cleaning step, in one shuffle and one small aggregate.
+def clean_report(df: DataFrame, rules: list[Rule] | None = None, steps: Iterable[str] = ALL_STEPS) -> DataFrame:
+    """Rows in and out of every selected cleaning step, in one shuffle and one small aggregate.
 
     Duplicate removal commutes with the row filters, so the count after step k
     is the number of *distinct* rows that pass rules 1..k.  One aggregate over
     the distinct rows (each carrying its copy count) yields every step's count.
+    Without the dedupe step nothing is shuffled and rows are counted as they are.
     Output: ``step_no int, step string, rows_in bigint, rows_out bigint, dropped bigint``.
     """
-    return clean_with_report(df, rules)[1]
+    return clean_with_report(df, rules, steps)[1]
 
 
-def clean_with_report(df: DataFrame, rules: list[Rule] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+def clean_with_report(
+    df: DataFrame, rules: list[Rule] | None = None, steps: Iterable[str] = ALL_STEPS
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """C5 and C6 from one duplicate-removal shuffle.
 
-    Returns ``(cleaned, report, distinct)``: ``distinct`` holds every distinct
-    normalised row with its copy count (``__copies``); the cleaned rows and
-    the per-step report are both read from it, so the raw table is shuffled
-    once instead of twice.  Persist ``distinct`` when both outputs are used.
+    Returns ``(cleaned, report, counted)``: ``counted`` holds every distinct
+    row with its copy count (``__copies``; without the dedupe step every row
+    with 1); the cleaned rows and the per-step report are both read from it, so the
+    raw table is shuffled once instead of twice.  Persist it when both outputs are used.
     """
-    df = normalize_columns(df)
-    rules = rules if rules is not None else review_rules()
-    distinct = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__copies"))
-    cleaned = distinct
+    steps, rules = _selected(df, steps, rules)
+    if "normalize" in steps:
+        df = normalize_columns(df)
+    if "dedupe" in steps:
+        counted = df.groupBy(*[f"`{c}`" for c in df.columns]).agg(F.count(F.lit(1)).alias("__copies"))
+    else:
+        counted = df.withColumn("__copies", F.lit(1).cast("bigint"))
+    cleaned = counted
     for rule in rules:
         cleaned = cleaned.filter(rule.predicate)
-    return cleaned.drop("__copies"), _report_from_distinct(distinct, rules), distinct
+    return cleaned.drop("__copies"), _report_from_distinct(counted, rules, "dedupe" in steps), counted
 
 
-def _report_from_distinct(distinct: DataFrame, rules: list[Rule]) -> DataFrame:
+def _report_from_distinct(distinct: DataFrame, rules: list[Rule], dedupe: bool = True) -> DataFrame:
     passed = F.lit(True)
     aggs = [F.sum("__copies").alias("c0"), F.count(F.lit(1)).alias("c1")]
     for i, rule in enumerate(rules):
@@ -155,10 +173,13 @@ def _report_from_distinct(distinct: DataFrame, rules: list[Rule]) -> DataFrame:
         aggs.append(F.count_if(passed).alias(f"c{i + 2}"))
     wide = distinct.agg(*aggs)
     names = ["dedupe"] + [r.name for r in rules]
+    shown = [(i, name) for i, name in enumerate(names) if dedupe or i]
+    if not shown:
+        return wide.sparkSession.createDataFrame([], "step_no int, step string, rows_in bigint, rows_out bigint, dropped bigint")
     entries = ", ".join(
-        f"{i + 1}, '{name}', coalesce(c{i}, 0L), coalesce(c{i + 1}, 0L)" for i, name in enumerate(names)
+        f"{no + 1}, '{name}', coalesce(c{i}, 0L), coalesce(c{i + 1}, 0L)" for no, (i, name) in enumerate(shown)
     )
-    return wide.selectExpr(f"stack({len(names)}, {entries}) AS (step_no, step, rows_in, rows_out)").select(
+    return wide.selectExpr(f"stack({len(shown)}, {entries}) AS (step_no, step, rows_in, rows_out)").select(
         F.col("step_no").cast("int").alias("step_no"),
         "step",
         F.col("rows_in").cast("bigint").alias("rows_in"),

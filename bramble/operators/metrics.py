@@ -17,7 +17,7 @@ def regression_metrics(df: DataFrame, y: str = "rating", yhat: str = "prediction
     """M8: RMSE, MAE and R^2 in one pass: ``n, rmse, mae, r2``.
 
     ``r2 = 1 - SSE / SST`` with ``SST = sum((y - mean(y))^2)``, as Spark's
-    ``RegressionEvaluator``.
+    ``RegressionEvaluator``.  On a constant label (no spread to explain) r2 is null.
     """
     e = F.col(y).cast("double") - F.col(yhat).cast("double")
     agg = df.agg(
@@ -28,30 +28,37 @@ def regression_metrics(df: DataFrame, y: str = "rating", yhat: str = "prediction
     )
     return agg.select(
         F.col("n").cast("bigint").alias("n"),
-        F.sqrt(F.col("sse") / F.col("n")).alias("rmse"),
-        (F.col("sae") / F.col("n")).alias("mae"),
-        (F.lit(1.0) - F.col("sse") / (F.col("var_y") * (F.col("n") - 1))).alias("r2"),
+        F.sqrt(F.try_divide("sse", "n")).alias("rmse"),
+        F.try_divide("sae", "n").alias("mae"),
+        (F.lit(1.0) - F.try_divide(F.col("sse"), F.col("var_y") * (F.col("n") - 1))).alias("r2"),
     )
 
 
 def _label_text(v) -> str:
-    f = float(v)
+    try:
+        f = float(v)
+    except ValueError:
+        return str(v)
     return str(int(f)) if f.is_integer() else str(v).replace(".", "_")
 
 
-def confusion_matrix(df: DataFrame, y: str, yhat: str, labels: Sequence) -> DataFrame:
+def confusion_matrix(df: DataFrame, y: str, yhat: str, labels: Sequence | None = None) -> DataFrame:
     """Counts of (actual, predicted) over all rows; zeros for absent pairs.
 
     One row per actual label, one column ``pred_<label>`` per predicted label
-    (``pred_0``, ``pred_1`` for 0.0 / 1.0).  The labels are given, so no extra
-    job runs to discover them.
+    (``pred_0``, ``pred_1`` for 0.0 / 1.0).  Without ``labels`` the predicted labels
+    are found in one more small job; with them, every other prediction (null
+    too) is counted in ``pred_other``, so each row sums to its label's rows.
     """
-    labels = list(labels)
-    out = df.groupBy(F.col(y).alias(y)).pivot(yhat, labels).agg(F.count(F.lit(1)))
-    names = [c for c in out.columns if c != y]
-    return out.select(
-        y, *[F.coalesce(F.col(f"`{n}`"), F.lit(0)).cast("bigint").alias(f"pred_{_label_text(v)}") for n, v in zip(names, labels)]
-    )
+    grouped = df.groupBy(F.col(y).alias(y))
+    if labels is None:
+        out = grouped.pivot(yhat).agg(F.count(F.lit(1)))
+        return out.select(y, *[F.coalesce(F.col(f"`{n}`"), F.lit(0)).cast("bigint").alias(f"pred_{_label_text(n)}") for n in out.columns if n != y])
+    hit = [F.coalesce(F.col(yhat) == F.lit(v), F.lit(False)) for v in labels]
+    other = F.lit(True)
+    for h in hit:
+        other = other & ~h
+    return grouped.agg(*[F.count_if(h).alias(f"pred_{_label_text(v)}") for h, v in zip(hit, labels)], F.count_if(other).alias("pred_other"))
 
 
 def classification_metrics(df: DataFrame, y: str, yhat: str) -> DataFrame:

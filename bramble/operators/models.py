@@ -75,6 +75,7 @@ def fit_regression(
         lr = LinearRegression(featuresCol="features", labelCol=label, solver=solver, regParam=reg_param, weightCol="weight")
         lr_model = lr.fit(prep.transform(points))
         model = PipelineModel(stages=[*prep.stages, lr_model])
+        points.unpersist()
     else:
         pipe = Pipeline(
             stages=[
@@ -131,11 +132,12 @@ def kmeans_sweep(
     points = points.persist()
     prep = FE.fit_weighted_preparation(points, nums, cats, out=out)
     if scale:
-        from pyspark.ml.feature import StandardScaler
+        from pyspark.ml.feature import ElementwiseProduct
+        from pyspark.ml.linalg import Vectors
 
-        scaler = StandardScaler(inputCol="raw_features", outputCol="features", withMean=False, withStd=True)
-        scaler_model = scaler.fit(prep.transform(points))
-        prep = PipelineModel(stages=[*prep.stages, scaler_model])
+        std = [r["std"] for r in slot_std(prep.transform(points), "raw_features", "weight").orderBy("slot").collect()]  # one number per slot
+        factors = Vectors.dense([1.0 / s if s else 0.0 for s in std])
+        prep = PipelineModel(stages=[*prep.stages, ElementwiseProduct(scalingVec=factors, inputCol="raw_features", outputCol="features")])
     prepared_points = prep.transform(points).persist()
     models, rows = {}, []
     for k in ks:
@@ -147,11 +149,22 @@ def kmeans_sweep(
         }
         rows.append((int(k), float(m.summary.trainingCost), [sizes.get(i, 0) for i in range(int(k))]))
     table = df.sparkSession.createDataFrame(rows, "k int, wssse double, sizes array<bigint>")
+    # The fits are done; what reads the points later recomputes them.
+    prepared_points.unpersist()
+    points.unpersist()
     return KMeansSweep(models, prep.transform(df), table, prep, prepared_points)
 
 
+def slot_std(df: DataFrame, vector: str, weight: str) -> DataFrame:
+    """``slot, std``: sample standard deviation per vector slot, rows counted ``weight`` times."""
+    slots = df.select(F.col(weight).cast("double").alias("w"), F.posexplode(vector_to_array(vector)).alias("slot", "x"))
+    sums = slots.groupBy("slot").agg(F.sum("w").alias("n"), F.sum(F.col("w") * F.col("x")).alias("s"), F.sum(F.col("w") * F.col("x") * F.col("x")).alias("q"))
+    spread = F.greatest(F.col("q") - F.col("s") * F.col("s") / F.col("n"), F.lit(0.0))
+    return sums.select("slot", F.sqrt(F.coalesce(F.try_divide(spread, F.col("n") - 1), F.lit(0.0))).alias("std"))
+
+
 def choose_k(sweep: KMeansSweep, k: int | str = 3) -> int:
-    """A fixed k, or ``"elbow"``: the k after which the relative drop in cost is smallest."""
+    """A fixed k, or ``"elbow"``: the k whose relative drop in cost exceeds the next one's by most."""
     if k != "elbow":
         return int(k)
     costs = sorted((kk, m.summary.trainingCost) for kk, m in sweep.models.items())
@@ -237,6 +250,7 @@ def fit_classifier(
         prep = FE.fit_weighted_preparation(points, nums, cats)
         forest = rf.setWeightCol("weight").fit(prep.transform(points))
         model = PipelineModel(stages=[*prep.stages, forest])
+        points.unpersist()
     else:
         model = Pipeline(stages=[*FE.feature_pipeline(nums, cats).getStages(), rf]).fit(train)
     pred = model.transform(test)

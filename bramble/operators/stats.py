@@ -204,6 +204,7 @@ def kde(
     ``bin_width`` (e.g. a tenth of the expected bandwidth): values are snapped
     to bin centres before the kernels are summed, which bounds the work by the
     number of bins instead of the number of rows.
+    A constant column has no bandwidth: its points coincide and the density is null.
     Output: ``point int, x double, density double``.
     """
     data = df.select(F.col(c).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
@@ -238,14 +239,14 @@ def kde(
         params.select(F.struct("bw", "gmin", "gmax")).scalar().alias("__p"),
         F.explode(F.sequence(F.lit(0), F.lit(last))).alias("point"),
     )
-    z = (grid_x(F.col("point"), "__p.") - F.col("v")) / F.col("__p.bw")
+    z = F.try_divide(grid_x(F.col("point"), "__p.") - F.col("v"), F.col("__p.bw"))
     dens = pts.groupBy("point").agg(F.sum(F.col("w") * F.exp(F.lit(-0.5) * z * z)).alias("s"))
     grid_pts = params.select("n", "bw", "gmin", "gmax", F.explode(F.sequence(F.lit(0), F.lit(last))).alias("point"))
     out = grid_pts.join(dens, "point", "left")
     return out.select(
         F.col("point").cast("int").alias("point"),
         grid_x(F.col("point")).alias("x"),
-        (F.coalesce(F.col("s"), F.lit(0.0)) / (F.col("n") * F.col("bw") * F.lit(math.sqrt(2.0 * math.pi)))).alias("density"),
+        F.try_divide(F.coalesce(F.col("s"), F.lit(0.0)), F.col("n") * F.col("bw") * F.lit(math.sqrt(2.0 * math.pi))).alias("density"),
     )
 
 
@@ -305,7 +306,8 @@ def group_means(df: DataFrame, by: Sequence[str] | str, cols: Sequence[str], pre
 def pivot_counts(df: DataFrame, rows: str, cols: str, values: Sequence | None = None, fill: int | None = None) -> DataFrame:
     """Counts per (rows, cols) pair as a wide table, one column per ``cols`` value.
 
-    Passing ``values`` avoids the extra job Spark runs to discover them.
+    Passing ``values`` avoids the extra job Spark runs to discover them, and
+    restricts the table to them: rows of any other value are left out.
     Absent pairs are null, or ``fill`` when given.
     """
     src = df.filter(F.col(rows).isNotNull() & F.col(cols).isNotNull())

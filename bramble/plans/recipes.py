@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators import clean as C
 from ..operators import features as FE
@@ -37,25 +38,28 @@ class Prepared:
 def prepare(raw: DataFrame, median_method: str = "approx", steps: Sequence[str] = C.ALL_STEPS, cut_lineage: bool = True) -> Prepared:
     """Clean -> impute, materialised once for the recipes that follow.
 
-    With every cleaning step selected, the cleaned rows and the cleaning
-    report come from one duplicate-removal shuffle, and only that distinct
-    table is persisted (every fill statistic reads the cleaned rows, a filter
-    over it); otherwise the cleaned rows are persisted.  The imputed output is
+    The cleaned rows and the cleaning report of the selected steps come from one
+    duplicate-removal shuffle, and only that table is persisted (every fill
+    statistic reads the cleaned rows, a filter over it), until the output stands.
+    Without the normalize step the columns keep their original names.  The imputed output is
     checkpointed to ``spark.checkpoint.dir`` (or persisted when none is set),
     which cuts the lineage the model fits would otherwise replay.
     """
-    if set(steps) == set(C.ALL_STEPS):
-        # One shuffle of the raw rows feeds both the report and the cleaned rows;
-        # the cleaned rows are a filter over the persisted distinct table.
-        cleaned, report, distinct = C.clean_with_report(raw)
-        if cut_lineage:
-            distinct.persist()
-    else:
-        cleaned, report = C.clean(raw, steps), C.clean_report(raw)
-        cleaned = cleaned.persist() if cut_lineage else cleaned
-    res = N.impute(cleaned, N.review_plan(median_method=median_method))
-    data = materialize(res.imputed) if cut_lineage else res.imputed
-    return Prepared(data, report, res.profile_before, N.missing_profile(data))
+    # One shuffle of the raw rows feeds both the report and the cleaned rows;
+    # the cleaned rows are a filter over the persisted counted table.
+    cleaned, report, counted = C.clean_with_report(raw, steps=steps)
+    if cut_lineage:
+        counted.persist()
+    names = cleaned.columns
+    # The imputation plan addresses columns by their normalised names; others come back as they were.
+    res = N.impute(C.normalize_columns(cleaned), N.review_plan(median_method=median_method))
+    imputed = res.imputed.select(*[F.col(C.normalized_name(c)).alias(c) for c in names])
+    if not cut_lineage:
+        return Prepared(imputed, report, res.profile_before, N.missing_profile(imputed))
+    data = materialize(imputed)
+    report, before = materialize(report), materialize(res.profile_before)  # a few rows each
+    counted.unpersist()
+    return Prepared(data, report, before, N.missing_profile(data))
 
 
 def explore(df: DataFrame, cols=REVIEW) -> dict[str, DataFrame]:
@@ -71,7 +75,7 @@ def explore(df: DataFrame, cols=REVIEW) -> dict[str, DataFrame]:
         "age_histogram": A.histogram(df, cols.age, "auto"),
         "age_kde": A.kde(df, cols.age),
         "rating_counts": A.split_value_counts(counts, df, cols.rating, order="value"),
-        "rating_vs_recommended": A.crosstab(df, cols.rating, cols.recommended, values=[0, 1]),
+        "rating_vs_recommended": A.crosstab(df, cols.rating, cols.recommended),
         "division_counts": A.split_value_counts(counts, df, cols.division),
         "department_counts": A.split_value_counts(counts, df, cols.department),
         "class_counts": A.split_value_counts(counts, df, cols.klass),
@@ -81,12 +85,15 @@ def explore(df: DataFrame, cols=REVIEW) -> dict[str, DataFrame]:
 
 
 def ml_split(df: DataFrame, seed: int = 42, layout_partitions: int | None = None):
-    """The 80/20 content-hash split of the seven model columns."""
-    ml = df.select(*ML_COLS)
+    """The 80/20 content-hash split of the rows, then the seven model columns of each side.
+
+    The hash covers every column of ``df``, so rows that agree on the model columns
+    alone fall on either side, as in a split of rows.
+    """
     if layout_partitions:
-        ml = FE.stable_layout(ml, layout_partitions, seed)
-    train, test = FE.hash_split(ml, (0.8, 0.2), seed=seed)
-    return ml, train, test
+        df = FE.stable_layout(df, layout_partitions, seed)
+    train, test = FE.hash_split(df, (0.8, 0.2), seed=seed)
+    return df.select(*ML_COLS), train.select(*ML_COLS), test.select(*ML_COLS)
 
 
 def run_regression(df: DataFrame, seed: int = 42, solver: str = "auto", layout_partitions: int | None = None) -> dict:
@@ -94,6 +101,7 @@ def run_regression(df: DataFrame, seed: int = 42, solver: str = "auto", layout_p
     _, train, test = ml_split(df, seed, layout_partitions)
     train = train.persist()
     res = MO.fit_regression(train, test, ["age", "recommended_ind", "positive_feedback_count"], CATS, "rating", solver)
+    train.unpersist()
     sample = M.with_residual(
         MO.sample_predictions(res.predictions, 10, ML_COLS, ["rating", "prediction"]), "rating", "prediction"
     )
@@ -107,6 +115,7 @@ def run_segmentation(df: DataFrame, ks: Sequence[int] = (2, 3, 4, 5), k: int | s
     weighted distinct feature rows; only the row labels (``assigned``) touch
     every row, lazily.
     """
+    ks = tuple(ks) if k == "elbow" else tuple(sorted({*ks, int(k)}))
     sweep = MO.kmeans_sweep(df.select(*ML_COLS), list(REVIEW.numeric), CATS, ks, seed, scale)
     kk = MO.choose_k(sweep, k)
     points = MO.assign_points(sweep, kk)
@@ -129,9 +138,10 @@ def run_classification(
     train = train.persist()
     nums = ["age", "rating", "positive_feedback_count"]
     res = MO.fit_classifier(train, test, nums, CATS, "recommended_ind", num_trees, seed, compress=compress)
+    train.unpersist()
     return {
         "metrics": res.metrics,
-        "confusion": M.confusion_matrix(res.predictions, "recommended_ind", "prediction", [0.0, 1.0]),
+        "confusion": M.confusion_matrix(res.predictions, "recommended_ind", "prediction"),
         "importance": MO.feature_importance(res, nums + [c + FE.VEC for c in CATS]),
         "sample": MO.sample_predictions(
             MO.vector_as_text(res.predictions, "probability"), 10, ML_COLS, ["recommended_ind", "prediction", "probability_text"]

@@ -27,6 +27,7 @@ from ..presets import REVIEW as R
 from ..sources import generator as G
 from ..sources.reviews_raw import reviews_raw
 from ..sources.tables import read_table
+from . import recipes as E
 from .oracle_sql import (
     COLS,
     generator_sql,
@@ -131,6 +132,23 @@ FROM (
 )
 
 
+@register("c5_clean_custom_rule", with_reviews("SELECT * FROM cleaned WHERE positive_feedback_count IS NOT NULL AND positive_feedback_count >= 3"))
+def q_c5_custom(spark, d):
+    rules = [*C.review_rules(), C.Rule("feedback", C.range_predicate(R.feedback, lo=3))]
+    return C.clean(reviews_raw(spark, d), rules=rules)
+
+
+@register(
+    "c6_report_subset",
+    with_reviews(
+        """SELECT CAST(1 AS INTEGER) AS step_no, 'age' AS step, count(*) AS rows_in, count(*) FILTER (WHERE age IS NOT NULL AND age > 0 AND age < 100) AS rows_out,
+       count(*) FILTER (WHERE age IS NULL OR age <= 0 OR age >= 100) AS dropped FROM raw_n"""
+    ),
+)
+def q_c6_subset(spark, d):
+    return C.clean_report(reviews_raw(spark, d), steps=("normalize", "age"))
+
+
 @register("c6_clean_report", _C6_SQL)
 def q_c6(spark, d):
     return C.clean_report(reviews_raw(spark, d))
@@ -139,6 +157,17 @@ def q_c6(spark, d):
 # --------------------------------------------------------------------------- crosstab (step 1 slice)
 
 
+_UNCLEANED = "SELECT rating, " + ", ".join(
+    f'CAST(count(*) FILTER (WHERE recommended_ind = {v}) AS BIGINT) AS "{v}"' for v in (0, 1, 2)
+)
+
+
+@register("a7_crosstab_uncleaned", with_reviews(_UNCLEANED + " FROM raw_n WHERE rating IS NOT NULL AND recommended_ind IS NOT NULL GROUP BY rating"))
+def q_a7_raw(spark, d):
+    """Every flag value that occurs has its column, invalid ones too."""
+    return A.crosstab(raw_n(spark, d), R.rating, R.recommended)
+
+
 _A7_SQL = with_reviews(
     """SELECT rating, CAST(count(*) FILTER (WHERE recommended_ind = 0) AS BIGINT) AS "0",
        CAST(count(*) FILTER (WHERE recommended_ind = 1) AS BIGINT) AS "1"
@@ -517,11 +546,11 @@ CLS_NUMS = ["age", "rating", "positive_feedback_count"]
 
 
 ML_CTE = "ml AS (SELECT " + ", ".join(ML_COLS) + " FROM imputed)"
+_HASHED = ", ".join("coalesce(printf('%.6f', age), '~')" if c == "age" else f"coalesce(CAST({c} AS VARCHAR), '~')" for c in COLS)
+#: The split hashes all nine columns of a row, not only the model's.
 SPLIT_CTE = (
-    "mls AS (SELECT *, CASE WHEN CAST('0x' || substr(md5('42|' || concat_ws('|', "
-    "coalesce(printf('%.6f', age), '~'), coalesce(CAST(rating AS VARCHAR), '~'), coalesce(CAST(recommended_ind AS VARCHAR), '~'), "
-    "coalesce(CAST(positive_feedback_count AS VARCHAR), '~'), coalesce(division_name, '~'), coalesce(department_name, '~'), "
-    "coalesce(class_name, '~'))), 1, 8) AS BIGINT) % 1000 < 800 THEN 'train' ELSE 'test' END AS split FROM ml)"
+    "mls AS (SELECT " + ", ".join(ML_COLS) + f", CASE WHEN CAST('0x' || substr(md5('42|' || concat_ws('|', {_HASHED})), 1, 8) AS BIGINT) % 1000 < 800 "
+    "THEN 'train' ELSE 'test' END AS split FROM imputed)"
 )
 
 
@@ -530,8 +559,8 @@ def ml_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    train, test = FE.hash_split(ml_frame(spark, sf_dir), (0.8, 0.2), seed=42)
-    return train, test
+    train, test = FE.hash_split(imputed(spark, sf_dir).select(*COLS), (0.8, 0.2), seed=42)
+    return train.select(*ML_COLS), test.select(*ML_COLS)
 
 
 def _index_sql(c: str) -> str:
@@ -591,7 +620,7 @@ def q_m2(spark, d):
                  *imputed_ctes(), ML_CTE, SPLIT_CTE),
 )
 def q_m3(spark, d):
-    return round_doubles(FE.with_split_label(ml_frame(spark, d), (0.8, 0.2), seed=42))
+    return round_doubles(FE.with_split_label(imputed(spark, d).select(*COLS), (0.8, 0.2), seed=42).select(*ML_COLS, "split"))
 
 
 @register(
@@ -630,7 +659,57 @@ def rule_predictions(spark: SparkSession, d: str) -> DataFrame:
     ),
 )
 def q_m12(spark, d):
-    return M.confusion_matrix(rule_predictions(spark, d), R.recommended, "prediction", labels=[0.0, 1.0])
+    return M.confusion_matrix(rule_predictions(spark, d), R.recommended, "prediction")
+
+
+@register(
+    "m12_confusion_unlisted_label",
+    with_reviews(
+        f"SELECT recommended_ind, CAST(count(*) FILTER (WHERE {_RULE} = 1.0) AS BIGINT) AS pred_1, "
+        f"CAST(count(*) FILTER (WHERE {_RULE} <> 1.0) AS BIGINT) AS pred_other FROM mls WHERE split = 'test' GROUP BY recommended_ind",
+        *imputed_ctes(), ML_CTE, SPLIT_CTE,
+    ),
+)
+def q_m12_other(spark, d):
+    return M.confusion_matrix(rule_predictions(spark, d), R.recommended, "prediction", labels=[1.0])
+
+
+@register(
+    "p4_residual_rule",
+    with_reviews(
+        "SELECT " + ", ".join("round(age, 4) AS age" if c == "age" else c for c in ML_COLS) + f", {_RULE} AS prediction, "
+        f"CAST(recommended_ind AS DOUBLE) - {_RULE} AS error FROM mls WHERE split = 'test'",
+        *imputed_ctes(), ML_CTE, SPLIT_CTE,
+    ),
+)
+def q_p4(spark, d):
+    return round_doubles(M.with_residual(rule_predictions(spark, d), R.recommended, "prediction"))
+
+
+@register(
+    "t4_sample_predictions_rule",
+    with_reviews(
+        f"SELECT recommended_ind, {_RULE} AS prediction FROM mls WHERE split = 'test' ORDER BY "
+        + ", ".join(f"{c} ASC NULLS FIRST" for c in ML_COLS) + " LIMIT 10",
+        *imputed_ctes(), ML_CTE, SPLIT_CTE,
+    ),
+)
+def q_t4(spark, d):
+    return MO.sample_predictions(rule_predictions(spark, d), 10, ML_COLS, [R.recommended, "prediction"])
+
+
+@register(
+    "m9_scaled_slot_std",
+    with_reviews(
+        "\nUNION ALL ".join(f"SELECT {i} AS slot, round(stddev_samp(CAST({c} AS DOUBLE)), 4) AS std FROM imputed" for i, c in enumerate(CLU_NUMS)),
+        *imputed_ctes(),
+    ),
+)
+def q_m9_std(spark, d):
+    """The spreads that ``kmeans_sweep(scale=True)`` divides by, from the weighted distinct rows."""
+    points = FE.weighted_distinct(ml_frame(spark, d), CLU_NUMS + CATS)
+    prep = FE.fit_weighted_preparation(points, CLU_NUMS, CATS, out="raw_features")
+    return round_doubles(MO.slot_std(prep.transform(points), "raw_features", "weight").filter(F.col("slot") < len(CLU_NUMS)))
 
 
 @register(
@@ -702,6 +781,7 @@ def q_m11_div(spark, d):
 
 def _forest(spark, d):
     train, test = split_frames(spark, d)
+    train = FE.stable_layout(train, 8, 42)  # a seed alone does not repeat a forest
     return MO.fit_classifier(train, test, CLS_NUMS, CATS, label=R.recommended, num_trees=10, seed=42)
 
 
@@ -850,3 +930,33 @@ def _describe_generated_sql() -> str:
 def q_a1_generated(spark, d):
     gen = G.synthesize_reviews(lineitem_review_keys(spark, d), "review_id", seed=42, keep_id=False)
     return round_doubles(A.describe_all(gen))
+
+
+# --------------------------------------------------------------------------- recipes
+
+
+@register("e1_prepare_data", with_reviews(select_with("imputed", age="round(age, 4)"), *imputed_ctes()))
+def q_e1(spark, d):
+    """The prepared table through the recipe itself, with the exact median."""
+    return round_doubles(E.prepare(reviews_raw(spark, d), median_method="exact").data)
+
+
+@register("e1_clean_report", _C6_SQL)
+def q_e1_report(spark, d):
+    return E.prepare(reviews_raw(spark, d), median_method="exact").clean_report
+
+
+@register("e2_rating_vs_recommended", _A7_SQL)
+def q_e2(spark, d):
+    return E.explore(cleaned(spark, d))["rating_vs_recommended"]
+
+
+@register(
+    "e3_split_sizes",
+    with_reviews("SELECT split, count(*) AS n_rows, CAST(sum(rating) AS BIGINT) AS rating_sum FROM mls GROUP BY split", *imputed_ctes(), ML_CTE, SPLIT_CTE),
+)
+def q_e3_split(spark, d):
+    """The recipes' own split, by the rows and ratings on each side."""
+    _, train, test = E.ml_split(imputed(spark, d).select(*COLS))
+    sides = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    return sides.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("rating").cast("bigint").alias("rating_sum"))

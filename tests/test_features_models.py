@@ -54,7 +54,7 @@ def test_classification_metrics_equal_evaluator(spark):
 def test_confusion_matrix_over_all_rows(spark):
     rows = [(1, 1.0)] * 3 + [(0, 1.0)] * 2 + [(1, 0.0)]
     df = spark.createDataFrame(rows, "y int, prediction double")
-    cm = {r.y: (r.pred_0, r.pred_1) for r in M.confusion_matrix(df, "y", "prediction", [0.0, 1.0]).collect()}
+    cm = {r.y: (r.pred_0, r.pred_1) for r in M.confusion_matrix(df, "y", "prediction").collect()}
     assert cm == {1: (1, 3), 0: (0, 2)}
 
 
