@@ -146,4 +146,6 @@ def judged(
 def passing(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that are kept, columns unchanged."""
     out = judged(docs, trusted, threshold, buckets, id_col, text_col, keep=[F.struct(*[col(c) for c in docs.columns]).alias("__row")])
-    return out.filter("kept").select(*[F.col("__row").getField(c).alias(c) for c in docs.columns])
+    # The row number keeps the filter above the verdict; pushed below, it would repeat every expression in it.
+    out = out.withColumn("__n", F.monotonically_increasing_id()).filter("kept and __n >= 0")
+    return out.select(*[F.col("__row").getField(c).alias(c) for c in docs.columns])
