@@ -44,21 +44,30 @@ def _next(a: Column, b: Column, skip: int) -> Column:
 def n_repeat_words(h: Column) -> Column:
     """Words covered by windows (hashes ``h``, each of three words) that occur twice or more in the text."""
 
-    def over(s: Column) -> Column:
-        # s: (hash, position) in order; a window repeats if a neighbour has its hash.
-        last = F.size(s) - 1
-        again = F.filter(
-            F.transform(s, lambda x, i: F.struct(x["p"].alias("p"), (((i > 0) & (s[F.greatest(i - 1, F.lit(0))]["h"] == x["h"])) | ((i < last) & (s[F.least(i + 1, last)]["h"] == x["h"]))).alias("d"))),
-            lambda x: x["d"],
-        )
-        starts = F.sort_array(F.transform(again, lambda x: x["p"]))
-        return let(starts, lambda p: F.aggregate(
-            F.zip_with(p, F.slice(p, F.lit(2), F.size(p)), lambda a, b: F.least(F.lit(3), F.coalesce(b, a + 3) - a)),
-            F.lit(0), lambda acc, x: acc + x,
-        ))
-
-    pairs = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("p"))))
-    return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(let(pairs, over)).cast("long")
+    def covered(starts: Column) -> Column:
+        gaps = lambda p: F.zip_with(p, F.slice(p, F.lit(2), F.size(p)), lambda a, b: F.least(F.lit(3), F.coalesce(b, a + 3) - a))
+        return let(starts, lambda p: F.aggregate(gaps(p), F.lit(0), lambda acc, x: acc + x))
+
+    def sorted_starts(z: Column) -> Column:
+        # (hash, position) in order; a window repeats if a neighbour has its hash.
+        def over(s: Column) -> Column:
+            last = F.size(s) - 1
+            near = lambda x, i: ((i > 0) & (s[F.greatest(i - 1, F.lit(0))]["h"] == x["h"])) | ((i < last) & (s[F.least(i + 1, last)]["h"] == x["h"]))
+            again = F.filter(F.transform(s, lambda x, i: F.struct(x["p"].alias("p"), near(x, i).alias("d"))), lambda x: x["d"])
+            return F.sort_array(F.transform(again, lambda x: x["p"]))
+
+        return let(F.sort_array(F.transform(z["h"], lambda x, i: F.struct(x.alias("h"), i.alias("p")))), over)
+
+    def few_starts(z: Column) -> Column:
+        return F.filter(F.sequence(F.lit(0), F.size(z["h"]) - 1), lambda i: F.array_contains(z["again"], z["h"][i]))
+
+    def repeated(sorted_h: Column) -> Column:
+        same = F.zip_with(sorted_h, F.slice(sorted_h, F.lit(2), F.size(sorted_h)), lambda a, b: F.when(a == b, a))
+        return F.array_distinct(F.filter(same, lambda x: x.isNotNull()))
+
+    # Few repeated windows are looked up one by one, many are sorted with their positions: the same starts either way.
+    found = let(F.struct(h.alias("h"), let(F.sort_array(h), repeated).alias("again")), lambda z: F.when(F.size(z["again"]) <= 64, covered(few_starts(z))).otherwise(covered(sorted_starts(z))))
+    return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(found).cast("long")
 
 
 def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[Column] | None = None) -> DataFrame:
@@ -126,19 +135,19 @@ def judged(
     """Base counts, ``score`` and ``kept`` of every row, with the columns of ``keep`` in front."""
     counts = written(cell_counts(docs, trusted, buckets, id_col, text_col), "cells")
     none = counts.agg(F.sum("n_trusted")).first()[0] in (None, 0)
-    table = written(weights(counts), "cell-weights").coalesce(1)
     rows = base_counts(docs, id_col, text_col, keep)
     names = [c for c in rows.columns if c not in ("one", "two")]
     if none:
         scored = rows.select(*names, F.when(F.col("n_words") > 0, F.lit(0.0)).alias("score"))
     else:
+        table = written(weights(counts), "cell-weights").coalesce(1)
         # One array of weights by cell: exactly `buckets` numbers, a scalar subquery.
         cells = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("cell")).join(table, "cell", "left")
         entries = F.sort_array(F.collect_list(F.struct("cell", F.coalesce("weight", F.lit(0.0)).alias("weight"))))
         dense = cells.coalesce(1).agg(F.transform(entries, lambda e: e["weight"]).alias("w"))
         rows = rows.withColumn("__weights", dense.scalar())
         add = lambda acc, h: acc + F.col("__weights")[F.pmod(h, F.lit(buckets)).cast("int")]
-        total = F.aggregate("two", F.aggregate("one", F.lit(0.0), add), add)
+        total = F.aggregate(F.concat("one", "two"), F.lit(0.0), add)
         scored = rows.select(*names, F.when(F.col("n_words") > 0, total / (F.size("one") + F.size("two"))).alias("score"))
     return scored.withColumn("kept", ~F.col("base_failed") & (F.coalesce("score", F.lit(float("-inf"))) >= threshold))
 
