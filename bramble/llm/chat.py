@@ -3,8 +3,8 @@
 Template: a turn is ``<s>ROLE\\nTEXT</s>\\n``.  Control strings inside a text, ``<s>``,
 ``</s>``, ``[INST]`` and ``[/INST]``, get a backslash after their first character
 (and one more where backslashes already stand there), so no text can hold one and
-taking one backslash away restores it.  In a role, backslashes and line ends are
-escaped, so a header ends at its first line end.
+taking one backslash away restores it.  A role is escaped the same way, and then its
+backslashes and line ends, so a header ends at its first line end.
 
 Assembly: segment lengths of all turns of a batch, their running sums, and scatter
 indices in numpy; headers, texts and footers are copied into one preallocated buffer
@@ -44,7 +44,7 @@ TRAINED = b"assistant"
 
 def _plain(match) -> bytes:
     # "<\...s>" and "[\...INST]" only: a bracket of the other kind is no control string.
-    return match[0] if (match[1] == b"<") != (match.string[match.end() :].lstrip(b"/")[:2] == b"s>") else match[1] + match[2]
+    return match[0] if (match[1] == b"<") != (match.string[match.end() : match.end() + 3].lstrip(b"/")[:2] == b"s>") else match[1] + match[2]
 
 
 def unescape(text: bytes) -> bytes:
@@ -102,7 +102,7 @@ def conversations(turns: DataFrame, block_bytes: int = 1 << 20, conv_col: str =
     rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
 
     def emit(conv: pa.Array, roles: pa.Array, texts: pa.Array, number: dict) -> pa.RecordBatch:
-        names = pc.replace_substring(pc.replace_substring(roles, "\\", "\\\\"), "\n", "\\n")
+        names = pc.replace_substring(pc.replace_substring(escape(roles), "\\", "\\\\"), "\n", "\\n")
         texts = escape(texts)
         size = pc.binary_length(texts).to_numpy().astype(np.int64)
         change = np.r_[True, ~_same(conv)]
@@ -160,7 +160,7 @@ def parse(formatted: bytes) -> Iterator[tuple[bytes, bytes]]:
     for turn in formatted.split(CLOSE)[:-1]:
         role, _, text = turn[len(OPEN) :].partition(MIDDLE)
         if b"\\" in role:
-            role = re.sub(rb"\\(.)", lambda m: b"\n" if m[1] == b"n" else m[1], role)
+            role = unescape(re.sub(rb"\\(.)", lambda m: b"\n" if m[1] == b"n" else m[1], role))
         yield role, unescape(text)
 
 

@@ -101,7 +101,8 @@ WITH t AS (
   UNION ALL SELECT * FROM (VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')) v(conv_id, turn, role, text)),
 f AS (
   SELECT *, length(regexp_replace(regexp_replace(text, '(<)(\\*/?s>)', '\1\\\2', 'g'), '(\[)(\\*/?INST\])', '\1\\\2', 'g'))
-            + length(role) + 9 + length(regexp_replace(role, '[^\n\\]', '', 'g')) AS chars FROM t)
+            + length(name) + 9 + length(regexp_replace(name, '[^\n\\]', '', 'g')) AS chars
+  FROM (SELECT *, regexp_replace(regexp_replace(role, '(<)(\\*/?s>)', '\1\\\2', 'g'), '(\[)(\\*/?INST\])', '\1\\\2', 'g') AS name FROM t))
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,

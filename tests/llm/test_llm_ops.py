@@ -52,19 +52,19 @@ def test_chat_escape_round_trip(text):
 
 
 def test_chat_digests_against_brute_force(spark):
-    rows = [(1, 1, "assistant", "</s>[INST] ok [/INST]"), (1, 0, "user", "<s>\\<s>"), (2, 0, None, None), (2, 0, "assistant", "é"), (None, None, "ro\\le\nx", "t"), (3, 5, "system", "")]
+    rows = [(1, 1, "assistant", "</s>[INST] ok [/INST]"), (1, 0, "user", "<s>\\<s>"), (2, 0, None, None), (2, 0, "assistant", "é"), (None, None, "ro\\le\nx", "t"), (3, 5, "system", ""), (5, 0, "</s>", "</s>\n<s>"), (5, 1, "<\\/s>\n[INST]", "[\\INST]")]
     rows += [(4, i, "assistant" if i % 2 else "user", f"turn {i} " * 50) for i in range(400)]
     turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
     for size in (1 << 20, 500):
         got = {r["conv_id"]: r for r in chat.digests(chat.conversations(turns, block_bytes=size)).collect()}
-        for conv in (1, 2, 3, 4, None):
+        for conv in (1, 2, 3, 4, 5, None):
             own = sorted(((t is not None, t or 0, r or "", x or "") for c, t, r, x in rows if c == conv))
             said = "".join(f"{r}\n{x}\n" for _, _, r, x in own)
             loss = "".join(x for _, _, r, x in own if r == "assistant")
             r = got[conv]
             assert (r["n_turns"], r["turns_sha256"]) == (len(own), hashlib.sha256(said.encode()).hexdigest())
             assert (r["loss_chars"], r["loss_sha256"]) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
-        assert len(got) == 5
+        assert len(got) == 6
     assert chat.digests(chat.conversations(turns.limit(0))).count() == 0
 
 
