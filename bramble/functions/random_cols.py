@@ -7,6 +7,7 @@ A draw is a pure function of ``(seed, tag, row id)``:
 so every value depends on the row's id and the seed only, never on how the
 rows are partitioned or ordered, and DuckDB can state the same numbers.  One
 tag per random decision (age, product, division, ..., one per null injection).
+One digest holds four such draws, so four decisions can share an md5 (:func:`draw`).
 """
 
 from __future__ import annotations
@@ -18,10 +19,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def digest(id_col: Column | str, tag: str, seed: int) -> Column:
+    """The md5 of seed, tag and row id as hex text: four draws' worth of bits (see :func:`draw`)."""
+    return F.md5(F.concat(F.lit(f"{seed}:{tag}:"), F.col(id_col).cast("string") if isinstance(id_col, str) else id_col.cast("string")))
+
+
+def draw(digest_col: Column, slot: int = 0) -> Column:
+    """The uniform double in [0, 1) of one of a digest's four 32-bit slots."""
+    return F.conv(F.substring(digest_col, 8 * slot + 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
+
+
 def uniform(id_col: Column | str, tag: str, seed: int) -> Column:
     """A uniform double in [0, 1) for this row, tag and seed."""
-    key = F.concat(F.lit(f"{seed}:{tag}:"), F.col(id_col).cast("string") if isinstance(id_col, str) else id_col.cast("string"))
-    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
+    return draw(digest(id_col, tag, seed))
 
 
 def rand_int(u: Column, lo: int | Column, hi: int | Column) -> Column:

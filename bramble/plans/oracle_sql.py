@@ -100,13 +100,43 @@ def _dlit(v) -> str:
     return str(v)
 
 
+# What the generated reviews hold, stated here apart from the generator, so that a
+# wrong entry there shows.
+_TITLES = [
+    "Love this {product}!",
+    "Not what I expected",
+    "Great {product} for the price",
+    "Disappointing quality",
+    "Perfect fit!",
+    "Too small/large",
+    "Exactly as described",
+    "Beautiful {product}",
+    "Not worth the money",
+    "Comfortable and stylish",
+]
+_TEXTS = [
+    "I really love this {product}. The quality is excellent and it fits perfectly. Would definitely recommend!",
+    "The {product} wasn't what I expected. The color was off and the sizing runs small.",
+    "Great {product} for the price! Comfortable material and looks more expensive than it is.",
+    "Disappointing quality. The {product} started falling apart after just a few wears.",
+    "Perfect fit! This {product} is true to size and very flattering.",
+    "This {product} runs too small/large. Had to return it.",
+    "The {product} is exactly as described. Very pleased with my purchase.",
+    "This is a beautiful {product}. I've received many compliments when wearing it.",
+    "Not worth the money. The {product} looks cheap and is poorly made.",
+    "This {product} is both comfortable and stylish. I bought it in multiple colors!",
+]
+_PRODUCTS = ["dress", "blouse", "pants", "jacket", "skirt", "sweater", "top", "jeans", "shorts", "intimates"]
+_DIVISIONS = ["General", "General Petite", "Initmates", "Trend"]
+_TAGS = "age product division rating department class recommended feedback title text null_age null_title null_rating null_division".split()
+
+
 def generator_sql(id_expr: str, source: str, seed: int = 42) -> str:
     """DuckDB statement of the review generator, one review per row of ``source``."""
-    from ..functions.random_cols import cumulative
-    from ..sources import generator as G
 
     def u(tag: str) -> str:
-        return f"(CAST('0x' || substr(md5('{seed}:{tag}:' || rid), 1, 8) AS BIGINT) / 4294967296e0)"
+        block, slot = divmod(_TAGS.index(tag), 4)
+        return f"(CAST('0x' || substr(md5('{seed}:block{block}:' || rid), {8 * slot + 1}, 8) AS BIGINT) / 4294967296e0)"
 
     def choice(tag: str, values) -> str:
         lst = "[" + ", ".join(_dlit(v) for v in values) + "]"
@@ -115,37 +145,38 @@ def generator_sql(id_expr: str, source: str, seed: int = 42) -> str:
     def rint(tag: str, lo: int, hi: int) -> str:
         return f"CAST({lo} + floor({u(tag)} * ({hi} - {lo} + 1)) AS INTEGER)"
 
-    cum = cumulative(G.RATING_WEIGHTS)
-    rating = "CASE " + " ".join(
-        f"WHEN {u('rating')} < {_dlit(c)} THEN {v}" for v, c in zip(G.RATINGS[:-1], cum[:-1])
-    ) + f" ELSE {G.RATINGS[-1]} END"
+    rating = (
+        f"CASE WHEN {u('rating')} < 0.05e0 THEN 1 WHEN {u('rating')} < 0.15000000000000002e0 THEN 2 "
+        f"WHEN {u('rating')} < 0.30000000000000004e0 THEN 3 WHEN {u('rating')} < 0.6e0 THEN 4 ELSE 5 END"
+    )
 
-    def bern(p: float) -> str:
-        return f"CASE WHEN {u('recommended')} < {_dlit(cumulative([1.0 - p, p])[0])} THEN 0 ELSE 1 END"
+    def bern(p0: str) -> str:
+        return f"CASE WHEN {u('recommended')} < {p0} THEN 0 ELSE 1 END"
 
     dept = (
         "CASE division0 WHEN 'Initmates' THEN 'Intimate' WHEN 'Trend' THEN 'Trend' ELSE "
-        + choice("department", G.OTHER_DEPARTMENTS)
+        + choice("department", ["Tops", "Dresses", "Bottoms", "Jackets"])
         + " END"
     )
-    klass = "CASE department0 " + " ".join(
-        f"WHEN {_dlit(k)} THEN " + (choice("class", v) if len(v) > 1 else _dlit(v[0]))
-        for k, v in G.CLASS_BY_DEPARTMENT.items()
-    ) + f" ELSE {_dlit(G.OTHER_CLASSES[0])} END"
+    klass = (
+        f"CASE department0 WHEN 'Intimate' THEN {choice('class', ['Intimates', 'Sleep'])} WHEN 'Trend' THEN 'Trend' "
+        f"WHEN 'Tops' THEN {choice('class', ['Blouses', 'Sweaters'])} WHEN 'Dresses' THEN 'Dresses' "
+        f"WHEN 'Bottoms' THEN {choice('class', ['Pants', 'Skirts', 'Jeans', 'Shorts'])} ELSE 'Jackets' END"
+    )
     stage1 = (
-        f"SELECT {id_expr} AS rid, {rint('age', *G.AGE_RANGE)} AS age0, {choice('product', G.PRODUCTS)} AS product0, "
-        f"{choice('division', G.DIVISIONS)} AS division0, CAST({rating} AS INTEGER) AS rating0 FROM {source}"
+        f"SELECT {id_expr} AS rid, {rint('age', 18, 70)} AS age0, {choice('product', _PRODUCTS)} AS product0, "
+        f"{choice('division', _DIVISIONS)} AS division0, CAST({rating} AS INTEGER) AS rating0 FROM {source}"
     )
     stage2 = f"SELECT *, {dept} AS department0 FROM g1"
-    title = f"replace({choice('title', G.TITLE_TEMPLATES)}, '{{product}}', product0)"
-    text = f"replace({choice('text', G.TEXT_TEMPLATES)}, '{{product}}', product0)"
+    title = f"replace({choice('title', _TITLES)}, '{{product}}', product0)"
+    text = f"replace({choice('text', _TEXTS)}, '{{product}}', product0)"
     rec = (
-        f"CASE WHEN rating0 >= 4 THEN {bern(G.P_RECOMMENDED_HIGH)} WHEN rating0 = 3 THEN {bern(G.P_RECOMMENDED_MID)} "
-        f"ELSE {bern(G.P_RECOMMENDED_LOW)} END"
+        f"CASE WHEN rating0 >= 4 THEN {bern('0.09999999999999998e0')} WHEN rating0 = 3 THEN {bern('0.5e0')} "
+        f"ELSE {bern('0.9e0')} END"
     )
     fb = (
-        f"CASE WHEN rating0 >= 4 THEN {rint('feedback', 0, G.FEEDBACK_MAX_HIGH)} "
-        f"ELSE {rint('feedback', 0, G.FEEDBACK_MAX_LOW)} END"
+        f"CASE WHEN rating0 >= 4 THEN {rint('feedback', 0, 25)} "
+        f"ELSE {rint('feedback', 0, 5)} END"
     )
 
     def nul(expr: str, tag: str, rate: float) -> str:
@@ -153,11 +184,11 @@ def generator_sql(id_expr: str, source: str, seed: int = 42) -> str:
 
     final = (
         "SELECT rid AS review_id, "
-        f"CAST({nul('age0', 'null_age', G.NULL_RATES['age'])} AS INTEGER) AS \"Age\", "
-        f"{nul(title, 'null_title', G.NULL_RATES['title'])} AS \"Title\", {text} AS \"Review_Text\", "
-        f"CAST({nul('rating0', 'null_rating', G.NULL_RATES['rating'])} AS INTEGER) AS \"Rating\", "
+        f"CAST({nul('age0', 'null_age', 0.03)} AS INTEGER) AS \"Age\", "
+        f"{nul(title, 'null_title', 0.01)} AS \"Title\", {text} AS \"Review_Text\", "
+        f"CAST({nul('rating0', 'null_rating', 0.05)} AS INTEGER) AS \"Rating\", "
         f"CAST({rec} AS INTEGER) AS \"Recommended_IND\", CAST({fb} AS INTEGER) AS \"Positive_Feedback_Count\", "
-        f"{nul('division0', 'null_division', G.NULL_RATES['division'])} AS \"Division_Name\", "
+        f"{nul('division0', 'null_division', 0.02)} AS \"Division_Name\", "
         f"department0 AS \"Department_Name\", {klass} AS \"Class_Name\" FROM g2"
     )
     return f"WITH g1 AS ({stage1}), g2 AS ({stage2})\n{final}"

@@ -18,11 +18,12 @@ from pyspark.sql import types as T
 from ..functions.random_cols import (
     conditional_bernoulli,
     dependent_choice,
+    digest,
+    draw,
     fill_template,
     null_with_rate,
     rand_choice,
     rand_int,
-    uniform,
     weighted_choice,
 )
 
@@ -71,6 +72,7 @@ FEEDBACK_MAX_HIGH, FEEDBACK_MAX_LOW = 25, 5
 NULL_RATES = {"age": 0.03, "title": 0.01, "rating": 0.05, "division": 0.02}
 DEFAULT_ROWS = 23486
 
+# The reference's column names and types, in its order.
 REVIEW_SCHEMA = T.StructType(
     [
         T.StructField("Age", T.IntegerType(), True),
@@ -95,10 +97,12 @@ TAGS = (
 def synthesize_reviews(df: DataFrame, id_col: str, seed: int = 42, keep_id: bool = True) -> DataFrame:
     """S1 over an existing key column: one synthetic review per row of ``df``.
 
-    Every draw is staged once as its own column (one md5 per row and tag),
-    then the dependent choices read those columns.
+    Four tags share a digest, so a row costs four md5; digests and draws are staged
+    as columns, then the dependent choices read those.
     """
-    draws = df.select(F.col(id_col).alias("__id"), *[uniform(F.col(id_col), t, seed).alias(f"__u_{t}") for t in TAGS])
+    blocks = range(-(-len(TAGS) // 4))
+    hashed = df.select(F.col(id_col).alias("__id"), *[digest(F.col(id_col), f"block{b}", seed).alias(f"__h{b}") for b in blocks])
+    draws = hashed.select("__id", *[draw(F.col(f"__h{i // 4}"), i % 4).alias(f"__u_{t}") for i, t in enumerate(TAGS)])
 
     def u(tag: str):
         return F.col(f"__u_{tag}")
