@@ -1,18 +1,19 @@
 """Joining a small per-group statistic table back onto a large table.
 
 The small side is materialised once (a reliable checkpoint in the session's
-checkpoint folder when one is set, otherwise a persisted copy), its row count is
-checked, and only then is it broadcast.  Beyond the bound the join falls back to
+checkpoint folder when one is set, otherwise a persisted copy), its rows and bytes are
+measured, and only then is it broadcast.  Beyond either bound the join falls back to
 a plain shuffle join, where AQE splits skewed keys (``spark.sql.adaptive.skewJoin``).
-The bound is on rows of the small side, which is one row per group.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_MAX_BROADCAST_ROWS = 500_000
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -34,16 +35,27 @@ def materialize(df: DataFrame) -> DataFrame:
     return out
 
 
+def measured(df: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of a frame: text and binary columns by their content, others 16 bytes a value."""
+    wide = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    size = F.lit(16 * len(df.columns))
+    for c in wide:
+        size = size + F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0))
+    row = df.agg(F.count(F.lit(1)), F.sum(size)).first()
+    return row[0], row[1] or 0
+
+
 def lookup_join(
     big: DataFrame,
     small: DataFrame,
     on: str | list[str],
     how: str = "left",
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """Join ``small`` (one row per key) onto ``big``; broadcast only below a checked size."""
+    """Join ``small`` (one row per key, of flat columns) onto ``big``; broadcast only below a checked size."""
     small = materialize(small)
-    n = small.count()
-    if n <= max_broadcast_rows:
+    n, size = measured(small)
+    if n <= max_broadcast_rows and size <= max_broadcast_bytes:
         small = F.broadcast(small)
     return big.join(small, on=on, how=how)

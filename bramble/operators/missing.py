@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from ..presets import REVIEW
 from .joins import lookup_join, materialize
+from .ranks import column_percentiles
 
 FLOATING = (T.FloatType, T.DoubleType)
 
@@ -76,7 +77,7 @@ def median_value(df: DataFrame, c: str, method: str = "approx", rel_err: float =
     if method == "approx":
         stat = F.percentile_approx(x, F.lit(0.5), max(1, int(round(1.0 / rel_err))))
     elif method == "exact":
-        stat = F.percentile(x, F.lit(0.5))
+        return materialize(column_percentiles(df, [c], (0.5,)).select(F.col("q")[0].alias("median"))).scalar()
     else:
         raise ValueError("method must be 'approx' or 'exact'")
     return materialize(df.agg(stat.cast("double").alias("median"))).scalar()
@@ -211,15 +212,19 @@ def _fill_batch(df: DataFrame, batch: list[Step]) -> DataFrame:
 
     fills: dict[str, Column] = {}
     medians = [s for s in batch if s.kind == "median"]
-    if medians:
-        aggs = []
-        for i, s in enumerate(medians):
-            x = F.col(s.column)
-            stat = F.percentile(x, F.lit(0.5)) if s.value == "exact" else F.percentile_approx(x, F.lit(0.5), 100)
-            aggs.append(stat.cast("double").alias(f"m{i}"))
-        row = materialize(df.agg(*aggs)).select(F.struct(*[f"m{i}" for i in range(len(medians))])).scalar()
-        for i, s in enumerate(medians):
-            fills[s.column] = F.coalesce(F.col(s.column).cast("double"), row[f"m{i}"])
+    exact = [s.column for s in medians if s.value == "exact"]
+    sketched = [s.column for s in medians if s.value != "exact"]
+    rows = []
+    if exact:
+        found = materialize(column_percentiles(df, exact, (0.5,)))
+        rows.append((exact, found.agg(F.struct(*[F.max(F.when(F.col("column") == c, F.col("q")[0])).alias(f"m{i}") for i, c in enumerate(exact)]))))
+    if sketched:
+        found = materialize(df.agg(*[F.percentile_approx(c, F.lit(0.5), 100).cast("double").alias(f"m{i}") for i, c in enumerate(sketched)]))
+        rows.append((sketched, found.select(F.struct("*"))))
+    for cols, row in rows:
+        value = row.scalar()
+        for i, c in enumerate(cols):
+            fills[c] = F.coalesce(F.col(c).cast("double"), value[f"m{i}"])
     modes = [s for s in batch if s.kind == "mode"]
     if modes:
         cols = [s.column for s in modes]

@@ -11,9 +11,8 @@ Design rules followed throughout:
   broadcasts only below a checked row count;
 * results are small, typed DataFrames; nothing is plotted.
 
-Exact percentiles (``percentile``) keep one counter per distinct value and are
-meant for discrete columns such as ratings or ages; ``method="approx"`` switches
-to the bounded ``percentile_approx`` sketch for wide continuous columns.
+Exact percentiles come from range-partitioned value counts (:mod:`.ranks`), so no
+task holds all values; ``method="approx"`` uses the bounded ``percentile_approx`` sketch.
 """
 
 from __future__ import annotations
@@ -26,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .joins import lookup_join, materialize
+from .ranks import column_percentiles, count_percentiles
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -38,13 +38,13 @@ def _sql_str(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _percentiles(x: Column, probs: Sequence[float], method: str, accuracy: int, freq: Column | None = None) -> Column:
-    arr = F.array(*[F.lit(float(p)) for p in probs])
-    if method == "exact":
-        return F.percentile(x, arr, freq) if freq is not None else F.percentile(x, arr)
-    if method == "approx":
-        return F.percentile_approx(x, arr, accuracy).cast("array<double>")
-    raise ValueError("method must be 'exact' or 'approx'")
+def _approx(x: Column, probs: Sequence[float], accuracy: int) -> Column:
+    return F.percentile_approx(x, F.array(*[F.lit(float(p)) for p in probs]), accuracy).cast("array<double>")
+
+
+def _check_method(method: str) -> None:
+    if method not in ("exact", "approx"):
+        raise ValueError("method must be 'exact' or 'approx'")
 
 
 # --------------------------------------------------------------------------- A1, S5
@@ -94,8 +94,11 @@ def summarize(df: DataFrame, cols: Sequence[str], method: str = "exact", accurac
     """A2: count, mean, sample std, min, 25/50/75% (linear interpolation), max.
 
     One aggregate over all columns, unpivoted to one row per column:
-    ``column, count, mean, std, min, p25, p50, p75, max``.
+    ``column, count, mean, std, min, p25, p50, p75, max``.  Exact percentiles take one
+    more pass, which counts the values of all columns.
     """
+    _check_method(method)
+    probs = (0.25, 0.5, 0.75)
     aggs, entries = [], []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
@@ -104,13 +107,15 @@ def summarize(df: DataFrame, cols: Sequence[str], method: str = "exact", accurac
             F.avg(x).alias(f"m{i}"),
             F.stddev_samp(x).alias(f"s{i}"),
             F.min(x).alias(f"lo{i}"),
-            _percentiles(x, (0.25, 0.5, 0.75), method, accuracy).alias(f"q{i}"),
+            (_approx(x, probs, accuracy) if method == "approx" else F.lit(None).cast("array<double>")).alias(f"q{i}"),
             F.max(x).alias(f"hi{i}"),
         ]
-        entries.append(f"{_sql_str(c)}, n{i}, m{i}, s{i}, lo{i}, q{i}[0], q{i}[1], q{i}[2], hi{i}")
-    return df.agg(*aggs).selectExpr(
-        f"stack({len(cols)}, {', '.join(entries)}) AS (`column`, `count`, `mean`, `std`, `min`, `p25`, `p50`, `p75`, `max`)"
-    )
+        entries.append(f"{_sql_str(c)}, n{i}, m{i}, s{i}, lo{i}, q{i}, hi{i}")
+    out = df.agg(*aggs).selectExpr(f"stack({len(cols)}, {', '.join(entries)}) AS (`column`, `count`, `mean`, `std`, `min`, `q`, `max`)")
+    if method == "exact":
+        out = out.drop("q").join(column_percentiles(df, cols, probs), "column", "left")
+    at = [F.col("q")[i].alias(name) for i, name in enumerate(("p25", "p50", "p75"))]
+    return out.select("column", "count", "mean", "std", "min", *at, "max")
 
 
 # --------------------------------------------------------------------------- A3
@@ -136,8 +141,8 @@ def histogram(df: DataFrame, c: str, bins: int | str = "auto") -> DataFrame:
     ``bins`` is an integer or ``"auto"`` (NumPy's rule).  Output: ``bin int,
     bin_lo double, bin_hi double, count bigint``.
 
-    Plan: one global aggregate gives the range (and quartiles for ``"auto"``)
-    as a one-row frame, materialised once; the bin list is derived from it; the data side reads
+    Plan: one global aggregate gives the range (and, for ``"auto"``, the value counts
+    the quartiles) as a one-row frame, materialised once; the bin list is derived from it; the data side reads
     it once per row through a single scalar subquery and is reduced by a
     grouped count (at most ``nbins`` rows leave each map task); the two small
     sides are joined on the bin id.
@@ -145,9 +150,10 @@ def histogram(df: DataFrame, c: str, bins: int | str = "auto") -> DataFrame:
     integral = isinstance(df.schema[c].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
     data = df.select(F.col(c).cast("double").alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
     stat_cols = [F.count(F.lit(1)).alias("n"), F.min("x").alias("lo0"), F.max("x").alias("hi0")]
-    if bins == "auto":
-        stat_cols.append(F.percentile("x", F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
     raw = data.agg(*stat_cols)
+    if bins == "auto":
+        quartiles = count_percentiles(data.groupBy("x").agg(F.count(F.lit(1)).alias("n")), "x", "n", (0.25, 0.75))
+        raw = raw.withColumn("q", quartiles.scalar())
     const = F.col("lo0") == F.col("hi0")
     if bins == "auto":
         nb = F.when(const, F.lit(1)).otherwise(
@@ -175,7 +181,9 @@ def histogram(df: DataFrame, c: str, bins: int | str = "auto") -> DataFrame:
     idx1 = F.when(x < edge(idx0, p), idx0 - 1).otherwise(idx0)
     idx = F.when((x >= edge(idx1 + 1, p)) & (idx1 != n - 1), idx1 + 1).otherwise(idx1)
     counts = withp.groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    all_bins = params.select("lo", "hi", "nb", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("bin"))
+    # Bins are rows: their number (one integer on the driver) can pass what one array holds.
+    total = (params.select("nb").first() or [0])[0]
+    all_bins = df.sparkSession.range(total or 0).select(F.col("id").cast("int").alias("bin")).crossJoin(F.broadcast(params))
     out = all_bins.join(counts, "bin", "left")
     return out.select(
         F.col("bin").cast("int").alias("bin"),
@@ -189,28 +197,23 @@ def histogram(df: DataFrame, c: str, bins: int | str = "auto") -> DataFrame:
 
 
 def kde(
-    df: DataFrame, c: str, grid: int = 200, cut: float = 0.0, bw_adjust: float = 1.0, bin_width: float | None = None
+    df: DataFrame, c: str, grid: int = 200, cut: float = 0.0, bw_adjust: float = 1.0, resolution: int | None = None
 ) -> DataFrame:
     """A4: Gaussian kernel density on an evenly spaced grid (Scott's bandwidth).
 
     ``bandwidth = stddev_samp * n^(-1/5) * bw_adjust``; the grid spans
-    ``[min - cut*bw, max + cut*bw]`` in ``grid`` points.  The data is first
-    reduced to distinct values with counts (a distributed aggregate); each
-    distinct value then adds its kernel to the ``grid`` points, and a grouped sum
+    ``[min - cut*bw, max + cut*bw]`` in ``grid`` points.  By default every distinct value
+    has its own kernel, which suits discrete columns.  With ``resolution`` values are snapped to
+    that many steps per bandwidth (100 gives about three digits), so the work follows the range in
+    bandwidths, not the number of distinct values.  The values are counted
+    (a distributed aggregate); each then adds its kernel to the ``grid`` points, and a grouped sum
     (partial on the map side, so each task emits at most ``grid`` rows) adds
     them up.  The bandwidth and range come from one global aggregate,
-    materialised once and read once per row through a scalar subquery.  Suited to discrete or pre-binned
-    columns, where the distinct values are few; for a continuous column pass
-    ``bin_width`` (e.g. a tenth of the expected bandwidth): values are snapped
-    to bin centres before the kernels are summed, which bounds the work by the
-    number of bins instead of the number of rows.
+    materialised once and read once per row through a scalar subquery.
     A constant column has no bandwidth: its points coincide and the density is null.
     Output: ``point int, x double, density double``.
     """
     data = df.select(F.col(c).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    if bin_width:
-        w = float(bin_width)
-        data = data.select((F.floor(F.col("v") / w) * w + w / 2.0).alias("v"))
     st = data.agg(
         F.count(F.lit(1)).cast("double").alias("n"),
         F.stddev_samp("v").alias("sd"),
@@ -221,6 +224,7 @@ def kde(
     params = materialize(
         st.select(
             "n",
+            "lo",
             bw.alias("bw"),
             (F.col("lo") - F.lit(float(cut)) * bw).alias("gmin"),
             (F.col("hi") + F.lit(float(cut)) * bw).alias("gmax"),
@@ -232,6 +236,11 @@ def kde(
         gmin, gmax = F.col(f"{p}gmin"), F.col(f"{p}gmax")
         return F.when(g == last, gmax).otherwise(gmin + g.cast("double") * ((gmax - gmin) / F.lit(float(last))))
 
+    if resolution:
+        snap = data.withColumn("p", params.select(F.struct("bw", "lo")).scalar())
+        step = F.col("p.bw") / F.lit(float(resolution))
+        snapped = F.col("p.lo") + F.floor(F.try_divide(F.col("v") - F.col("p.lo"), step) + 0.5) * step
+        data = snap.select(F.when(step > 0, snapped).otherwise(F.col("v")).alias("v"))
     vc = data.groupBy("v").agg(F.count(F.lit(1)).cast("double").alias("w"))
     pts = vc.select(
         "v",
@@ -334,18 +343,18 @@ def box_stats(df: DataFrame, by: str, y: str, whis: float = 1.5, method: str = "
     within ``whis * IQR`` of the box (never inside the box); outliers are the
     values beyond the fences.  The data is reduced to distinct ``(by, y)``
     pairs with counts first (map-side combined, so a hot group does not reach
-    one task whole); quartiles use ``percentile`` with those counts as
-    frequencies; the per-group fences are joined back to the reduced table.
+    one task whole); quartiles come from those counts, range-partitioned; the per-group fences are joined back to the reduced table.
     Output: ``by, n, q1, median, q3, whisker_lo, whisker_hi, n_outliers``.
     """
+    _check_method(method)
     src = df.filter(F.col(by).isNotNull() & F.col(y).isNotNull())
     vc = src.groupBy(by, F.col(y).cast("double").alias("__y")).agg(F.count(F.lit(1)).alias("__n"))
     if method == "exact":
         # Read twice (quartiles, then whiskers): compute the reduced table once.
         vc = materialize(vc)
-        q = vc.groupBy(by).agg(_percentiles(F.col("__y"), (0.25, 0.5, 0.75), "exact", accuracy, F.col("__n")).alias("__q"))
+        q = count_percentiles(vc, "__y", "__n", (0.25, 0.5, 0.75), [by]).withColumnRenamed("q", "__q")
     else:
-        q = src.groupBy(by).agg(_percentiles(F.col(y).cast("double"), (0.25, 0.5, 0.75), "approx", accuracy).alias("__q"))
+        q = src.groupBy(by).agg(_approx(F.col(y).cast("double"), (0.25, 0.5, 0.75), accuracy).alias("__q"))
     q = q.select(by, F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"), F.col("__q")[2].alias("q3"))
     j = lookup_join(vc, q, on=by, how="inner")
     iqr = F.col("q3") - F.col("q1")

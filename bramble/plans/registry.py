@@ -8,7 +8,7 @@ live in :mod:`bramble.plans.oracle_sql` and in ``ORACLE`` below.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -213,15 +213,27 @@ def q_n1_clean(spark, d):
     return round_doubles(N.missing_profile(cleaned(spark, d)))
 
 
-def imputed(spark: SparkSession, sf_dir: str, median_method: str = "exact") -> DataFrame:
-    """Cleaned reviews after the reference's imputation plan (exact median by default).
+_held: list[DataFrame] = []
 
-    The cleaned input feeds every fill statistic and the imputed output feeds
-    several aggregates of the query that uses it, so both are persisted once
-    (lost blocks are recomputed from lineage).
+
+def imputed(spark: SparkSession, sf_dir: str, cols: Sequence[str] = tuple(COLS), median_method: str = "exact") -> DataFrame:
+    """``cols`` of the cleaned reviews after the reference's imputation plan (exact median by default).
+
+    Only ``cols``, and what their fills read, are kept behind the duplicate removal.  They
+    feed every fill statistic and then the result, so they are persisted; what the query
+    before this one held is released here (a result still in use recomputes its blocks).
     """
-    base = cleaned(spark, sf_dir).persist()
-    return N.impute(base, N.review_plan(median_method=median_method)).imputed.persist()
+    while _held:
+        _held.pop().unpersist()
+    need = set(cols)
+    steps = []
+    for step in reversed(N.review_plan(median_method=median_method)):
+        if step.column in need:
+            need |= set(step.by)
+            steps.insert(0, step)
+    base = cleaned(spark, sf_dir).select(*[c for c in COLS if c in need]).persist()
+    _held.append(base)
+    return N.impute(base, steps).imputed.select(*cols)
 
 
 # --------------------------------------------------------------------------- imputation
@@ -320,7 +332,7 @@ def _summary_sql(source: str) -> str:
 
 @register("a2_summarize_imputed", with_reviews(_summary_sql("imputed"), *imputed_ctes()))
 def q_a2(spark, d):
-    return round_doubles(A.summarize(imputed(spark, d), _NUMERIC))
+    return round_doubles(A.summarize(imputed(spark, d, _NUMERIC), _NUMERIC))
 
 
 def _histogram_sql(source: str, c: str) -> str:
@@ -351,7 +363,7 @@ _H_CTES, _H_BODY = _histogram_sql("imputed", "age")
 
 @register("a3_histogram_age", with_reviews(_H_BODY, *imputed_ctes(), *_H_CTES))
 def q_a3(spark, d):
-    return round_doubles(A.histogram(imputed(spark, d), R.age, bins="auto"))
+    return round_doubles(A.histogram(imputed(spark, d, [R.age]), R.age, bins="auto"))
 
 
 _H10_CTES, _H10_BODY = _histogram_sql("cleaned", "positive_feedback_count")
@@ -384,7 +396,7 @@ _K_CTES, _K_BODY = _kde_sql("imputed", "age")
 
 @register("a4_kde_age", with_reviews(_K_BODY, *imputed_ctes(), *_K_CTES))
 def q_a4(spark, d):
-    return round_doubles(A.kde(imputed(spark, d), R.age))
+    return round_doubles(A.kde(imputed(spark, d, [R.age]), R.age))
 
 
 def _value_counts_sql(source: str, c: str) -> str:
@@ -393,22 +405,22 @@ def _value_counts_sql(source: str, c: str) -> str:
 
 @register("a5_value_counts_rating", with_reviews(_value_counts_sql("imputed", "rating"), *imputed_ctes()))
 def q_a5(spark, d):
-    return A.value_counts(imputed(spark, d), R.rating, order="value")
+    return A.value_counts(imputed(spark, d, [R.rating]), R.rating, order="value")
 
 
 @register("a6_value_counts_division", with_reviews(_value_counts_sql("imputed", "division_name"), *imputed_ctes()))
 def q_a6_div(spark, d):
-    return A.value_counts(imputed(spark, d), R.division, order="count")
+    return A.value_counts(imputed(spark, d, [R.division]), R.division, order="count")
 
 
 @register("a6_value_counts_department", with_reviews(_value_counts_sql("imputed", "department_name"), *imputed_ctes()))
 def q_a6_dept(spark, d):
-    return A.value_counts(imputed(spark, d), R.department, order="count")
+    return A.value_counts(imputed(spark, d, [R.department]), R.department, order="count")
 
 
 @register("a6_value_counts_class", with_reviews(_value_counts_sql("imputed", "class_name"), *imputed_ctes()))
 def q_a6_class(spark, d):
-    return A.value_counts(imputed(spark, d), R.klass, order="count")
+    return A.value_counts(imputed(spark, d, [R.klass]), R.klass, order="count")
 
 
 def _box_sql(source: str, by: str, y: str) -> tuple[list[str], str]:
@@ -432,7 +444,7 @@ _B8_CTES, _B8_BODY = _box_sql("imputed", "division_name", "rating")
 
 @register("a8_box_rating_by_division", with_reviews(_B8_BODY, *imputed_ctes(), *_B8_CTES))
 def q_a8(spark, d):
-    return round_doubles(A.box_stats(imputed(spark, d), R.division, R.rating))
+    return round_doubles(A.box_stats(imputed(spark, d, [R.division, R.rating]), R.division, R.rating))
 
 
 _B9_CTES, _B9_BODY = _box_sql("imputed", "rating", "positive_feedback_count")
@@ -440,7 +452,7 @@ _B9_CTES, _B9_BODY = _box_sql("imputed", "rating", "positive_feedback_count")
 
 @register("a9_box_feedback_by_rating", with_reviews(_B9_BODY, *imputed_ctes(), *_B9_CTES))
 def q_a9(spark, d):
-    return round_doubles(A.box_stats(imputed(spark, d), R.rating, R.feedback))
+    return round_doubles(A.box_stats(imputed(spark, d, [R.rating, R.feedback]), R.rating, R.feedback))
 
 
 @register(
@@ -463,7 +475,7 @@ def q_a10(spark, d):
     ),
 )
 def q_a11(spark, d):
-    return round_doubles(A.group_means(imputed(spark, d), R.division, _NUMERIC))
+    return round_doubles(A.group_means(imputed(spark, d, [R.division, *_NUMERIC]), R.division, _NUMERIC))
 
 
 _DIVISIONS = ["General", "General Petite", "Initmates", "Trend"]
@@ -555,7 +567,7 @@ SPLIT_CTE = (
 
 
 def ml_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return imputed(spark, sf_dir).select(*ML_COLS)
+    return imputed(spark, sf_dir, ML_COLS)
 
 
 def split_frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -899,7 +911,7 @@ def q_m9_step(spark, d):
     ),
 )
 def q_a6_many(spark, d):
-    return A.value_counts_many(imputed(spark, d), [R.rating, R.division, R.department, R.klass])
+    return A.value_counts_many(imputed(spark, d, [R.rating, R.division, R.department, R.klass]), [R.rating, R.division, R.department, R.klass])
 
 
 _GEN_COLS = [f.name for f in G.REVIEW_SCHEMA.fields]

@@ -5,7 +5,10 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from bramble.operators import stats as A
+from bramble.operators.ranks import count_percentiles
 
 
 def test_histogram_matches_numpy_auto_and_fixed(spark):
@@ -126,3 +129,42 @@ def test_value_counts_many_equals_single_column_counts(spark):
         many = sorted(map(tuple, A.split_value_counts(long, df, c).collect()), key=repr)
         assert one == many
     assert dict(A.split_value_counts(long, df, "r").dtypes)["r"] == "int"
+
+
+def test_exact_percentiles_of_a_continuous_column(spark):
+    """A million distinct values, one group with half of all rows, against NumPy."""
+    df = spark.range(1_000_000).select(
+        F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 5)).alias("g"),
+        (F.xxhash64("id") / F.lit(2.0**40)).alias("v"),
+    )
+    counts = df.groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
+    probs = (0.0, 0.25, 0.5, 0.9, 1.0)
+    got = {r["g"]: r["q"] for r in count_percentiles(counts, "v", "n", probs, ["g"]).collect()}
+    pdf = df.toPandas()
+    assert set(got) == set(pdf["g"])
+    for g, own in pdf.groupby("g"):
+        assert np.allclose(got[g], np.quantile(own["v"], probs), rtol=1e-12)
+    whole = count_percentiles(counts, "v", "n", probs).first()["q"]
+    assert np.allclose(whole, np.quantile(pdf["v"], probs), rtol=1e-12)
+
+
+def test_exact_percentiles_weights_ties_and_empty(spark):
+    df = spark.createDataFrame([("a", 1.0, 3), ("a", 2.0, 1), ("b", 5.0, 1)], "g string, v double, n bigint")
+    got = {r["g"]: r["q"] for r in count_percentiles(df, "v", "n", (0.5, 0.75), ["g"]).collect()}
+    assert got == {"a": [1.0, 1.25], "b": [5.0, 5.0]}
+    assert count_percentiles(df.limit(0), "v", "n", (0.5,), ["g"]).count() == 0
+    nulls = spark.createDataFrame([(None, 1), (None, 2)], "x double, y int")
+    rows = {r["column"]: r["p50"] for r in A.summarize(nulls, ["x", "y"]).collect()}
+    assert rows == {"x": None, "y": 1.5}
+
+
+def test_kde_resolution_is_close_to_every_value(spark):
+    df = spark.range(20_000).select((F.xxhash64("id") / F.lit(2.0**60)).alias("v"))
+    a, b = (np.array([r["density"] for r in A.kde(df, "v", resolution=n).orderBy("point").collect()]) for n in (100, None))
+    assert np.allclose(a, b, rtol=1e-3, atol=1e-6 * b.max())
+
+
+def test_histogram_of_a_far_outlier_keeps_its_bins_as_rows(spark):
+    df = spark.range(2000).select(F.col("id").cast("double").alias("v")).union(spark.range(1).select(F.lit(1e8)))
+    out = A.histogram(df, "v", "auto")
+    assert out.agg(F.sum("count")).first()[0] == 2001
