@@ -185,6 +185,8 @@ def fit_weighted_preparation(points: DataFrame, nums: Sequence[str], cats: Seque
     """M5 on a weighted table: the fitted indexer -> encoder -> assembler pipeline."""
     from pyspark.ml import PipelineModel
 
+    if not cats:
+        return PipelineModel(stages=[assemble(nums, cats, out)])
     indexers = index_from_weights(points, cats, weight)
     indexed = PipelineModel(stages=indexers).transform(points)
     encoder = one_hot(cats).fit(indexed)

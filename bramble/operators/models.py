@@ -164,7 +164,7 @@ def slot_std(df: DataFrame, vector: str, weight: str) -> DataFrame:
 
 
 def choose_k(sweep: KMeansSweep, k: int | str = 3) -> int:
-    """A fixed k, or ``"elbow"``: the k whose relative drop in cost exceeds the next one's by most."""
+    """A fixed k, or ``"elbow"``: the k whose relative drop in cost exceeds the next k's drop by most."""
     if k != "elbow":
         return int(k)
     costs = sorted((kk, m.summary.trainingCost) for kk, m in sweep.models.items())
@@ -234,6 +234,8 @@ def fit_classifier(
     num_trees: int = 10,
     seed: int = 42,
     compress: bool = False,
+    max_depth: int = 5,
+    bootstrap: bool = True,
 ) -> ClassificationResult:
     """Random forest for ``label``; accuracy and weighted F1 on the test split.
 
@@ -244,7 +246,7 @@ def fit_classifier(
     bootstrap then resamples distinct rows with their weights, a different
     (still valid) bagging scheme, so the forest is not identical.
     """
-    rf = RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=num_trees, seed=seed)
+    rf = RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=num_trees, seed=seed, maxDepth=max_depth, bootstrap=bootstrap)
     if compress:
         points = FE.weighted_distinct(train, list(dict.fromkeys([*nums, *cats, label]))).persist()
         prep = FE.fit_weighted_preparation(points, nums, cats)

@@ -25,6 +25,8 @@ from ..operators import stats as A
 from ..operators.joins import lookup_join
 from ..presets import REVIEW as R
 from ..sources import generator as G
+from ..session import ensure_checkpoint_dir
+from ..sources import sinks
 from ..sources.reviews_raw import reviews_raw
 from ..sources.tables import read_table
 from . import recipes as E
@@ -507,6 +509,14 @@ def q_s4(spark, d):
     return A.preview(cleaned(spark, d), 10)
 
 
+@register("s3_csv_round_trip", with_reviews("SELECT * FROM cleaned"))
+def q_s3(spark, d):
+    """The cleaned table written as CSV into the shared folder, and read back."""
+    rows = cleaned(spark, d)
+    path = f"{ensure_checkpoint_dir(spark)}/reviews-csv-{spark.sparkContext.applicationId}"
+    return sinks.read_csv(spark, sinks.write_csv(rows, path), rows.schema)
+
+
 @register(
     "s5_shape_cleaned",
     with_reviews("SELECT CAST(count(*) AS BIGINT) AS n_rows, 9 AS n_cols FROM cleaned"),
@@ -745,7 +755,165 @@ def q_m15(spark, d):
     return round_doubles(M.classification_metrics(rule_predictions(spark, d), R.recommended, "prediction"))
 
 
-# Fitted models: SQL cannot state these, so the driver checks row counts only.
+# Fitted models that SQL can state: least squares on three numeric columns, one split of one tree.
+
+_TRAIN_SUMS = "cv AS (SELECT " + ", ".join(
+    f"covar_samp(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS s{i}{j}"
+    for i, a in enumerate(REG_NUMS)
+    for j, b in [*enumerate(REG_NUMS), (9, "rating")]
+) + ", " + ", ".join(f"avg(CAST({c} AS DOUBLE)) AS m{i}" for i, c in [*enumerate(REG_NUMS), (9, "rating")]) + " FROM mls WHERE split = 'train')"
+
+
+def _det(columns: list[str]) -> str:
+    """The determinant of the 3 x 3 matrix whose columns are s0c, s1c, s2c."""
+    a, b, c = ([f"s{i}{k}" for i in range(3)] for k in columns)
+    return (
+        f"({a[0]} * ({b[1]} * {c[2]} - {b[2]} * {c[1]}) - {b[0]} * ({a[1]} * {c[2]} - {a[2]} * {c[1]})"
+        f" + {c[0]} * ({a[1]} * {b[2]} - {a[2]} * {b[1]}))"
+    )
+
+
+_SOLVED = "co AS (SELECT *, m9 - b0 * m0 - b1 * m1 - b2 * m2 AS icpt FROM (SELECT *, " + ", ".join(
+    f"{_det(['9' if k == j else str(k) for k in range(3)])} / {_det(['0', '1', '2'])} AS b{j}" for j in range(3)
+) + " FROM cv) t)"
+_FIT_CTES = [*imputed_ctes(), ML_CTE, SPLIT_CTE, _TRAIN_SUMS, _SOLVED]
+_FITTED = "icpt + " + " + ".join(f"b{i} * CAST({c} AS DOUBLE)" for i, c in enumerate(REG_NUMS))
+
+
+def _numeric_fit(spark, d):
+    train, test = split_frames(spark, d)
+    return MO.fit_regression(train, test, REG_NUMS, [], label=R.rating)
+
+
+@register(
+    "m7_numeric_regression_coefficients",
+    with_reviews(
+        "SELECT -1 AS slot, 'intercept' AS feature, round(icpt, 4) AS coefficient FROM co "
+        + " ".join(f"UNION ALL SELECT {i}, '{c}', round(b{i}, 4) FROM co" for i, c in enumerate(REG_NUMS)),
+        *_FIT_CTES,
+    ),
+)
+def q_m7_numeric(spark, d):
+    return round_doubles(MO.coefficients(_numeric_fit(spark, d)))
+
+
+@register(
+    "m6_numeric_regression_predictions",
+    with_reviews(
+        "SELECT " + ", ".join("round(age, 4) AS age" if c == "age" else c for c in ML_COLS)
+        + f", round({_FITTED}, 4) AS prediction, round(rating - ({_FITTED}), 4) AS error FROM mls, co WHERE split = 'test'",
+        *_FIT_CTES,
+    ),
+)
+def q_m6_numeric(spark, d):
+    return round_doubles(M.with_residual(_numeric_fit(spark, d).predictions.select(*ML_COLS, "prediction"), R.rating, "prediction"))
+
+
+@register(
+    "m8_numeric_regression_metrics",
+    with_reviews(
+        "SELECT CAST(count(*) AS BIGINT) AS n, round(sqrt(avg(e * e)), 4) AS rmse, round(avg(abs(e)), 4) AS mae, "
+        "round(1 - sum(e * e) / (var_samp(y) * (count(*) - 1)), 4) AS r2 "
+        f"FROM (SELECT CAST(rating AS DOUBLE) AS y, rating - ({_FITTED}) AS e FROM mls, co WHERE split = 'test') t",
+        *_FIT_CTES,
+    ),
+)
+def q_m8_numeric(spark, d):
+    return round_doubles(_numeric_fit(spark, d).metrics)
+
+
+_CENTRES = (25.0, 40.0, 60.0)
+_NEAREST = "CASE " + " ".join(
+    f"WHEN abs(age - {c}) = least({', '.join(f'abs(age - {x})' for x in _CENTRES)}) THEN {i}" for i, c in enumerate(_CENTRES)
+) + " END"
+_LABELLED = f"lab AS (SELECT *, {_NEAREST} AS cluster FROM ml)"
+
+
+def _labelled(spark, d):
+    """Every row with the nearest of three fixed centres on the age axis, and a weight of one."""
+    away = F.array(*[F.struct(F.abs(F.col(R.age) - c).alias("d"), F.lit(i).alias("i")) for i, c in enumerate(_CENTRES)])
+    return ml_frame(spark, d).withColumn("prediction", F.array_min(away)["i"])
+
+
+@register(
+    "m11_profile_fixed_centres",
+    with_reviews(
+        "SELECT cluster, CAST(count(*) AS BIGINT) AS size, "
+        + ", ".join(f"round(avg(CAST({c} AS DOUBLE)), 4) AS avg_{c}" for c in CLU_NUMS) + " FROM lab GROUP BY cluster",
+        *imputed_ctes(), ML_CTE, _LABELLED,
+    ),
+)
+def q_m11_fixed(spark, d):
+    points = FE.weighted_distinct(_labelled(spark, d), [*CLU_NUMS, "prediction"])
+    return round_doubles(MO.cluster_profile(points, CLU_NUMS, weight="weight"))
+
+
+@register(
+    "m11_division_by_fixed_cluster",
+    with_reviews(
+        "SELECT division_name, " + ", ".join(f'CAST(count(*) FILTER (WHERE cluster = {i}) AS BIGINT) AS "{i}"' for i in range(3))
+        + " FROM lab GROUP BY division_name",
+        *imputed_ctes(), ML_CTE, _LABELLED,
+    ),
+)
+def q_m11_div_fixed(spark, d):
+    return MO.cluster_by_group(_labelled(spark, d), R.division, 3)
+
+
+_SPLIT_CTES = [
+    *imputed_ctes(), ML_CTE, SPLIT_CTE,
+    "tr AS (SELECT rating, recommended_ind AS y FROM mls WHERE split = 'train')",
+    "cuts AS (SELECT t.v + 0.5 AS cut FROM (SELECT DISTINCT rating AS v FROM tr) t WHERE t.v < (SELECT max(rating) FROM tr))",
+    "parts AS (SELECT cut, rating > cut AS up, count(*) AS n, avg(CAST(y AS DOUBLE)) AS p FROM tr, cuts GROUP BY cut, rating > cut)",
+    # The purest cut: least weighted Gini impurity, the lower one of equal cuts.
+    "won AS (SELECT cut FROM parts GROUP BY cut ORDER BY sum(n * 2 * p * (1 - p)), cut LIMIT 1)",
+    "leaf AS (SELECT up, p, CASE WHEN p > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, cut FROM parts JOIN won USING (cut))",
+    "judged AS (SELECT m.*, l.p, l.prediction FROM mls m JOIN leaf l ON (m.rating > l.cut) = l.up WHERE m.split = 'test')",
+]
+
+
+def _one_split(spark, d):
+    """One tree of depth one on the rating, every training row once."""
+    train, test = split_frames(spark, d)
+    return MO.fit_classifier(train, test, [R.rating], [], label=R.recommended, num_trees=1, max_depth=1, bootstrap=False)
+
+
+@register(
+    "m13_one_split_predictions",
+    with_reviews("SELECT " + ", ".join("round(age, 4) AS age" if c == "age" else c for c in ML_COLS) + ", prediction FROM judged", *_SPLIT_CTES),
+)
+def q_m13_one(spark, d):
+    return round_doubles(_one_split(spark, d).predictions.select(*ML_COLS, "prediction"))
+
+
+@register(
+    "m15_one_split_metrics",
+    with_reviews(
+        """SELECT CAST(sum(n) AS BIGINT) AS n, round(sum(tp) / sum(n), 4) AS accuracy,
+       round(sum(CASE WHEN tp > 0 THEN 2.0 * tp / (n + m) ELSE 0 END * n) / sum(n), 4) AS f1
+FROM (SELECT y, count(*) FILTER (WHERE a = y) AS n, count(*) FILTER (WHERE b = y) AS m, count(*) FILTER (WHERE a = y AND b = y) AS tp
+      FROM (SELECT CAST(recommended_ind AS DOUBLE) AS a, prediction AS b FROM judged) t, (VALUES (0.0), (1.0)) v(y) GROUP BY y) per WHERE n > 0""",
+        *_SPLIT_CTES,
+    ),
+)
+def q_m15_one(spark, d):
+    return round_doubles(_one_split(spark, d).metrics)
+
+
+@register(
+    "m16_one_split_probability_sample",
+    with_reviews(
+        "SELECT recommended_ind, prediction, '[' || printf('%.6f', 1 - p) || ', ' || printf('%.6f', p) || ']' AS probability_text FROM judged ORDER BY "
+        + ", ".join(f"{c} ASC NULLS FIRST" for c in ML_COLS) + " LIMIT 10",
+        *_SPLIT_CTES,
+    ),
+)
+def q_m16_one(spark, d):
+    pred = MO.vector_as_text(_one_split(spark, d).predictions, "probability")
+    return MO.sample_predictions(pred, 10, ML_COLS, [R.recommended, "prediction", "probability_text"])
+
+
+# Other fitted models: SQL cannot state these, so the driver checks row counts only.
 
 
 @register("m6_linear_regression_predictions")
@@ -972,3 +1140,28 @@ def q_e3_split(spark, d):
     _, train, test = E.ml_split(imputed(spark, d).select(*COLS))
     sides = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
     return sides.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("rating").cast("bigint").alias("rating_sum"))
+
+
+@register(
+    "e4_division_totals",
+    with_reviews("SELECT division_name, CAST(count(*) AS BIGINT) AS n_rows FROM imputed GROUP BY division_name", *imputed_ctes()),
+)
+def q_e4(spark, d):
+    """The segmentation recipe: its clusters together hold every row of each division once."""
+    table = E.run_segmentation(imputed(spark, d, ML_COLS))["division_by_cluster"]
+    clusters = [c for c in table.columns if c != R.division]
+    return table.select(R.division, sum((F.col(f"`{c}`") for c in clusters), F.lit(0)).cast("bigint").alias("n_rows"))
+
+
+@register(
+    "e5_confusion_totals",
+    with_reviews(
+        "SELECT recommended_ind, CAST(count(*) AS BIGINT) AS n_rows FROM mls WHERE split = 'test' GROUP BY recommended_ind",
+        *imputed_ctes(), ML_CTE, SPLIT_CTE,
+    ),
+)
+def q_e5(spark, d):
+    """The classification recipe: its confusion matrix holds every test row once."""
+    table = E.run_classification(imputed(spark, d), compress=True)["confusion"]
+    predicted = [c for c in table.columns if c != R.recommended]
+    return table.select(R.recommended, sum((F.col(f"`{c}`") for c in predicted), F.lit(0)).cast("bigint").alias("n_rows"))
