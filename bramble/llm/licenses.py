@@ -46,6 +46,7 @@ TEMPLATES = {
     "cc-by-nc-4.0-short": "Licensed under CC BY-NC 4.0.",
     "cc-by-sa-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "all-rights-reserved-short": "All rights reserved.",
     "all-rights-reserved": "All rights reserved. No part of this publication may be reproduced without prior written permission.",
 }
 
@@ -95,24 +96,35 @@ def _bits(spark: SparkSession, table: DataFrame) -> tuple[Column, int]:
     return words.coalesce(1).agg(F.transform(F.sort_array(F.collect_list("c")), lambda c: c["bits"]).alias("b")).scalar(), size
 
 
-def _around(w: Column, k: int, reach: int, size: int) -> Column:
-    """The positions whose shingle is set in the table ``bits``, each with the shingles of every window through it."""
+def _around(w: Column, reach: dict[int, int], size: int) -> Column:
+    """The positions whose shingle is set in the table ``bits``, each with the shingles of every window through it.
+
+    ``reach`` holds the longest template of each shingle length; all lengths share one split and one fold of a text.
+    """
 
     def known(h: Column) -> Column:
         cell = F.pmod(h, F.lit(size))
         return F.getbit(F.col("bits")[F.shiftright(cell, 6).cast("int")], (cell % 64).cast("int")) == 1
 
-    def pieces(z: Column) -> Column:
-        h = z["h"]
-
+    def pieces(h: Column, k: int) -> Column:
         def piece(p: Column) -> Column:
-            low = F.greatest(p - (reach - k), F.lit(0))
-            return F.struct(p.alias("p"), h[p].alias("hash"), low.alias("from"), F.slice(h, low + 1, F.lit(2 * (reach - k) + 1)).alias("around"))
+            low = F.greatest(p - (reach[k] - k), F.lit(0))
+            around = F.slice(h, low + 1, F.lit(2 * (reach[k] - k) + 1))
+            return F.struct(F.lit(k).alias("k"), p.alias("p"), h[p].alias("hash"), low.alias("from"), around.alias("around"))
+
+        at = F.when(F.size(h) > 0, F.sequence(F.lit(0), F.size(h) - 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(F.filter(at, lambda p: known(h[p])), piece)
 
-        return F.transform(F.filter(F.sequence(F.lit(0), F.size(h) - 1), lambda p: known(h[p])), piece)
+    def folded(h: Column, out: Column, k: int) -> Column:
+        """Pieces of every length from k up; ``out`` holds the hashes of k words, folded as in :func:`_hashes`."""
+        own = [pieces(out, k)] if k in reach else []
+        if k < max(reach):
+            longer = F.zip_with(F.slice(out, F.lit(1), F.greatest(F.size(h) - k, F.lit(0))), F.slice(h, F.lit(k + 1), F.size(h)), lambda a, b: F.xxhash64(a, b))
+            own.append(let(longer, lambda z: folded(h, z, k + 1)))
+        return F.concat(*own) if len(own) > 1 else own[0]
 
     # No filter on the length: it would be pushed below and split the text twice.
-    return let(F.struct(_hashes(w, k).alias("h")), lambda z: F.when(F.size(z["h"]) > 0, pieces(z)))
+    return let(F.transform(w, lambda x: F.xxhash64(x)), lambda h: folded(h, h, 1))
 
 
 def scan(
@@ -127,21 +139,17 @@ def scan(
     spark = docs.sparkSession
     table = written(prepared(templates, shingle, bands), "license-templates")
     rows = docs.select(col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("row"), license_words(col(text_col)).alias("w"))
-    windows = None
-    for k, reach in [tuple(r) for r in table.groupBy("k").agg(F.max("n")).orderBy("k").collect()]:  # at most `shingle` rows
-        own = table.filter(F.col("k") == k)
-        bits, size = _bits(spark, own)
-        at = rows.withColumn("bits", bits)
-
-        at = at.select("doc_id", "row", F.explode(_around(F.col("w"), k, reach, size)).alias("a")).select("doc_id", "row", "a.*")
-        opens = own.select("n", F.posexplode("hashes").alias("at", "hash")).distinct()
-        cut = at.join(opens, "hash").withColumn("start", F.col("p") - F.col("at")).filter("start >= 0")
-        held = F.slice("around", F.col("start") - F.col("from") + 1, F.col("n") - k + 1)
-        cut = cut.select("doc_id", "row", "start", "n", F.lit(k).alias("k"), held.alias("held"))
-        windows = cut if windows is None else windows.unionByName(cut)
-    if windows is None:
+    reach = {r["k"]: r["n"] for r in table.groupBy("k").agg(F.max("n").alias("n")).collect()}  # at most `shingle` rows
+    if not reach:
         kind = docs.schema[id_col].dataType.simpleString()
         return spark.createDataFrame([], f"doc_id {kind}, row bigint, template string, n_windows bigint, start int, containment double")
+    bits, size = _bits(spark, table)
+    at = rows.withColumn("bits", bits)
+    at = at.select("doc_id", "row", F.explode(_around(F.col("w"), reach, size)).alias("a")).select("doc_id", "row", "a.*")
+    opens = table.select("n", "k", F.posexplode("hashes").alias("at", "hash")).distinct()
+    cut = at.join(opens, ["hash", "k"]).withColumn("start", F.col("p") - F.col("at")).filter("start >= 0")
+    held = F.slice("around", F.col("start") - F.col("from") + 1, F.col("n") - F.col("k") + 1)
+    windows = cut.select("doc_id", "row", "start", "n", "k", held.alias("held"))
     windows = windows.dropDuplicates(["row", "start", "n", "k"])
     asked = windows.withColumn("band", F.explode(signature(F.array_distinct("held"), bands)))
     answers = table.select("template", "n", "k", "hashes", F.explode("bands").alias("band"))

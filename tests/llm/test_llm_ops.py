@@ -292,6 +292,23 @@ def test_license_scan(spark):
     assert licenses.scan(df, licenses.template_table(spark).limit(0)).count() == 0
 
 
+#: The five notices that the given documents hold, as a regular expression and the template that names them.
+NOTICES = {
+    r"Licensed under the Apache License, Version 2\.0": "apache-2.0-short",
+    r"Released under the MIT License": "mit-short",
+    r"licensed under the GNU General Public License, version 3": "gpl-3.0-short",
+    r"Licensed under CC BY-NC 4\.0": "cc-by-nc-4.0-short",
+    r"All rights reserved": "all-rights-reserved-short",
+}
+
+
+def test_license_scan_finds_every_notice_of_the_given_documents(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = {(r["doc_id"], r["template"]) for r in licenses.scan(df, licenses.template_table(spark)).collect()}
+    held = {(r["doc_id"], name) for r in df.filter("text is not null").collect() for notice, name in NOTICES.items() if re.search(rf"\b{notice}\b", r["text"])}
+    assert {name for _, name in held} == set(NOTICES.values()) and held <= found
+
+
 def test_lm_scores_against_direct_counts(spark):
     df, rows = cases(spark)
     trusted = spark.createDataFrame([(0,), (1,), (None,)], "doc_id bigint")
