@@ -11,7 +11,8 @@ one row per band: with similarity s a band agrees with probability s, and one of
 an exact copy always collides.
 
 Which windows: those that put one of the template's shingles where the template has
-it.  A window without any shingle of a template has containment 0, so none is lost.
+it, or the first window where that would begin before the text (a notice whose first words
+are missing).  A window without any shingle of a template has containment 0, so none is lost.
 Positions are first tested against a bit table of the templates' shingles (a superset,
 8 megabytes at most for 16,000 shingles, growing with the templates, not the corpus); the
 bands choose the template, and the comparison at the end is exact.  A candidate carries
@@ -69,7 +70,11 @@ def _hashes(w: Column, k: int) -> Column:
 
 def signature(hashes: Column, bands: int) -> Column:
     """One MinHash value per band, tagged by the band."""
-    return F.array(*[F.xxhash64(F.lit(b), F.array_min(F.transform(hashes, lambda x, b=b: F.xxhash64(x, F.lit(b))))) for b in range(bands)])
+
+    def lowest(b: int) -> Column:  # a lambda of two arguments would get the position as the second
+        return F.array_min(F.transform(hashes, lambda x: F.xxhash64(x, F.lit(b))))
+
+    return F.array(*[F.xxhash64(F.lit(b), lowest(b)) for b in range(bands)])
 
 
 def template_table(spark: SparkSession, templates: dict[str, str] | None = None) -> DataFrame:
@@ -147,7 +152,7 @@ def scan(
     at = rows.withColumn("bits", bits)
     at = at.select("doc_id", "row", F.explode(_around(F.col("w"), reach, size)).alias("a")).select("doc_id", "row", "a.*")
     opens = table.select("n", "k", F.posexplode("hashes").alias("at", "hash")).distinct()
-    cut = at.join(opens, ["hash", "k"]).withColumn("start", F.col("p") - F.col("at")).filter("start >= 0")
+    cut = at.join(opens, ["hash", "k"]).withColumn("start", F.greatest(F.col("p") - F.col("at"), F.lit(0)))
     held = F.slice("around", F.col("start") - F.col("from") + 1, F.col("n") - F.col("k") + 1)
     windows = cut.select("doc_id", "row", "start", "n", "k", held.alias("held"))
     windows = windows.dropDuplicates(["row", "start", "n", "k"])

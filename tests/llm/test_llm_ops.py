@@ -309,6 +309,13 @@ def test_license_scan_finds_every_notice_of_the_given_documents(spark):
     assert {name for _, name in held} == set(NOTICES.values()) and held <= found
 
 
+def test_license_scan_of_texts_that_open_inside_a_notice(spark):
+    words = licenses.TEMPLATES["apache-2.0-header"].split()
+    df = docs(spark, [(n, " ".join(words[n:]) + tail, None, None, None) for n, tail in ((1, ""), (2, " and more words"), (3, " " + LONG))])
+    got = licenses.scan(df, licenses.template_table(spark)).filter("template = 'apache-2.0-header'").collect()
+    assert {r["doc_id"]: r["start"] for r in got} == {1: 0, 2: 0, 3: 0}
+
+
 def test_lm_scores_against_direct_counts(spark):
     df, rows = cases(spark)
     trusted = spark.createDataFrame([(0,), (1,), (None,)], "doc_id bigint")
