@@ -41,7 +41,9 @@ COMPOSED_PAGES = 1200
 SEED = 42
 
 # Element names of HTML.
-RAW = "script|style|noscript|template|svg|iframe|textarea|select|title|object|canvas|video|audio|math"
+RAW = set("script style noscript template svg iframe textarea select title object canvas video audio".split())
+#: Of these, those that hold plain text: no self-closed form, and an unclosed one goes to the end of the page.
+PLAIN = {"script", "style", "textarea", "title"}
 BLOCK = set(
     "html head body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul caption button label".split()
 )
@@ -51,10 +53,11 @@ ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}
 NEVER = {"nav", "footer", "aside", "form", "fieldset", "button", "label", "legend", "menu", "dialog", "search", "head"}
 
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<({RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
     re.S | re.I,
 )
+END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
 NAMED = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 PIECE = re.compile(r"[A-Za-z]+")
 
@@ -84,13 +87,25 @@ def blocks(page: str | None) -> list[tuple[str, tuple, float]]:
             text.append(piece)
             linked += len(piece) if link else 0
 
-    for m in TOKEN.finditer(page):
+    unclosed: set[str] = set()
+    while m := TOKEN.search(page, at):
         say(page[at : m.start()])
         at = m.end()
-        name = m[3] or m[6]
+        name = m[2] or m[5]
         if not name:
             continue
-        name, closing = name.lower(), m[2] or m[5]
+        name, closing = name.lower(), m[1] or m[4]
+        if name in RAW:
+            if closing or name not in PLAIN and (name in unclosed or m[0].endswith("/>")):
+                continue
+            end = END[name].search(page, at)
+            if end:
+                at = end.end()
+            elif name in PLAIN:
+                at = len(page)
+            else:
+                unclosed.add(name)  # nor is any later one closed
+            continue
         if name == "a":
             link = 0 if closing else 1
         elif name == "br":
@@ -114,7 +129,7 @@ def blocks(page: str | None) -> list[tuple[str, tuple, float]]:
                     del stack[k:]
                     break
             if name not in VOID:
-                attributes = (m[4] or m[7] or "").lower()
+                attributes = (m[3] or m[6] or "").lower()
                 own = " ".join(PIECE.findall(" ".join(a or b or c for a, b, c in NAMED.findall(attributes)))) if "=" in attributes else ""
                 stack.append((name, f"{name} {own}".strip()))
     say(page[at:])

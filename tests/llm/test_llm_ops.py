@@ -376,6 +376,22 @@ def test_html_extraction(spark):
     assert html_extract.extract(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "tag", ["<svg viewBox='0 0 1 1'/>", "<math/>", "<object data=x />", "<video src='a>b'/>", "<audio/>", "<canvas/>", "<svg>", "<object data=x>", "<video controls>", "<select>", "<iframe src=x>", "<noscript>", "<video-player>", "<audio-player src=x></audio-player>", "<select-menu>"],
+)
+def test_html_text_after_an_element_without_end(tag):
+    page = f"<article><p>One {tag} two.</p><p>Three.</p></article>"
+    assert [text for text, _, _ in html_extract.blocks(page)] == ["One two.", "Three."]
+
+
+def test_html_raw_elements_and_math():
+    said = lambda page: [text for text, _, _ in html_extract.blocks(page)]
+    assert said("<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> hold.") == ["Let x=2 hold."]
+    assert said("<p>a<video src=v>no</video><svg><text>no</text></svg><SCRIPT src='x'/>no</script >b<svg/>c<svg>no</svg>d") == ["abcd"]
+    assert said("<p>a<script>if (x) y = '<p>no'") == ["a"]
+    assert said("<p>a" + "<object>" * 50_000 + "b") == ["ab"]
+
+
 def test_labeller_gradients():
     rng = np.random.default_rng(0)
     pages = [rng.normal(size=(n, 5)).astype(np.float32) for n in (3, 6, 1, 9)]
