@@ -7,7 +7,8 @@ both ways, so each block is judged with the whole page around it; blocks of one
 share the mean of their scores.  Blocks judged to be article text are joined.
 
 An exact check follows: text inside elements that can't hold article text by their
-meaning (navigation, footers, asides, forms, page headers) is never kept.
+meaning (navigation, footers, asides, page headers, forms beside or inside the article)
+is never kept.  Blocks of a form around the whole page are left to the labeller.
 
 Training: a bounded sample of ``sample_pages`` pages by hash order, labelled by where
 their blocks stand, and pages composed by rule from the sample's words in many layouts
@@ -50,7 +51,10 @@ BLOCK = set(
 VOID = {"hr", "br", "img", "input", "meta", "link", "wbr", "source", "col", "area", "base", "embed", "track"}
 #: An opening tag ends the nearest open element of these, unless one of the second set is nearer.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
-NEVER = {"nav", "footer", "aside", "form", "fieldset", "button", "label", "legend", "menu", "dialog", "search", "head"}
+FORMS = {"form", "fieldset"}
+NEVER = {"nav", "footer", "aside", "button", "label", "legend", "menu", "dialog", "search", "head"}
+#: Words that name the article's block in class and id attributes.
+CONTENT = set("content article post entry story text main body page detail prose markdown".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -137,11 +141,34 @@ def blocks(page: str | None) -> list[tuple[str, tuple, float]]:
     return out
 
 
-def barred(path: tuple) -> bool:
-    """Whether an element on the path can't hold article text."""
+def articles(page: list[tuple[str, tuple, float]]) -> bool:
+    """Whether the page has an article or main element that no form holds."""
+    for path in {path for _, path, _ in page}:
+        for p in path:
+            name = p.split(" ", 1)[0]
+            if name in FORMS:
+                break
+            if name in ("article", "main"):
+                return True
+    return False
+
+
+def barred(path: tuple, apart: bool = True) -> bool:
+    """Whether an element on the path can't hold article text.
+
+    A form may hold the whole page.  One with an article, main or content block inside it on the path is
+    not barred, nor is any where the page has no article apart from forms (``apart``): the labeller judges.
+    """
     names = [p.split(" ", 1)[0] for p in path]
     inside = next((i for i, n in enumerate(names) if n in ("article", "main")), None)
-    return any(n in NEVER or (n == "header" and (inside is None or i < inside)) for i, n in enumerate(names))
+    held = max((i for i, p in enumerate(path) if names[i] in ("article", "main") or not CONTENT.isdisjoint(p.split(" ")[1:])), default=-1)
+    for i, n in enumerate(names):
+        if n in FORMS:
+            if i > held and (apart or (inside is not None and inside < i)):
+                return True
+        elif n in NEVER or (n == "header" and (inside is None or i < inside)):
+            return True
+    return False
 
 
 def _cell(token: str, size: int) -> int:
@@ -300,16 +327,15 @@ SIDE = (
     "ad ads advert advertisement banner sponsor sponsored promo cookie cookies consent gdpr notice popup modal overlay newsletter subscribe signup login search menu nav navbar navigation "
     "topbar breadcrumb breadcrumbs sidebar side widget rail related recommended share social toolbar comments comment reply respond discussion disqus footer foot bottom copyright legal header masthead logo top pagination pager tags"
 ).split()
-CONTENT = "content article post entry story text main body page detail prose markdown".split()
 
 
-def placed(path: tuple) -> int:
+def placed(path: tuple, apart: bool = True) -> int:
     """Label of a block by where it stands, for the sample of given pages."""
     names = [p.split(" ", 1)[0] for p in path]
     words = {w for p in path for w in p.split(" ")[1:]}
-    if barred(path) or words & set(SIDE):
+    if barred(path, apart) or words & set(SIDE):
         return 0
-    return int(any(n in ("article", "main") for n in names) or bool(words & set(CONTENT)))
+    return int(any(n in ("article", "main") for n in names) or bool(words & CONTENT))
 
 
 def composed(vocabulary: list[str], n: int, seed: int = SEED) -> tuple[list, list]:
@@ -341,10 +367,14 @@ def composed(vocabulary: list[str], n: int, seed: int = SEED) -> tuple[list, lis
             return [(say(2, 30), (*base, pick(["aside", "aside sidebar", "div sidebar", "div widget", "div rail", "div side"]), *pick([(), ("p",), ("h3",), ("ul", "li")])), float(rng.random() < 0.4), 0) for _ in range(int(rng.integers(1, 5)))]
         return [(say(2, 30), (*base, f"{pick(['div', 'p', 'section', 'aside'])} {pick(SIDE)}", *pick([(), (), ("p",), ("span",)])), float(rng.random() < 0.3), 0) for _ in range(int(rng.integers(1, 3)))]
 
+    named_content = sorted(CONTENT)
     pages, labels = [], []
     for _ in range(n):
         top = (*pick([("html", "body"), ("html", "body"), ("body",), ()]), *pick([(), (), ("div wrapper",), ("div container",), ("div page",)]))
-        frame = pick([("article",), ("article",), ("main",), ("main", "article"), (f"article {pick(CONTENT)}",), (f"div {pick(CONTENT)}",), (f"div {pick(CONTENT)}",), (f"section {pick(CONTENT)}",), (f"div {pick(CONTENT)} {pick(CONTENT)}", "div")])
+        if rng.random() < 0.15:  # a form around the whole page
+            at = top.index("body") + 1 if "body" in top else 0
+            top = (*top[:at], pick(["form", "form aspnetForm", "form form"]), *top[at:])
+        frame = pick([("article",), ("article",), ("main",), ("main", "article"), (f"article {pick(named_content)}",), (f"div {pick(named_content)}",), (f"div {pick(named_content)}",), (f"section {pick(named_content)}",), (f"div {pick(named_content)} {pick(named_content)}", "div")])
         page = []
         for _ in range(int(rng.integers(0, 5))):
             page += side(top)
@@ -375,7 +405,7 @@ def trained(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, id_col: str = "p
     given = [b for b in (blocks(r["h"]) for r in rows) if b]
     words = [w for p in given for text, _, _ in p for w in text.split(" ")[:50]] or "a bare page without any words of its own".split()
     made, labels = composed(words, COMPOSED_PAGES)
-    labels += [np.array([placed(path) for _, path, _ in p], np.float32) for p in given]
+    labels += [np.array([placed(path, apart) for _, path, _ in p], np.float32) for p in given for apart in [articles(p)]]
     memo: dict = {}
     x = [vectors(p, memo) for p in [*made, *given]]
     return Labeller(x[0].shape[1]).fit(x, labels)
@@ -384,11 +414,12 @@ def trained(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, id_col: str = "p
 def decide(page: list[tuple[str, tuple, float]], logits: np.ndarray) -> list[str]:
     """The texts kept: blocks of one path share their mean score."""
     total: dict = {}
+    apart = articles(page)
     for (_, path, _), z in zip(page, logits.tolist()):
         s = total.setdefault(path, [0.0, 0])
         s[0] += z
         s[1] += 1
-    return [text for text, path, _ in page if total[path][0] > 0 and not barred(path)]
+    return [text for text, path, _ in page if total[path][0] > 0 and not barred(path, apart)]
 
 
 def extract(pages: DataFrame, model: Labeller | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -376,6 +376,19 @@ def test_html_extraction(spark):
     assert html_extract.extract(pages.limit(0)).count() == 0
 
 
+FORMS = {
+    "<body><form id=aspnetForm action=x><div class=menu><a href=x>Home</a></div><article><h1>Big News</h1><p>One and two are here.</p><form><p>Subscribe to us</p></form></article><footer>us</footer></form></body>": "Big News\n\nOne and two are here.",
+    "<body><form id=form1><div class=content><p>Text here is long enough.</p><p>And some more of it.</p></div><div class=sidebar><p>Related</p></div></form></body>": "Text here is long enough.\n\nAnd some more of it.",
+    "<body><form><p>Search the site</p></form><article><p>Text here is long enough.</p><fieldset><p>Vote</p></fieldset></article></body>": "Text here is long enough.",
+}
+
+
+def test_html_form_around_the_page(spark):
+    given = [(i, "u", h) for i, h in enumerate([*FORMS, *PAGES])]
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(given, "page_id bigint, url string, html string")).collect()}
+    assert [got[i] for i in range(len(given))] == [*FORMS.values(), *PAGES.values()]
+
+
 @pytest.mark.parametrize(
     "tag", ["<svg viewBox='0 0 1 1'/>", "<math/>", "<object data=x />", "<video src='a>b'/>", "<audio/>", "<canvas/>", "<svg>", "<object data=x>", "<video controls>", "<select>", "<iframe src=x>", "<noscript>", "<video-player>", "<audio-player src=x></audio-player>", "<select-menu>"],
 )
