@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import chat, decontam, html_extract, licenses, lines, lmscore, mixing, quality_clf, quality_rules, simhash
+from . import ann, chat, decontam, html_extract, licenses, lines, lmscore, mixing, quality_clf, quality_rules, simhash
 
 
 #: A conversation whose texts hold the template's own control strings.
@@ -74,6 +74,12 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_clf.scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every vector whose id is divisible by 20, among all others."""
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return ann.neighbours(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -91,6 +97,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_html_extraction": op9_html_extraction,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_nearest_neighbours": op11_nearest_neighbours,
     "pipeline": pipeline,
 }
 
