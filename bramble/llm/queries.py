@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import ann, chat, decontam, html_extract, licenses, lines, lmscore, mixing, quality_clf, quality_rules, simhash
+from . import ann, chat, decontam, html_extract, lexical, licenses, lines, lmscore, mixing, quality_clf, quality_rules, simhash, trie
 
 
 #: A conversation whose texts hold the template's own control strings.
@@ -80,6 +80,17 @@ def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.neighbours(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 highest-scoring documents of every benchmark item."""
+    return lexical.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    shared, origin = trie.shared_turns(F.col("conv_id"))
+    return trie.trie(read_table(spark, sf_dir, "conversations"), block=4, shared=shared, origin=origin)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -98,6 +109,8 @@ QUERIES = {
     "op9_html_extraction": op9_html_extraction,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_nearest_neighbours": op11_nearest_neighbours,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_conversation_trie": op13_conversation_trie,
     "pipeline": pipeline,
 }
 
@@ -162,4 +175,47 @@ o AS (
 SELECT doc_id, size, source_size, target,
        CAST(greatest(least(a + size, quota) - a, 0) + greatest(least(source_size + a + size, quota) - source_size - a, 0) AS BIGINT) AS taken
 FROM o""",
+    "op12_lexical_search": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), []) AS ws FROM documents),
+b AS (
+  SELECT item_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), []) AS ws FROM benchmark),
+c AS (SELECT count(*) AS big_n, CAST(sum(len(ws)) AS BIGINT) AS big_l FROM d WHERE len(ws) > 0),
+q AS (SELECT item_id, term, count(*) AS qf FROM (SELECT item_id, unnest(ws) AS term FROM b) GROUP BY item_id, term),
+t AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(ws) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY doc_id, term),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(big_n) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM t, c GROUP BY term),
+m AS (SELECT doc_id, 25 + (75 * len(ws) * big_n) // big_l AS m FROM d, c WHERE len(ws) > 0),
+s AS (
+  SELECT item_id, doc_id, CAST(sum(qf * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM q JOIN t USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id),
+r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10""",
+    "op13_conversation_trie": r"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+ids AS (
+  SELECT conv_id AS c, conv_id - conv_id % 20 AS base,
+         xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))), lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM conversations), crc),
+o AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i FROM conversations),
+r AS (
+  SELECT c, 0 AS part, i, role, text FROM ids JOIN o ON o.conv_id = base AND i <= h
+  UNION ALL SELECT c, 1, i, role, text FROM ids JOIN o ON o.conv_id = c AND i > h),
+s AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, i) AS depth, role, text FROM r),
+p AS (
+  SELECT c, depth, string_agg(md5(CAST(length(role) AS VARCHAR) || ':' || role || text), '') OVER (PARTITION BY c ORDER BY depth) AS path,
+         len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words, depth = max(depth) OVER (PARTITION BY c) AS ends FROM s
+  UNION ALL SELECT c, 0, '', 0, c NOT IN (SELECT c FROM s) FROM ids),
+n AS (
+  SELECT path, depth, min(c) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256 FROM p GROUP BY path, depth),
+k AS (SELECT left(path, 32 * (depth - 1)) AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (path)),
+u AS (
+  SELECT left(path, 32 * a) AS path, CAST(sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves, CAST(sum((n_convs - 1) * words) AS BIGINT) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS a FROM m) GROUP BY 1)
+SELECT m.conv_id, m.depth, q.conv_id AS parent_conv_id, m.n_convs, m.n_children, u.n_leaves, u.saved_tokens, m.ends_sha256
+FROM m JOIN u USING (path) LEFT JOIN m AS q ON m.depth > 0 AND q.path = left(m.path, 32 * (m.depth - 1))""",
 }
