@@ -2,6 +2,7 @@
 nulls in any column, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 
 import hashlib
+import math
 import os
 import re
 import sys
@@ -16,7 +17,7 @@ from hypothesis import strategies as st
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
-from bramble.llm import chat, decontam, html_extract, licenses, lines, lmscore, mixing, quality_clf, quality_rules, simhash  # noqa: E402
+from bramble.llm import chat, decontam, html_extract, licenses, lines, lmscore, mixing, quality_clf, quality_rules, queries, simhash  # noqa: E402
 
 LINE = "A passage of well over forty characters that many documents share."
 LONG = " ".join(f"word{i % 997}" for i in range(20_000))
@@ -193,7 +194,7 @@ def test_decontamination_against_brute_force(spark):
     rows += [(60, None, None, None, None), (61, "", "", "", 0), rows[1], (None, items[0][1], None, None, 1), (62, LONG, None, None, 1)]
     bench = spark.createDataFrame(items, "item_id bigint, text string")
     df = docs(spark, rows)
-    for options in ({}, {"block_items": 4, "shard_words": 300}):
+    for options in ({}, {"block_bytes": 200, "shard_words": 300}):
         got = decontam.report(decontam.find(df, bench, **options)).collect()
         assert sorted((repr(r["doc_id"]), r["n_words"], r["n_hit"], r["items"]) for r in got) == sorted((repr(r[0]), *brute_hits(r[1], items)) for r in rows)
     out = decontam.remove(df, bench)
@@ -316,28 +317,83 @@ def test_license_scan_of_texts_that_open_inside_a_notice(spark):
     assert {r["doc_id"]: r["start"] for r in got} == {1: 0, 2: 0, 3: 0}
 
 
-def test_lm_scores_against_direct_counts(spark):
+def test_license_scan_against_every_window(spark):
+    """Brute force over all windows of all texts: starts, numbers of windows and containments, templates of very different lengths."""
+    rng = np.random.default_rng(2)
+    long = " ".join(f"term{int(i)}" for i in rng.integers(0, 900, 1200))
+    templates = {"long": long, "one": "notice", "two": "All rights", "six": "this work is free to use", "twin": "this work is free to use", **{k: licenses.TEMPLATES[k] for k in ("mit-short", "isc", "zlib")}}
+    worn = long.split()
+    for i in rng.choice(len(worn), 15, replace=False):
+        worn[int(i)] = "worn"
+    texts = [long, "intro words " + long + " and " + long, " ".join(worn), "This work, is free to use! this work is free to use. Notice: all RIGHTS", None, "", licenses.TEMPLATES["isc"][40:], "x " + licenses.TEMPLATES["zlib"] + " y"]
+    split = lambda t: re.sub(r"[\W_]+", " ", t.lower()).split()
+    want = {}
+    for d, text in enumerate(texts):
+        w = split(text or "")
+        for name, t in templates.items():
+            t = split(t)
+            k = min(5, len(t))
+            shingles = lambda ws: {tuple(ws[i : i + k]) for i in range(len(ws) - k + 1)}  # noqa: E731,B023
+            own, hits = shingles(t), []
+            for start in range(max(0, len(w) - k + 1)):
+                share = len(shingles(w[start : start + len(t)]) & own) / len(own)
+                if share >= 0.8:
+                    hits.append((share, -start))
+            if hits:
+                want[d, name] = max(hits)
+    got = {(r["doc_id"], r["template"]): (r["containment"], -r["start"]) for r in licenses.scan(docs(spark, [(d, t, None, None, None) for d, t in enumerate(texts)]), licenses.template_table(spark, templates)).collect()}
+    assert got.keys() == want.keys()
+    assert all(got[k] == (pytest.approx(want[k][0]), want[k][1]) for k in want)
+
+
+def lm_brute(rows, trusted):
+    """Scores by position, from counts of the words and pairs themselves."""
+    n, m = [Counter(), Counter(), Counter()], [Counter(), Counter(), Counter()]
+    texts = [re.findall("[^\x20\x09-\x0d]+", (t or "").translate({c: c + 32 for c in range(65, 91)})) for _, t in rows]
+    for (i, _), ws in zip(rows, texts):
+        before = [None, *ws[:-1]]
+        for counts in (n, m) if i in trusted else (n,):
+            counts[0].update(ws)
+            counts[1].update(zip(before, ws))
+            counts[2].update(before if ws else [])
+    total, good = sum(n[0].values()), sum(m[0].values())
+    out = []
+    for ws in texts:
+        score = 0.0
+        for v, w in zip([None, *ws[:-1]], ws):
+            p = []
+            for counts, scale in ((m, total / good if good else 0), (n, 1)):
+                one = (counts[0][w] * scale + lmscore.WORD_PRIOR) / ((1 + lmscore.WORD_PRIOR) * total)
+                p.append((counts[1][v, w] * scale + lmscore.PAIR_PRIOR * one) / (counts[2][v] * scale + lmscore.PAIR_PRIOR))
+            score += math.log(p[0]) - math.log(p[1])
+        out.append((len(ws), score / len(ws) if ws else None))
+    return out
+
+
+def lm_same(got, rows, trusted):
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2] or 0)
+    want = sorted(((i, *w) for (i, _), w in zip(rows, lm_brute(rows, trusted))), key=key)
+    got = sorted(((r["doc_id"], r["n_tokens"], r["score"]) for r in got), key=key)
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert all(g[2] == w[2] if w[2] is None else g[2] == pytest.approx(w[2], abs=1e-9) for g, w in zip(got, want))
+
+
+@pytest.mark.parametrize("heavy, bucket_tokens", [(1000, 500_000), (3, 50), (0, 1000)])
+def test_lm_scores_against_direct_counts(spark, heavy, bucket_tokens):
+    """Exact for any list of frequent words and any number of buckets."""
     df, rows = cases(spark)
     trusted = spark.createDataFrame([(0,), (1,), (None,)], "doc_id bigint")
-    got = lmscore.score(df, trusted, word_bits=16, pair_bits=18).collect()
-    assert len(got) == len(rows) and {r["score"] for r in got if not r["n_tokens"]} == {None}
-    memo, n, m = {}, [Counter(), Counter(), Counter()], [Counter(), Counter(), Counter()]
-    cells = [lmscore.tokens((r[1] or "").encode(), 16, memo) for r in rows]
-    for r, c in zip(rows, cells):
-        for k, x in enumerate((c, lmscore.pairs(c, 16, 18) if len(c) else [], [1 << 16, *c[:-1]] if len(c) else [])):
-            n[k].update(int(v) for v in x)
-            m[k].update(int(v) for v in x) if r[0] in (0, 1) else None
-    total, share = sum(n[0].values()), sum(m[0].values()) / sum(n[0].values())
-    c = cells[0]
-    p = []
-    for counts, scale in ((m, 1 / share), (n, 1)):
-        one = np.array([counts[0][int(x)] * scale for x in c])
-        before = np.array([counts[2][int(x)] * scale for x in [1 << 16, *c[:-1]]])
-        two = np.minimum(np.array([counts[1][int(x)] * scale for x in lmscore.pairs(c, 16, 18)]), np.minimum(one, before))
-        p.append(np.log((two + lmscore.PAIR_PRIOR * (one + lmscore.WORD_PRIOR) / (total + lmscore.WORD_PRIOR * 2**16)) / (before + lmscore.PAIR_PRIOR)))
-    assert next(r["score"] for r in got if r["doc_id"] == 0) == pytest.approx((p[0] - p[1]).mean(), rel=1e-4)
-    assert {r["score"] for r in lmscore.score(df, trusted.limit(0), 16, 18).collect()} == {0.0, None}
-    assert lmscore.score(empty(spark), trusted, 16, 18).count() == 0
+    lm_same(lmscore.score(df, trusted, heavy, bucket_tokens).collect(), [r[:2] for r in rows], {0, 1})
+    assert {r["score"] for r in lmscore.score(df, trusted.limit(0), heavy, bucket_tokens).collect()} == {0.0, None}
+    assert lmscore.score(empty(spark), trusted, heavy, bucket_tokens).count() == 0
+
+
+def test_lm_scores_of_every_given_document(spark, monkeypatch):
+    monkeypatch.setattr(lmscore, "CHUNK_BYTES", 200_000)
+    sf = "/root/testdata/sf0.01"
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    trusted = {r[0] for r in quality_rules.trusted_ids(spark.read.parquet(f"{sf}/labels.parquet")).collect()}
+    lm_same(queries.op6_lm_scoring(spark, sf).collect(), rows, trusted)
 
 
 def test_classifier(spark, sf_small):
