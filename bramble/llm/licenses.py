@@ -14,9 +14,10 @@ Which windows: those that put one of the template's shingles where the template
 it, or the first window where that would begin before the text (a notice whose first words
 are missing).  A window without any shingle of a template has containment 0, so none is lost.
 Positions are first tested against a bit table of the templates' shingles (a superset,
-8 megabytes at most for 16,000 shingles, growing with the templates, not the corpus); the
-bands choose the template, and the comparison at the end is exact.  A candidate carries
-the shingles around it, so no text is joined back or shuffled.
+8 megabytes at most for 16,000 shingles, growing with the templates, not the corpus), then looked up in a
+map from shingle to its places in the templates, and the starts they give are made distinct before any window
+is cut: a text that holds a template of n words carries about n hashes on, not n for each of its words.  The
+bands choose the template, and the comparison at the end is exact.  No text is joined back or shuffled.
 
 Nulls and ties: a null or wordless text matches nothing; a null or wordless template
 is ignored; a template shorter than a shingle is one shingle of its own length; repeated
@@ -47,6 +48,33 @@ TEMPLATES = {
     "cc-by-nc-4.0-short": "Licensed under CC BY-NC 4.0.",
     "cc-by-sa-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "mit": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software "
+        "without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
+        "persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies "
+        "or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+        "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, "
+        "WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "isc": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this "
+        "permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES "
+        "OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS "
+        "OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+    ),
+    "bsd-2-clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code "
+        "must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this "
+        "list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+    ),
+    "zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. "
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions"
+    ),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source "
+        "code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."
+    ),
     "all-rights-reserved-short": "All rights reserved.",
     "all-rights-reserved": "All rights reserved. No part of this publication may be reproduced without prior written permission.",
 }
@@ -101,10 +129,12 @@ def _bits(spark: SparkSession, table: DataFrame) -> tuple[Column, int]:
     return words.coalesce(1).agg(F.transform(F.sort_array(F.collect_list("c")), lambda c: c["bits"]).alias("b")).scalar(), size
 
 
-def _around(w: Column, reach: dict[int, int], size: int) -> Column:
-    """The positions whose shingle is set in the table ``bits``, each with the shingles of every window through it.
+def _windows(w: Column, lengths: list[int], size: int) -> Column:
+    """The windows to look at: ``k, start, n, held``, where held are the shingle hashes of the window.
 
-    ``reach`` holds the longest template of each shingle length; all lengths share one split and one fold of a text.
+    A position whose shingle is set in the table ``bits`` is looked up in ``places`` (hash to packed places in
+    templates); a start is packed with the window's length into one number, made distinct, and cut once.
+    All shingle lengths share one split and one fold of a text.
     """
 
     def known(h: Column) -> Column:
@@ -112,18 +142,25 @@ def _around(w: Column, reach: dict[int, int], size: int) -> Column:
         return F.getbit(F.col("bits")[F.shiftright(cell, 6).cast("int")], (cell % 64).cast("int")) == 1
 
     def pieces(h: Column, k: int) -> Column:
-        def piece(p: Column) -> Column:
-            low = F.greatest(p - (reach[k] - k), F.lit(0))
-            around = F.slice(h, low + 1, F.lit(2 * (reach[k] - k) + 1))
-            return F.struct(F.lit(k).alias("k"), p.alias("p"), h[p].alias("hash"), low.alias("from"), around.alias("around"))
-
         at = F.when(F.size(h) > 0, F.sequence(F.lit(0), F.size(h) - 1)).otherwise(F.array().cast("array<int>"))
-        return F.transform(F.filter(at, lambda p: known(h[p])), piece)
+        none = F.array().cast("array<struct<n:int,at:int>>")
+
+        def starts(p: Column) -> Column:
+            found = F.coalesce(F.try_element_at("places", F.xxhash64(h[p], F.lit(k))), none)
+            return F.transform(found, lambda o: F.greatest(p - o["at"], F.lit(0)).cast("bigint") * F.lit(1 << 31) + o["n"])
+
+        packed = F.array_distinct(F.flatten(F.transform(F.filter(at, lambda p: known(h[p])), starts)))
+
+        def cut(s: Column) -> Column:
+            start, n = F.shiftright(s, 31).cast("int"), (s % F.lit(1 << 31)).cast("int")
+            return F.struct(F.lit(k).alias("k"), start.alias("start"), n.alias("n"), F.slice(h, start + 1, n - k + 1).alias("held"))
+
+        return F.transform(packed, cut)
 
     def folded(h: Column, out: Column, k: int) -> Column:
         """Pieces of every length from k up; ``out`` holds the hashes of k words, folded as in :func:`_hashes`."""
-        own = [pieces(out, k)] if k in reach else []
-        if k < max(reach):
+        own = [pieces(out, k)] if k in lengths else []
+        if k < max(lengths):
             longer = F.zip_with(F.slice(out, F.lit(1), F.greatest(F.size(h) - k, F.lit(0))), F.slice(h, F.lit(k + 1), F.size(h)), lambda a, b: F.xxhash64(a, b))
             own.append(let(longer, lambda z: folded(h, z, k + 1)))
         return F.concat(*own) if len(own) > 1 else own[0]
@@ -144,18 +181,15 @@ def scan(
     spark = docs.sparkSession
     table = written(prepared(templates, shingle, bands), "license-templates")
     rows = docs.select(col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("row"), license_words(col(text_col)).alias("w"))
-    reach = {r["k"]: r["n"] for r in table.groupBy("k").agg(F.max("n").alias("n")).collect()}  # at most `shingle` rows
-    if not reach:
+    lengths = sorted(r["k"] for r in table.select("k").distinct().collect())  # at most `shingle` rows
+    if not lengths:
         kind = docs.schema[id_col].dataType.simpleString()
         return spark.createDataFrame([], f"doc_id {kind}, row bigint, template string, n_windows bigint, start int, containment double")
     bits, size = _bits(spark, table)
-    at = rows.withColumn("bits", bits)
-    at = at.select("doc_id", "row", F.explode(_around(F.col("w"), reach, size)).alias("a")).select("doc_id", "row", "a.*")
-    opens = table.select("n", "k", F.posexplode("hashes").alias("at", "hash")).distinct()
-    cut = at.join(opens, ["hash", "k"]).withColumn("start", F.greatest(F.col("p") - F.col("at"), F.lit(0)))
-    held = F.slice("around", F.col("start") - F.col("from") + 1, F.col("n") - F.col("k") + 1)
-    windows = cut.select("doc_id", "row", "start", "n", "k", held.alias("held"))
-    windows = windows.dropDuplicates(["row", "start", "n", "k"])
+    opens = table.select("n", "k", F.posexplode("hashes").alias("at", "hash")).select(F.xxhash64("hash", F.col("k").cast("int")).alias("key"), F.struct("n", "at").alias("o")).distinct()
+    places = opens.groupBy("key").agg(F.collect_list("o").alias("o")).coalesce(1).agg(F.map_from_entries(F.collect_list(F.struct("key", "o"))).alias("m")).scalar()
+    at = rows.withColumn("bits", bits).withColumn("places", places)
+    windows = at.select("doc_id", "row", F.explode(_windows(F.col("w"), lengths, size)).alias("a")).select("doc_id", "row", "a.*")
     asked = windows.withColumn("band", F.explode(signature(F.array_distinct("held"), bands)))
     answers = table.select("template", "n", "k", "hashes", F.explode("bands").alias("band"))
     met = asked.join(answers, ["band", "n", "k"]).dropDuplicates(["row", "start", "template"])
