@@ -10,8 +10,10 @@ can't lie in an occurrence, nor can a run of fewer than L words that they have.
 index holds the runs that are left for any L, divided by separators; it finds
 every occurrence that an index of all words would.
 
-Benchmark windows are searched in blocks of at most ``block_windows`` (a bounded
-broadcast each); a larger benchmark takes more passes in the same stage.
+The benchmark is searched in blocks of about ``block_bytes`` of item text, one after the other: each is a bounded
+broadcast, and what it finds is written before the next one starts, so a task holds the windows of one
+block only.  Long items are cut into pieces of ``PIECE`` words that overlap by a window less one word, which
+have the same windows.
 
 Nulls and ties: a null or wordless text has no words and no hits; a null or wordless
 item has no windows; an item with a null id contaminates but isn't named; repeated
@@ -32,12 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binary, col, join_row, split_row
+from .common import binary, col, join_row, split_row, written
 
 WINDOW = 10
 #: Bytes of a word: digits, letters and everything beyond ASCII.
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 SAMPLE = 16
+#: Words of one piece of a long item.
+PIECE = 50_000
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -281,8 +285,24 @@ def _pass(block, window: int, shard_words: int):
     return run
 
 
+def _pieces(items: DataFrame, window: int) -> DataFrame:
+    """``i, t`` with long items in overlapping pieces."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at, texts = [], []
+            for n, text in enumerate(binary(b.column(1))):
+                words = words_of(text)
+                step = range(0, max(1, len(words) - window + 1), PIECE) if len(words) > PIECE else (None,)
+                texts += [text if i is None else b" ".join(words[i : i + PIECE + window - 1]) for i in step]
+                at += [n] * len(step)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(texts, pa.binary())], names=["i", "t"])
+
+    return items.mapInArrow(run, T.StructType([items.schema["i"]]).add("t", T.BinaryType()))
+
+
 def find(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = 1_000_000, block_items: int = 20_000,
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = 1_000_000, block_bytes: int = 8 << 20,
     id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
     """``__id, __text, __row, n_words, begins, ends, items`` of every row.
@@ -291,8 +311,8 @@ def find(
     items they may overlap.  ``items`` are the item ids found, as strings.
     """
     spark = docs.sparkSession
-    asked = benchmark.select(col(item_col).alias("i"), col(item_text).alias("t")).filter("t is not null")
-    blocks = max(1, -(-asked.count() // block_items))
+    asked = _pieces(benchmark.select(col(item_col).alias("i"), col(item_text).alias("t")).filter("t is not null"), window)
+    blocks = max(1, -(-(asked.agg(F.sum(F.octet_length("t"))).first()[0] or 0) // block_bytes))
     if blocks > 1:
         asked = asked.withColumn("b", F.pmod(F.xxhash64("i", "t"), F.lit(blocks)))
     rows = split_row(docs, id_col, text_col).select(
@@ -302,8 +322,11 @@ def find(
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in rows.schema])
     for b in range(blocks):
         part = asked.filter(F.col("b") == b) if blocks > 1 else asked
-        sent = spark.sparkContext.broadcast([(r["i"], r["t"].encode()) for r in part.toLocalIterator()])
+        sent = spark.sparkContext.broadcast([(r["i"], bytes(r["t"])) for r in part.toLocalIterator()])
         rows = rows.mapInArrow(_pass(sent, window, shard_words), schema)
+        if blocks > 1:
+            rows = written(rows, "decontam-found")
+            sent.unpersist()
     return rows
 
 
