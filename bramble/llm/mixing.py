@@ -89,7 +89,7 @@ def streams(rows: DataFrame, plan: DataFrame) -> DataFrame:
     return rows.select("doc_id", "source", "size", "place", "source_size", "target", "quota", (F.col("base") + F.col("inner")).alias("start"))
 
 
-def schedule(spark: SparkSession, plan: DataFrame, tokens: int, block: int, chunk: int = 1 << 16, cells: int = 4096) -> DataFrame:
+def schedule(spark: SparkSession, plan: DataFrame, tokens: int, block: int, chunk: int = 1 << 11, cells: int = 4096) -> DataFrame:
     """``slot, place, rank, first, last``: the sequence of the mix; a slot takes tokens [first, last) of its stream.
 
     Points are exact integers, ``(slot + 1) * GOLDEN mod 2**32``; a point falls to the
