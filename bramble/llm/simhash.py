@@ -291,8 +291,25 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "
     each = written(prints, "fingerprints")
     label = closure(links(each.select("fp").distinct(), radius))
     named = each.join(label.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+    named = written(named.select("doc_id", "key", "label"), "group-members")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("key").alias("k")))
-    stay = named.groupBy("label").agg(first.alias("w")).select(F.col("w.id").alias("__stay"), F.col("w.k").alias("__key"))
-    kept = keyed.join(stay, (keyed["__key"] == stay["__key"]) & keyed["__id"].eqNullSafe(stay["__stay"])).drop(stay["__key"])
-    kept = kept.groupBy("__key", "__id").agg(F.first("__text").alias("__text"), F.first("__row").alias("__row"))
+    stay = named.groupBy("label").agg(first.alias("w"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("label", "w")
+    mine = F.col("doc_id").eqNullSafe(F.col("w.id")) & (F.col("key") == F.col("w.k"))
+    go = named.join(stay, "label").filter(~mine).select(F.col("doc_id").alias("__go"), F.col("key").alias("__gone")).distinct()
+    # Wholly equal rows have one key and would all stay: their number is counted, and all but one of them go.
+    twins = named.join(stay, "label").filter(mine).groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    go, twins = written(go, "group-losers"), written(twins.select(F.col("doc_id").alias("__go"), F.col("key").alias("__gone")), "group-twins")
+    kept = _without(keyed, go)
+    if twins.limit(1).count():
+        both = (F.col("__key") == F.col("__gone")) & F.col("__id").eqNullSafe(F.col("__go"))
+        once = kept.join(twins, both, "left_semi").groupBy("__key", "__id").agg(F.first("__text").alias("__text"), F.first("__row").alias("__row"))
+        kept = _without(kept, twins).select("__key", "__id", "__text", "__row").unionByName(once)
     return join_row(kept, cols, text_col, F.col("__text"))
+
+
+def _without(keyed: DataFrame, go: DataFrame, most: int = 2_000_000, most_bytes: int = 32 << 20) -> DataFrame:
+    """The rows whose id and key are not in ``go``; its list is broadcast below a checked size, else texts are shuffled once."""
+    n, size = go.agg(F.count(F.lit(1)), F.sum(F.octet_length(F.col("__go").cast("string")) + 16)).first()
+    if n <= most and (size or 0) <= most_bytes:
+        go = F.broadcast(go)
+    return keyed.join(go, (F.col("__key") == F.col("__gone")) & F.col("__id").eqNullSafe(F.col("__go")), "left_anti")
