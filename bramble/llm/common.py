@@ -83,3 +83,18 @@ def join_row(df: DataFrame, columns: list[str], text_col: str, text: Column, rep
 def let(value: Column, body) -> Column:
     """``body(value)`` with the value computed once, also where the body uses it inside a lambda."""
     return F.transform(F.array(value), body)[0]
+
+
+#: At most this many keys can have more than one in as many of the rows.
+HEAVY = 1000
+
+
+def looked_up(rows: DataFrame, facts: DataFrame, keys: list[str], weight: str, total: int) -> DataFrame:
+    """``rows`` joined with ``facts`` (one per key, no null key); ``weight`` is how many rows refer to a fact, ``total`` how many rows there are.
+
+    Facts that more than one in ``HEAVY`` rows refer to, fewer than ``HEAVY`` of them, are broadcast; no key of the shuffle join is hot.
+    """
+    heavy = col(weight) > max(1000, total // HEAVY)
+    hot = facts.filter(heavy).drop(weight)
+    light = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(facts.filter(~heavy).drop(weight), keys)
+    return light.unionByName(rows.join(F.broadcast(hot), keys).select(light.columns))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SPACE, binary, col, join_row, split_row, written
+from .common import SPACE, binary, col, join_row, looked_up, split_row, written
 
 STRIP = SPACE.encode()
 SLOTS = 4
@@ -252,7 +252,7 @@ def dropped_keys(state: LineState, salts: int = 16) -> DataFrame:
 
     References stream past the filter of their shard; a shard is salted by document,
     so a line in a third of all documents spreads over ``salts`` tasks, and a filter is
-    sent once per salt.  What hits is decided by the exact counts.
+    sent once per salt.  What hits is decided by the exact counts; those of the few hottest lines are broadcast.
     """
     ask = state.refs.select(
         "shard", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).alias("salt"), F.lit(1).alias("kind"), "key", "doc_id", F.lit(None).cast("binary").alias("cells")
@@ -281,9 +281,10 @@ def dropped_keys(state: LineState, salts: int = 16) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([part.column(0), part.column(3), part.column(4)], names=["shard", "key", "doc_id"])
 
     rows = ask.unionByName(send).repartition("shard", "salt").sortWithinPartitions("shard", "salt", "kind")
-    hits = rows.mapInArrow(run, f"shard int, key binary, doc_id {kind}")
-    heavy = state.counts.filter(F.col("n_docs") >= state.min_docs).select("shard", "key", "last_doc")
-    lost = hits.join(heavy, ["shard", "key"]).filter(~F.col("doc_id").eqNullSafe(F.col("last_doc")))
+    hits = written(rows.mapInArrow(run, f"shard int, key binary, doc_id {kind}"), "line-hits")
+    heavy = state.counts.filter(F.col("n_docs") >= state.min_docs).select("shard", "key", "last_doc", "n_docs")
+    total = heavy.agg(F.sum("n_docs")).first()[0] or 0
+    lost = looked_up(hits, heavy, ["shard", "key"], "n_docs", total).filter(~F.col("doc_id").eqNullSafe(F.col("last_doc")))
     return lost.groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
 
 

@@ -14,7 +14,7 @@ logarithm of the largest number of blocks.
 
 Bounds: a row holds the digests of one block, or of one conversation the places where range partitions cut it.
 A key that many rows refer to (the root, a common opening) is looked up by broadcast: at
-most ``HEAVY`` keys can have more than one in ``HEAVY`` of the rows.  The ids of a node's ends are joined in parts by
+most 1000 keys can have more than one in 1000 of the rows.  The ids of a node's ends are joined in parts by
 range; only the chain of its SHA-256 runs over the parts in one task, streaming.
 
 Nulls and ties: a null role or text is empty; a null turn comes first; equal turns are ordered by role, then by the
@@ -32,13 +32,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary, col, written
+from .common import binary, col, looked_up, written
 
 PRIME = (1 << 127) - 1
 #: A fixed number to the powers of which digests are weighted.
 BASE = 0x5A8F_26C1_9D37_4EB1_63D9_07F5_B84C_21AD
 ROOT = bytes(16)
-HEAVY = 1000
 #: Original turns that a rebuilt conversation may take from another one.
 MOST_SHARED = 3
 
@@ -170,17 +169,6 @@ def prefixes(sums: DataFrame, convs: DataFrame, shared: Column | None = None, or
     return heads.unionByName(own.select("conv_id", "depth", "p", "words", (F.col("depth") == F.col("length")).alias("ends")))
 
 
-def _looked_up(rows: DataFrame, facts: DataFrame, key: str, weight: str, total: int) -> DataFrame:
-    """``rows`` joined with ``facts`` on ``key``; ``weight`` is how many rows refer to a fact.
-
-    Facts with more than one in ``HEAVY`` of all rows (fewer than ``HEAVY`` facts) are broadcast; no other key is hot.
-    """
-    heavy = F.col(weight) > max(1000, total // HEAVY)
-    hot = facts.filter(heavy).drop(weight)
-    light = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(facts.filter(~heavy).drop(weight), key)
-    return light.unionByName(rows.join(F.broadcast(hot), key).select(light.columns))
-
-
 def _segments(turns: DataFrame, block: int) -> DataFrame:
     """``start, last, n, conv_id, items``: the distinct blocks of turns with the conversations that run through each."""
     b = F.lit(block)
@@ -194,7 +182,7 @@ def _segments(turns: DataFrame, block: int) -> DataFrame:
 def _nodes(segments: DataFrame, total: int) -> DataFrame:
     """``p, depth, n_convs, conv_id, words, parent, above, start``: every node but the root, with its ancestors in its block."""
     starts = segments.groupBy("start").agg(F.count(F.lit(1)).alias("ways"))
-    known = _looked_up(segments, starts.withColumn("branches", F.col("ways") > 1), "start", "ways", total)
+    known = looked_up(segments, starts.withColumn("branches", F.col("ways") > 1), ["start"], "ways", total)
     turns = known.select("start", "n", "conv_id", "branches", "items", F.posexplode("items").alias("at", "item")).select(
         F.col("item.p").alias("p"),
         F.col("item.depth").alias("depth"),
@@ -229,7 +217,7 @@ def _below(nodes: DataFrame, block: int, total: int) -> DataFrame:
             return state.select("p", "leaves", "saved")
         gain = written(gain, "trie-gain")
         facts = state.select(F.col("p").alias("up"), F.col("up").alias("next")).join(gain.select("up", "asks"), "up")
-        moved = _looked_up(left.select("p", "up"), facts, "up", "asks", total).select("p", F.col("next").alias("up"))
+        moved = looked_up(left.select("p", "up"), facts, ["up"], "asks", total).select("p", F.col("next").alias("up"))
         added = state.drop("up").join(gain.select(F.col("up").alias("p"), "l", "s"), "p", "left")
         added = added.select("p", (F.col("leaves") + F.coalesce("l", F.lit(0))).alias("leaves"), (F.col("saved") + F.coalesce("s", F.lit(0))).alias("saved"))
         state = written(added.join(moved, "p", "left").select("p", "up", "leaves", "saved"), "trie-blocks")
@@ -307,7 +295,7 @@ def trie(
     tree = marked.join(subtree, "p").select("p", "parent", "conv_id", "depth", "n_convs", "n_children", "n_leaves", "saved_tokens")
     tree = written(tree.unionByName(turns.sparkSession.createDataFrame(root, schema)), "trie-tree")
     names = tree.filter("n_children > 0").select(F.col("p").alias("parent"), F.col("conv_id").alias("parent_conv_id"), F.col("n_children").alias("asks"))
-    named = _looked_up(tree.filter("parent is not null"), names, "parent", "asks", n_nodes)
+    named = looked_up(tree.filter("parent is not null"), names, ["parent"], "asks", n_nodes)
     named = named.unionByName(tree.filter("parent is null").withColumn("parent_conv_id", F.lit(None).cast("long")).select(named.columns))
 
     turnless = convs.select("conv_id").join(rows.filter("ends").select("conv_id"), "conv_id", "left_anti").select(F.lit(ROOT).alias("p"), "conv_id")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
-from bramble.llm import ann, lexical, queries, trie  # noqa: E402
+from bramble.llm import ann, common, lexical, queries, trie  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -221,7 +221,7 @@ def test_trie_given_tables(spark):
 @pytest.mark.parametrize("block", [1, 4])
 def test_trie_cases(spark, block, monkeypatch):
     """Nulls, ties, repeated rows, growing prefixes, hot openings, bases absent or short, turnless conversations, a long one."""
-    monkeypatch.setattr(trie, "HEAVY", 4)
+    monkeypatch.setattr(common, "HEAVY", 4)
     rows = [(1, None, None, None), (1, 0, "user", "a b"), (1, 0, "user", "a b"), (1, 0, "assistant", ""), (1, 3, "user", "z"), (None, 0, "user", "gone")]
     rows += [(100 + k, t, "user" if t % 2 == 0 else "assistant", f"turn {t}") for k in range(30) for t in range(k)]
     rows += [(200 + k, t, "user", "hot opening" if t < 3 else f"own {k % 5} {t}") for k in range(40) for t in range(6)]
