@@ -42,35 +42,45 @@ def _label_text(v) -> str:
     return str(int(f)) if f.is_integer() else str(v).replace(".", "_")
 
 
-def confusion_matrix(df: DataFrame, y: str, yhat: str, labels: Sequence | None = None) -> DataFrame:
+def pair_counts(df: DataFrame, y: str, yhat: str, weight: str = "n_rows") -> DataFrame:
+    """Rows per (actual, predicted): the one pass that both tables below can be read from."""
+    return df.groupBy(y, yhat).agg(F.count(F.lit(1)).alias(weight))
+
+
+def confusion_matrix(df: DataFrame, y: str, yhat: str, labels: Sequence | None = None, weight: str | None = None) -> DataFrame:
     """Counts of (actual, predicted) over all rows; zeros for absent pairs.
 
     One row per actual label, one column ``pred_<label>`` per predicted label
     (``pred_0``, ``pred_1`` for 0.0 / 1.0).  Without ``labels`` the predicted labels
     are found in one more small job; with them, every other prediction (null
-    too) is counted in ``pred_other``, so each row sums to its label's rows.
+    too) is counted in ``pred_other``, so each row sums to its label's rows.  With ``weight`` a row
+    stands for that many.
     """
+    one = F.col(weight) if weight else F.lit(1)
     grouped = df.groupBy(F.col(y).alias(y))
     if labels is None:
-        out = grouped.pivot(yhat).agg(F.count(F.lit(1)))
+        out = grouped.pivot(yhat).agg(F.sum(one))
         return out.select(y, *[F.coalesce(F.col(f"`{n}`"), F.lit(0)).cast("bigint").alias(f"pred_{_label_text(n)}") for n in out.columns if n != y])
     hit = [F.coalesce(F.col(yhat) == F.lit(v), F.lit(False)) for v in labels]
     other = F.lit(True)
     for h in hit:
         other = other & ~h
-    return grouped.agg(*[F.count_if(h).alias(f"pred_{_label_text(v)}") for h, v in zip(hit, labels)], F.count_if(other).alias("pred_other"))
+    def rows(h):
+        return F.coalesce(F.sum(F.when(h, one)), F.lit(0)).cast("bigint")
+
+    return grouped.agg(*[rows(h).alias(f"pred_{_label_text(v)}") for h, v in zip(hit, labels)], rows(other).alias("pred_other"))
 
 
-def classification_metrics(df: DataFrame, y: str, yhat: str) -> DataFrame:
+def classification_metrics(df: DataFrame, y: str, yhat: str, weight: str | None = None) -> DataFrame:
     """Accuracy and weighted F1 (weights = true-label frequencies): ``n, accuracy, f1``.
 
     Matches ``MulticlassClassificationEvaluator``: a class's F1 is 0 when its
     precision and recall are both 0; predicted-only labels carry no weight.
     The work is one grouped count over (actual, predicted) pairs; everything
-    after it runs on at most (labels x labels) rows.
+    after it runs on at most (labels x labels) rows.  With ``weight`` a row stands for that many.
     """
     pairs = df.groupBy(F.col(y).cast("double").alias("a"), F.col(yhat).cast("double").alias("p")).agg(
-        F.count(F.lit(1)).alias("c")
+        F.sum(F.col(weight) if weight else F.lit(1)).alias("c")
     )
     actual = pairs.groupBy(F.col("a").alias("label")).agg(
         F.sum("c").alias("n_actual"), F.sum(F.when(F.col("a") == F.col("p"), F.col("c")).otherwise(0)).alias("tp")

@@ -83,6 +83,26 @@ def median_value(df: DataFrame, c: str, method: str = "approx", rel_err: float =
     return materialize(df.agg(stat.cast("double").alias("median"))).scalar()
 
 
+def approx_medians(df: DataFrame, cols: Sequence[str], rel_err: float = 0.01) -> DataFrame:
+    """The sketched medians of several columns in one pass, with the ranks they really have.
+
+    ``column, n, median, rank_lo, rank_hi, rank_error``: the shares of values below the median and up to it, from
+    one more aggregate that counts, and how far that interval stays from one half (0 if it holds it).  The
+    sketch (mergeable, about ``1 / rel_err`` entries per task) promises ``rank_error <= rel_err``.
+    """
+    accuracy = max(1, int(round(1.0 / rel_err)))
+    medians = materialize(df.agg(*[F.percentile_approx(F.col(c), F.lit(0.5), accuracy).cast("double").alias(f"m{i}") for i, c in enumerate(cols)]))
+    found = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)], medians.select(F.struct(*medians.columns)).scalar().alias("m"))
+    aggs = []
+    for i in range(len(cols)):
+        x, m = F.col(f"x{i}"), F.col(f"m.m{i}")
+        aggs += [F.count(x).alias(f"n{i}"), F.max(m).alias(f"v{i}"), F.count_if(x < m).alias(f"lo{i}"), F.count_if(x <= m).alias(f"hi{i}")]
+    entries = ", ".join(f"{_sql_str(c)}, n{i}, v{i}, lo{i}, hi{i}" for i, c in enumerate(cols))
+    long = found.agg(*aggs).selectExpr(f"stack({len(cols)}, {entries}) AS (`column`, n, median, below, upto)")
+    lo, hi = F.try_divide(F.col("below").cast("double"), F.col("n")), F.try_divide(F.col("upto").cast("double"), F.col("n"))
+    return long.select("column", "n", "median", lo.alias("rank_lo"), hi.alias("rank_hi"), F.greatest(lo - 0.5, 0.5 - hi, F.lit(0.0)).alias("rank_error"))
+
+
 def _value_counts(df: DataFrame, c: str, by: Sequence[str] = ()) -> DataFrame:
     src = df.filter(F.col(c).isNotNull())
     return src.groupBy(*by, c).agg(F.count(F.lit(1)).alias("__n"))

@@ -1,9 +1,8 @@
-"""Models (M6, M7, M9-M11, M13, M14, M16, P5) on Spark ML.
+"""Models (M6, M7, M9-M11, M13, M14, M16, P5): fits on distributed sums, labels and predictions as columns.
 
-Each fit is Spark ML's distributed algorithm (normal equations / L-BFGS via
-tree aggregation, k-means||, random forest with histogram aggregation).  The
-only things that reach the driver are model parameters, whose size is the
-number of features or clusters, never the number of rows.
+Least squares is in :mod:`.linear`, k-means in :mod:`.kmeans`, the forest in :mod:`.forest`; the preparation is
+Spark ML's.  The only things that reach the driver are model parameters, whose size is the
+number of features, clusters or nodes, never the number of rows.
 """
 
 from __future__ import annotations
@@ -11,16 +10,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.clustering import KMeans, KMeansModel
+import numpy as np
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import features as FE
+from . import forest as FO
+from . import kmeans as KM
+from . import linear as LN
+from .joins import materialize
 from .metrics import classification_metrics, regression_metrics
 
 
@@ -42,7 +43,7 @@ def _names_frame(spark: SparkSession, names: Sequence[str], values: Sequence[flo
 
 @dataclass
 class RegressionResult:
-    model: PipelineModel
+    model: LN.LinearFit
     predictions: DataFrame
     metrics: DataFrame
     coefficients: DataFrame
@@ -55,11 +56,9 @@ def fit_regression(
     nums: Sequence[str],
     cats: Sequence[str],
     label: str = "rating",
-    solver: str = "auto",
-    reg_param: float = 0.0,
     compress: bool = True,
 ) -> RegressionResult:
-    """M6-M8: linear regression of ``label`` on numeric and one-hot features.
+    """M6-M8: linear regression of ``label`` on numeric and one-hot features (:mod:`.linear`).
 
     The preparation is fitted on the training split only (unseen test labels
     go to the indexer's extra bucket).  With ``compress`` (default) the fit
@@ -67,28 +66,15 @@ def fit_regression(
     their counts as weights: the same normal equations, so the same
     coefficients, from one pass over the data.
     """
-    spark = train.sparkSession
     cols = list(dict.fromkeys([*nums, *cats, label]))
-    if compress:
-        points = FE.weighted_distinct(train, cols).persist()
-        prep = FE.fit_weighted_preparation(points, nums, cats)
-        lr = LinearRegression(featuresCol="features", labelCol=label, solver=solver, regParam=reg_param, weightCol="weight")
-        lr_model = lr.fit(prep.transform(points))
-        model = PipelineModel(stages=[*prep.stages, lr_model])
-        points.unpersist()
-    else:
-        pipe = Pipeline(
-            stages=[
-                *FE.feature_pipeline(nums, cats).getStages(),
-                LinearRegression(featuresCol="features", labelCol=label, solver=solver, regParam=reg_param),
-            ]
-        )
-        model = pipe.fit(train)
-        lr_model = model.stages[-1]
+    points = (FE.weighted_distinct(train, cols) if compress else train.select(*cols).withColumn("weight", F.lit(1.0))).persist()
+    prep = FE.fit_weighted_preparation(points, nums, cats)
+    model = LN.fit(points, prep, label, "weight")
+    points.unpersist()
     pred = model.transform(test)
-    names = FE.vector_names(model.transform(test.limit(0)), "features")
-    coefs = _names_frame(spark, names, lr_model.coefficients.toArray().tolist(), "coefficient")
-    return RegressionResult(model, pred, regression_metrics(pred, label, "prediction"), coefs, float(lr_model.intercept))
+    names = FE.vector_names(pred, "features")
+    coefs = _names_frame(train.sparkSession, names, model.coefficients.tolist(), "coefficient")
+    return RegressionResult(model, pred, regression_metrics(pred, label, "prediction"), coefs, model.intercept)
 
 
 def coefficients(result: RegressionResult) -> DataFrame:
@@ -103,7 +89,7 @@ def coefficients(result: RegressionResult) -> DataFrame:
 
 @dataclass
 class KMeansSweep:
-    models: dict[int, KMeansModel]
+    centres: dict[int, np.ndarray]  # per k
     prepared: DataFrame  # every input row with its feature vector
     table: DataFrame  # k, wssse, sizes
     prep_model: PipelineModel = field(default=None)
@@ -118,18 +104,21 @@ def kmeans_sweep(
     seed: int = 42,
     scale: bool = False,
     compress: bool = True,
+    iterations: int = 20,
+    tol: float = 1e-4,
 ) -> KMeansSweep:
-    """Fit k-means for each k; report training cost and cluster sizes.
+    """K-means for every k at once; training cost and cluster sizes per k.
 
-    With ``compress`` (default) each fit iterates over the distinct feature
+    With ``compress`` (default) the iterations run over the distinct feature
     rows weighted by their counts (the same k-means objective, one pass over
-    the data in total) instead of over every row.  Costs come from each
-    model's training summary; sizes are weighted counts, i.e. rows.
+    the data in total) instead of over every row.  See :mod:`.kmeans` for the start and the passes; the
+    same rows give the same clusters under any partitioning, compressed or not.  Sizes are
+    weighted counts, i.e. rows.
     """
     cols = list(dict.fromkeys([*nums, *cats]))
     out = "raw_features" if scale else "features"
-    points = FE.weighted_distinct(df, cols) if compress else df.select(*cols).withColumn("weight", F.lit(1.0))
-    points = points.persist()
+    # The distinct rows are written once: the preparation, the sweep and what reads the clusters later share them.
+    points = materialize(FE.weighted_distinct(df, cols)) if compress else df.select(*cols).withColumn("weight", F.lit(1.0))
     prep = FE.fit_weighted_preparation(points, nums, cats, out=out)
     if scale:
         from pyspark.ml.feature import ElementwiseProduct
@@ -138,21 +127,12 @@ def kmeans_sweep(
         std = [r["std"] for r in slot_std(prep.transform(points), "raw_features", "weight").orderBy("slot").collect()]  # one number per slot
         factors = Vectors.dense([1.0 / s if s else 0.0 for s in std])
         prep = PipelineModel(stages=[*prep.stages, ElementwiseProduct(scalingVec=factors, inputCol="raw_features", outputCol="features")])
-    prepared_points = prep.transform(points).persist()
-    models, rows = {}, []
-    for k in ks:
-        m = KMeans(featuresCol="features", k=int(k), seed=seed, weightCol="weight").fit(prepared_points)
-        models[int(k)] = m
-        sizes = {
-            int(r["prediction"]): int(r["n"])
-            for r in m.transform(prepared_points).groupBy("prediction").agg(F.sum("weight").alias("n")).collect()
-        }
-        rows.append((int(k), float(m.summary.trainingCost), [sizes.get(i, 0) for i in range(int(k))]))
+    prepared_points = prep.transform(points)
+    packed = KM.blocks(prepared_points, cols, max(ks), seed).persist()
+    centres, rows = KM.sweep(packed, ks, iterations, tol)
+    packed.unpersist()
     table = df.sparkSession.createDataFrame(rows, "k int, wssse double, sizes array<bigint>")
-    # The fits are done; what reads the points later recomputes them.
-    prepared_points.unpersist()
-    points.unpersist()
-    return KMeansSweep(models, prep.transform(df), table, prep, prepared_points)
+    return KMeansSweep(centres, prep.transform(df), table, prep, prepared_points)
 
 
 def slot_std(df: DataFrame, vector: str, weight: str) -> DataFrame:
@@ -164,24 +144,13 @@ def slot_std(df: DataFrame, vector: str, weight: str) -> DataFrame:
 
 
 def choose_k(sweep: KMeansSweep, k: int | str = 3) -> int:
-    """A fixed k, or ``"elbow"``: the k whose relative drop in cost exceeds the next k's drop by most."""
-    if k != "elbow":
-        return int(k)
-    costs = sorted((kk, m.summary.trainingCost) for kk, m in sweep.models.items())
-    if len(costs) < 3:
-        return costs[-1][0]
-    drops = [(costs[i][0], (costs[i - 1][1] - costs[i][1]) / max(costs[i - 1][1], 1e-12)) for i in range(1, len(costs))]
-    best, best_gain = drops[0][0], None
-    for (k1, d1), (_, d2) in zip(drops, drops[1:]):
-        gain = d1 - d2
-        if best_gain is None or gain > best_gain:
-            best, best_gain = k1, gain
-    return best
+    """A fixed k, or ``"elbow"`` (:func:`.kmeans.elbow` of the sweep table)."""
+    return int(k) if k != "elbow" else int(KM.elbow(sweep.table.select("k", "wssse")).first()["k"])
 
 
 def kmeans_assign(sweep: KMeansSweep, k: int | str = 3) -> DataFrame:
-    """Label every row with its cluster, reusing the model fitted in the sweep."""
-    return sweep.models[choose_k(sweep, k)].transform(sweep.prepared)
+    """Label every row with its cluster, reusing the centres of the sweep."""
+    return sweep.prepared.withColumn("prediction", KM.nearest(sweep.centres[choose_k(sweep, k)]))
 
 
 def assign_points(sweep: KMeansSweep, k: int | str = 3) -> DataFrame:
@@ -190,7 +159,7 @@ def assign_points(sweep: KMeansSweep, k: int | str = 3) -> DataFrame:
     Identical rows get identical labels, so any per-cluster statistic of the
     rows can be computed from this (small) table with the weights.
     """
-    return sweep.models[choose_k(sweep, k)].transform(sweep.points)
+    return sweep.points.withColumn("prediction", KM.nearest(sweep.centres[choose_k(sweep, k)]))
 
 
 def cluster_profile(assigned: DataFrame, cols: Sequence[str], cluster: str = "prediction", weight: str | None = None) -> DataFrame:
@@ -219,10 +188,11 @@ def cluster_by_group(assigned: DataFrame, by: str, k: int, cluster: str = "predi
 
 @dataclass
 class ClassificationResult:
-    model: PipelineModel
+    model: FO.Forest
     predictions: DataFrame
     metrics: DataFrame
     importances: DataFrame
+    splits: DataFrame  # tree, node, slot, feature, threshold, gain, n_rows
 
 
 def fit_classifier(
@@ -233,37 +203,32 @@ def fit_classifier(
     label: str = "recommended_ind",
     num_trees: int = 10,
     seed: int = 42,
-    compress: bool = False,
+    compress: bool = True,
     max_depth: int = 5,
     bootstrap: bool = True,
 ) -> ClassificationResult:
-    """Random forest for ``label``; accuracy and weighted F1 on the test split.
-
-    Row-level by default (each tree bootstraps rows, as in the reference).
-    ``compress=True`` trains on the distinct (features, label) rows with their
-    counts as instance weights: one pass over the data, then every tree level
-    reads the small weighted table.  Split statistics are the same; the
-    bootstrap then resamples distinct rows with their weights, a different
-    (still valid) bagging scheme, so the forest is not identical.
+    """Random forest for ``label`` (:mod:`.forest`); accuracy and weighted F1 on the test split.
+
+    ``compress`` (default) grows the trees from the distinct (features, label) rows with their
+    counts as weights, one pass over the data; the forest is the same as from the rows themselves.
     """
-    rf = RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=num_trees, seed=seed, maxDepth=max_depth, bootstrap=bootstrap)
-    if compress:
-        points = FE.weighted_distinct(train, list(dict.fromkeys([*nums, *cats, label]))).persist()
-        prep = FE.fit_weighted_preparation(points, nums, cats)
-        forest = rf.setWeightCol("weight").fit(prep.transform(points))
-        model = PipelineModel(stages=[*prep.stages, forest])
-        points.unpersist()
-    else:
-        model = Pipeline(stages=[*FE.feature_pipeline(nums, cats).getStages(), rf]).fit(train)
+    cols = list(dict.fromkeys([*nums, *cats, label]))
+    points = (FE.weighted_distinct(train, cols) if compress else train.select(*cols).withColumn("weight", F.lit(1.0))).persist()
+    prep = FE.fit_weighted_preparation(points, nums, cats)
+    prepared = prep.transform(points)
+    names = FE.vector_names(prepared, "features")
+    trees, classes = FO.grow(prepared, cols, label, nums, len(names), num_trees, max_depth, seed, bootstrap)
+    points.unpersist()
+    model = FO.Forest(prep, trees, classes, names)
     pred = model.transform(test)
-    names = FE.vector_names(model.transform(test.limit(0)), "features")
-    imp = model.stages[-1].featureImportances.toArray().tolist()
-    importances = _names_frame(train.sparkSession, names, imp, "importance")
-    return ClassificationResult(model, pred, classification_metrics(pred, label, "prediction"), importances)
+    splits = model.splits(train.sparkSession)
+    every = _names_frame(train.sparkSession, names, [0.0] * len(names), "none").select("slot", "feature")
+    importances = every.join(F.broadcast(FO.importances(splits)), "feature", "left").select("slot", "feature", F.coalesce("importance", F.lit(0.0)).alias("importance"))
+    return ClassificationResult(model, pred, classification_metrics(pred, label, "prediction"), importances, splits)
 
 
 def feature_importance(result: ClassificationResult, inputs: Sequence[str], by_source: bool = True) -> DataFrame:
-    """Importance per slot, or summed back per source column, largest first.
+    """Importance per slot, or summed back per source column, largest first.
 
     Every one-hot slot is named (``division_name_vec_General`` ...) from the
     assembler metadata; ``by_source`` folds slots into their input column.
@@ -271,9 +236,8 @@ def feature_importance(result: ClassificationResult, inputs: Sequence[str], by_s
     imp = result.importances
     if not by_source:
         return imp.orderBy(F.desc("importance"), "feature")
-    spark = imp.sparkSession
-    mapping = [(n, FE.source_of(n, inputs)) for n in FE.vector_names(result.predictions, "features")]
-    src = spark.createDataFrame(mapping, "feature string, source string")
+    mapping = [(n, FE.source_of(n, inputs)) for n in result.model.names]
+    src = imp.sparkSession.createDataFrame(mapping, "feature string, source string")
     folded = imp.join(F.broadcast(src), "feature").groupBy(F.col("source").alias("feature")).agg(
         F.sum("importance").alias("importance")
     )

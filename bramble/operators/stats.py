@@ -118,6 +118,31 @@ def summarize(df: DataFrame, cols: Sequence[str], method: str = "exact", accurac
     return out.select("column", "count", "mean", "std", "min", *at, "max")
 
 
+def counted_sets(df: DataFrame, sets: Sequence[Sequence[str]]) -> DataFrame:
+    """Rows per combination of each column set, in one pass: ``set_no, *columns, n``.
+
+    One aggregate with grouping sets (combined map-side, so each task sends at most the distinct
+    combinations); columns outside a row's set are null, and so are missing values inside it.
+    """
+    cols = list(dict.fromkeys(c for s in sets for c in s))
+    out = df.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in cols]).agg(F.grouping_id().alias("__id"), F.count(F.lit(1)).alias("n"))
+    ids = [sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in s) for s in sets]
+    number = F.coalesce(*[F.when(F.col("__id") == i, F.lit(no)) for no, i in enumerate(ids)])
+    return out.select(number.alias("set_no"), *cols, "n")
+
+
+def summarize_counts(counts: DataFrame, quartiles: DataFrame) -> DataFrame:
+    """A2 from ``column, value, n`` and ``column, q``: the same table as :func:`summarize`."""
+    n, v = F.col("n").cast("double"), F.col("value")
+    means = counts.groupBy("column").agg((F.sum(n * v) / F.sum(n)).alias("mean"))
+    spread = F.sum(n * (v - F.col("mean")) * (v - F.col("mean")))
+    out = counts.join(F.broadcast(means), "column").groupBy("column", "mean").agg(
+        F.sum("n").alias("count"), F.sqrt(F.try_divide(spread, F.sum(n) - 1)).alias("std"), F.min(v).alias("min"), F.max(v).alias("max")
+    )
+    at = [F.col("q")[i].alias(name) for i, name in enumerate(("p25", "p50", "p75"))]
+    return out.join(F.broadcast(quartiles), "column").select("column", "count", "mean", "std", "min", *at, "max")
+
+
 # --------------------------------------------------------------------------- A3
 
 
@@ -133,13 +158,13 @@ def _auto_bin_count(n: Column, lo: Column, hi: Column, q1: Column, q3: Column, i
     return F.when((ptp > 0) & (width > 0), F.ceil(ptp / width)).otherwise(F.lit(1)).cast("int")
 
 
-def histogram(df: DataFrame, c: str, bins: int | str = "auto") -> DataFrame:
+def histogram(df: DataFrame, c: str, bins: int | str = "auto", weight: str | None = None) -> DataFrame:
     """A3: equal-width histogram with NumPy's edge rule; empty bins are kept.
 
     Edges are ``linspace(min, max, nbins + 1)`` (``min - 0.5, max + 0.5`` for a
     constant column).  Every bin is half-open except the last, which is closed.
-    ``bins`` is an integer or ``"auto"`` (NumPy's rule).  Output: ``bin int,
-    bin_lo double, bin_hi double, count bigint``.
+    ``bins`` is an integer or ``"auto"`` (NumPy's rule); with ``weight`` a row stands for that many.
+    Output: ``bin int, bin_lo double, bin_hi double, count bigint``.
 
     Plan: one global aggregate gives the range (and, for ``"auto"``, the value counts
     the quartiles) as a one-row frame, materialised once; the bin list is derived from it; the data side reads
@@ -148,11 +173,12 @@ def histogram(df: DataFrame, c: str, bins: int | str = "auto") -> DataFrame:
     sides are joined on the bin id.
     """
     integral = isinstance(df.schema[c].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
-    data = df.select(F.col(c).cast("double").alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
-    stat_cols = [F.count(F.lit(1)).alias("n"), F.min("x").alias("lo0"), F.max("x").alias("hi0")]
+    one = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
+    data = df.select(F.col(c).cast("double").alias("x"), one.alias("w")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
+    stat_cols = [F.coalesce(F.sum("w"), F.lit(0)).alias("n"), F.min("x").alias("lo0"), F.max("x").alias("hi0")]
     raw = data.agg(*stat_cols)
     if bins == "auto":
-        quartiles = count_percentiles(data.groupBy("x").agg(F.count(F.lit(1)).alias("n")), "x", "n", (0.25, 0.75))
+        quartiles = count_percentiles(data.groupBy("x").agg(F.sum("w").alias("n")), "x", "n", (0.25, 0.75))
         raw = raw.withColumn("q", quartiles.scalar())
     const = F.col("lo0") == F.col("hi0")
     if bins == "auto":
@@ -175,12 +201,12 @@ def histogram(df: DataFrame, c: str, bins: int | str = "auto") -> DataFrame:
 
     p = "__p."
     x = F.col("x")
-    withp = data.select("x", params.select(F.struct("lo", "hi", "nb")).scalar().alias("__p"))
+    withp = data.select("x", "w", params.select(F.struct("lo", "hi", "nb")).scalar().alias("__p"))
     lo, hi, n = F.col(p + "lo"), F.col(p + "hi"), F.col(p + "nb")
     idx0 = F.least(F.greatest(F.floor((x - lo) / (hi - lo) * n).cast("int"), F.lit(0)), n - 1)
     idx1 = F.when(x < edge(idx0, p), idx0 - 1).otherwise(idx0)
     idx = F.when((x >= edge(idx1 + 1, p)) & (idx1 != n - 1), idx1 + 1).otherwise(idx1)
-    counts = withp.groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    counts = withp.groupBy(idx.alias("bin")).agg(F.sum("w").alias("count"))
     # Bins are rows: their number (one integer on the driver) can pass what one array holds.
     total = (params.select("nb").first() or [0])[0]
     all_bins = df.sparkSession.range(total or 0).select(F.col("id").cast("int").alias("bin")).crossJoin(F.broadcast(params))
@@ -196,30 +222,52 @@ def histogram(df: DataFrame, c: str, bins: int | str = "auto") -> DataFrame:
 # --------------------------------------------------------------------------- A4
 
 
+def kde_error(resolution: int, bandwidth: float, tail: float = 6.0) -> float:
+    """How far :func:`kde` with this resolution can be from the sum of all kernels, at any point.
+
+    Linear binning moves a value between two bins ``bandwidth / resolution`` apart, which changes its kernel by at
+    most an eighth of the squared step times the kernel's largest second derivative; kernels are
+    left out beyond ``tail`` bandwidths.
+    """
+    peak = 1.0 / (math.sqrt(2.0 * math.pi) * bandwidth)
+    return peak * (1.0 / (8.0 * resolution * resolution) + math.exp(-0.5 * (tail - 1.0 / resolution) ** 2))
+
+
 def kde(
-    df: DataFrame, c: str, grid: int = 200, cut: float = 0.0, bw_adjust: float = 1.0, resolution: int | None = None
+    df: DataFrame,
+    c: str,
+    grid: int = 200,
+    cut: float = 0.0,
+    bw_adjust: float = 1.0,
+    resolution: int | None = 50,
+    weight: str | None = None,
+    tail: float = 6.0,
 ) -> DataFrame:
     """A4: Gaussian kernel density on an evenly spaced grid (Scott's bandwidth).
 
     ``bandwidth = stddev_samp * n^(-1/5) * bw_adjust``; the grid spans
-    ``[min - cut*bw, max + cut*bw]`` in ``grid`` points.  By default every distinct value
-    has its own kernel, which suits discrete columns.  With ``resolution`` values are snapped to
-    that many steps per bandwidth (100 gives about three digits), so the work follows the range in
-    bandwidths, not the number of distinct values.  The values are counted
-    (a distributed aggregate); each then adds its kernel to the ``grid`` points, and a grouped sum
-    (partial on the map side, so each task emits at most ``grid`` rows) adds
-    them up.  The bandwidth and range come from one global aggregate,
-    materialised once and read once per row through a scalar subquery.
-    A constant column has no bandwidth: its points coincide and the density is null.
+    ``[min - cut*bw, max + cut*bw]`` in ``grid`` points.  Every value is shared between the two nearest of
+    bins ``bandwidth / resolution`` apart (linear binning), and each bin adds its kernel to the grid points within ``tail``
+    bandwidths; :func:`kde_error` bounds what that changes.  So the rows after the first aggregate are at most
+    the bins, whatever the number of distinct values, and each meets only the points near it.  With ``resolution=None`` every
+    distinct value has its own kernel and meets every point: exact, for columns of few values.
+    With ``weight`` a row stands for that many.  A constant column has no bandwidth: its points coincide and the density is null.
     Output: ``point int, x double, density double``.
     """
-    data = df.select(F.col(c).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    st = data.agg(
-        F.count(F.lit(1)).cast("double").alias("n"),
-        F.stddev_samp("v").alias("sd"),
-        F.min("v").alias("lo"),
-        F.max("v").alias("hi"),
-    )
+    one = F.col(weight).cast("double") if weight else F.lit(1.0)
+    data = df.select(F.col(c).cast("double").alias("v"), one.alias("w")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    if resolution is None:
+        data = data.groupBy("v").agg(F.sum("w").alias("w"))
+    n, mean = F.sum("w"), F.sum(F.col("w") * F.col("v")) / F.sum("w")
+    if weight is None and resolution is not None:
+        spread = F.stddev_samp("v")
+        st = data.agg(n.alias("n"), spread.alias("sd"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    else:
+        centre = data.agg(mean.alias("m")).scalar()
+        gap = F.col("v") - F.col("m")
+        st = data.withColumn("m", centre).agg(
+            n.alias("n"), F.sqrt(F.try_divide(F.sum(F.col("w") * gap * gap), n - 1)).alias("sd"), F.min("v").alias("lo"), F.max("v").alias("hi")
+        )
     bw = F.col("sd") * F.pow(F.col("n"), F.lit(-0.2)) * F.lit(float(bw_adjust))
     params = materialize(
         st.select(
@@ -236,18 +284,23 @@ def kde(
         gmin, gmax = F.col(f"{p}gmin"), F.col(f"{p}gmax")
         return F.when(g == last, gmax).otherwise(gmin + g.cast("double") * ((gmax - gmin) / F.lit(float(last))))
 
-    if resolution:
-        snap = data.withColumn("p", params.select(F.struct("bw", "lo")).scalar())
-        step = F.col("p.bw") / F.lit(float(resolution))
-        snapped = F.col("p.lo") + F.floor(F.try_divide(F.col("v") - F.col("p.lo"), step) + 0.5) * step
-        data = snap.select(F.when(step > 0, snapped).otherwise(F.col("v")).alias("v"))
-    vc = data.groupBy("v").agg(F.count(F.lit(1)).cast("double").alias("w"))
-    pts = vc.select(
-        "v",
-        "w",
-        params.select(F.struct("bw", "gmin", "gmax")).scalar().alias("__p"),
-        F.explode(F.sequence(F.lit(0), F.lit(last))).alias("point"),
-    )
+    every = params.select(F.struct("bw", "lo", "gmin", "gmax")).scalar()
+    if resolution is None:
+        near = F.sequence(F.lit(0), F.lit(last))
+        binned = data.select("v", "w", every.alias("__p"))
+    else:
+        step = F.col("__p.bw") / F.lit(float(resolution))
+        at = F.try_divide(F.col("v") - F.col("__p.lo"), step)
+        shared = data.withColumn("__p", every).filter(step > 0).select("w", F.floor(at).alias("bin"), (at - F.floor(at)).alias("part"))
+        shared = shared.groupBy("bin").agg(F.sum(F.col("w") * (1 - F.col("part"))).alias("a"), F.sum(F.col("w") * F.col("part")).alias("b"))
+        both = shared.select("bin", F.col("a").alias("w")).unionByName(shared.select(F.col("bin") + 1, F.col("b")).toDF("bin", "w"))
+        binned = both.groupBy("bin").agg(F.sum("w").alias("w")).filter("w > 0").withColumn("__p", every)
+        binned = binned.select((F.col("__p.lo") + F.col("bin") * step).alias("v"), "w", "__p")
+        space = (F.col("__p.gmax") - F.col("__p.gmin")) / F.lit(float(last))
+        first = F.greatest(F.ceil((F.col("v") - F.lit(tail) * F.col("__p.bw") - F.col("__p.gmin")) / space), F.lit(0)).cast("int")
+        final = F.least(F.floor((F.col("v") + F.lit(tail) * F.col("__p.bw") - F.col("__p.gmin")) / space), F.lit(last)).cast("int")
+        near = F.when(first <= final, F.sequence(first, final))
+    pts = binned.select("v", "w", "__p", F.explode(near).alias("point"))
     z = F.try_divide(grid_x(F.col("point"), "__p.") - F.col("v"), F.col("__p.bw"))
     dens = pts.groupBy("point").agg(F.sum(F.col("w") * F.exp(F.lit(-0.5) * z * z)).alias("s"))
     grid_pts = params.select("n", "bw", "gmin", "gmax", F.explode(F.sequence(F.lit(0), F.lit(last))).alias("point"))
@@ -355,8 +408,13 @@ def box_stats(df: DataFrame, by: str, y: str, whis: float = 1.5, method: str = "
         q = count_percentiles(vc, "__y", "__n", (0.25, 0.5, 0.75), [by]).withColumnRenamed("q", "__q")
     else:
         q = src.groupBy(by).agg(_approx(F.col(y).cast("double"), (0.25, 0.5, 0.75), accuracy).alias("__q"))
-    q = q.select(by, F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"), F.col("__q")[2].alias("q3"))
-    j = lookup_join(vc, q, on=by, how="inner")
+    return box_from_counts(vc, q.withColumnRenamed("__q", "q"), by, whis)
+
+
+def box_from_counts(counts: DataFrame, quartiles: DataFrame, by: str, whis: float = 1.5) -> DataFrame:
+    """A8/A9 from ``by, __y, __n`` (rows per group and value) and ``by, q`` (its quartiles)."""
+    q = quartiles.select(by, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    j = lookup_join(counts, q, on=by, how="inner")
     iqr = F.col("q3") - F.col("q1")
     lo_lim = F.col("q1") - F.lit(whis) * iqr
     hi_lim = F.col("q3") + F.lit(whis) * iqr

@@ -18,6 +18,8 @@ from pyspark.ml.functions import vector_to_array
 
 from ..operators import clean as C
 from ..operators import features as FE
+from ..operators import kmeans as KM
+from ..operators import linear as LN
 from ..operators import metrics as M
 from ..operators import models as MO
 from ..operators import missing as N
@@ -25,12 +27,12 @@ from ..operators import stats as A
 from ..operators.joins import lookup_join
 from ..presets import REVIEW as R
 from ..sources import generator as G
-from ..session import ensure_checkpoint_dir
 from ..sources import sinks
 from ..sources.reviews_raw import reviews_raw
 from ..sources.tables import read_table
 from . import recipes as E
 from .oracle_sql import (
+    CLEAN_WHERE,
     COLS,
     generator_sql,
     group_fill_select,
@@ -40,6 +42,8 @@ from .oracle_sql import (
     select_with,
     with_reviews,
 )
+from .model_sql import forest_ctes, least_squares_ctes, least_squares_prediction
+from .sweep_sql import sweep_ctes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -254,6 +258,19 @@ def q_i1(spark, d):
     return round_doubles(N.impute_median(raw_n(spark, d), R.age, method="exact"))
 
 
+_MEDIAN_COLS = ["age", "rating", "recommended_ind", "positive_feedback_count"]
+
+
+@register(
+    "i1_approx_median_rank",
+    with_reviews("\nUNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST(count({c}) AS BIGINT) AS n, true AS within FROM raw_n" for c in _MEDIAN_COLS)),
+)
+def q_i1_rank(spark, d):
+    """The sketched median of every numeric column holds a rank within one hundredth of the middle, as counted."""
+    found = N.approx_medians(raw_n(spark, d), _MEDIAN_COLS, rel_err=0.01)
+    return found.select("column", "n", (F.col("rank_error") <= 0.01).alias("within"))
+
+
 @register("i2_impute_constant", with_reviews(select_with("raw_n", title="coalesce(title, 'No Title')")))
 def q_i2(spark, d):
     return N.impute_constant(raw_n(spark, d), R.title, "No Title")
@@ -398,7 +415,32 @@ _K_CTES, _K_BODY = _kde_sql("imputed", "age")
 
 @register("a4_kde_age", with_reviews(_K_BODY, *imputed_ctes(), *_K_CTES))
 def q_a4(spark, d):
-    return round_doubles(A.kde(imputed(spark, d, [R.age]), R.age))
+    return round_doubles(A.kde(imputed(spark, d, [R.age]), R.age, resolution=None))
+
+
+def _kde_binned_sql(source: str, c: str, grid: int = 200, resolution: int = 50, tail: float = 6.0) -> tuple[list[str], str]:
+    last = grid - 1
+    ctes = [
+        f"kv AS (SELECT CAST({c} AS DOUBLE) AS v FROM {source} WHERE {c} IS NOT NULL AND NOT isnan(CAST({c} AS DOUBLE)))",
+        "kst AS (SELECT CAST(count(*) AS DOUBLE) AS n, stddev_samp(v) AS sd, min(v) AS lo, max(v) AS hi FROM kv)",
+        "kbw AS (SELECT *, sd * pow(n, -0.2) AS bw FROM kst)",
+        f"ks AS (SELECT floor((v - lo) / (bw / {resolution})) AS bin, (v - lo) / (bw / {resolution}) - floor((v - lo) / (bw / {resolution})) AS part FROM kv, kbw)",
+        "kb AS (SELECT bin, sum(w) AS w FROM (SELECT bin, 1 - part AS w FROM ks UNION ALL SELECT bin + 1, part FROM ks) GROUP BY bin)",
+        f"kg AS (SELECT CAST(range AS INTEGER) AS point, CASE WHEN range = {last} THEN hi ELSE lo + CAST(range AS DOUBLE) * ((hi - lo) / {float(last)}) END AS x FROM kbw, range({grid}))",
+        f"kd AS (SELECT point, sum(w * exp(-0.5 * ((x - v) / bw) * ((x - v) / bw))) AS s FROM (SELECT lo + bin * (bw / {resolution}) AS v, w, bw FROM kb, kbw), kg WHERE abs(x - v) <= {tail} * bw GROUP BY point)",
+    ]
+    body = "SELECT point, round(x, 4) AS x, round(coalesce(s, 0) / (n * bw * sqrt(2.0 * pi())) * {scale}, 4) AS density FROM kg LEFT JOIN kd USING (point), kbw"
+    return ctes, body
+
+
+_KC_CTES, _KC_BODY = _kde_binned_sql("lineitem", "l_extendedprice")
+
+
+@register("a4_kde_extended_price", "WITH " + ",\n".join(_KC_CTES) + "\n" + _KC_BODY.format(scale="100000"))
+def q_a4_price(spark, d):
+    """The density of a continuous column (binned, the default), in units of one in 100,000."""
+    out = A.kde(read_table(spark, d, "lineitem"), "l_extendedprice")
+    return round_doubles(out.withColumn("density", F.col("density") * 100_000))
 
 
 def _value_counts_sql(source: str, c: str) -> str:
@@ -509,12 +551,53 @@ def q_s4(spark, d):
     return A.preview(cleaned(spark, d), 10)
 
 
+@register(
+    "s2_frame_with_declared_schema",
+    with_reviews(
+        "SELECT " + ", ".join(f'{c} AS "{f.name}"' for c, f in zip(COLS, G.REVIEW_SCHEMA.fields)) + " FROM raw_n ORDER BY " + ", ".join(f"{c} ASC NULLS FIRST" for c in COLS) + " LIMIT 10"
+    ),
+)
+def q_s2(spark, d):
+    """The first ten reviews as plain rows, made a frame of the declared schema."""
+    return G.reviews_frame(spark, [tuple(r) for r in A.preview(raw_n(spark, d), 10).collect()])
+
+
 @register("s3_csv_round_trip", with_reviews("SELECT * FROM cleaned"))
 def q_s3(spark, d):
-    """The cleaned table written as CSV into the shared folder, and read back."""
+    """The cleaned table written as CSV into a folder of its own, and read back."""
     rows = cleaned(spark, d)
-    path = f"{ensure_checkpoint_dir(spark)}/reviews-csv-{spark.sparkContext.applicationId}"
-    return sinks.read_csv(spark, sinks.write_csv(rows, path), rows.schema)
+    return sinks.read_csv(spark, sinks.write_csv(rows), rows.schema)
+
+
+_AWKWARD_SQL = """CASE positive_feedback_count % 13 WHEN 0 THEN replace(title, ' ', chr(10)) WHEN 1 THEN replace(title, ' ', chr(34))
+  WHEN 2 THEN '  ' || title || chr(9) WHEN 3 THEN '' WHEN 4 THEN NULL WHEN 5 THEN chr(92) || 'N' WHEN 6 THEN chr(92) || title || chr(92)
+  WHEN 7 THEN replace(title, ' ', ',') WHEN 8 THEN chr(13) || chr(10) || title || chr(13) WHEN 9 THEN chr(34) || chr(34)
+  WHEN 10 THEN '#' || title || chr(39) || 'é' || chr(34) WHEN 11 THEN 'null' WHEN 12 THEN title || chr(34) || ',' || chr(10) || chr(92) || chr(34) END"""
+
+
+@register("s3_csv_awkward_text", with_reviews(f"SELECT age, rating, title, positive_feedback_count, {_AWKWARD_SQL} AS awkward FROM raw_n"))
+def q_s3_awkward(spark, d):
+    """Line ends, quotes, delimiters, padding, backslashes, the null mark itself, empty and null texts: read back as written."""
+    text = F.col("title")
+    forms = [
+        F.replace(text, F.lit(" "), F.lit("\n")),
+        F.replace(text, F.lit(" "), F.lit('"')),
+        F.concat(F.lit("  "), text, F.lit("\t")),
+        F.lit(""),
+        F.lit(None).cast("string"),
+        F.lit("\\N"),
+        F.concat(F.lit("\\"), text, F.lit("\\")),
+        F.replace(text, F.lit(" "), F.lit(",")),
+        F.concat(F.lit("\r\n"), text, F.lit("\r")),
+        F.lit('""'),
+        F.concat(F.lit("#"), text, F.lit("'é\"")),
+        F.lit("null"),
+        F.concat(text, F.lit('",\n\\"')),
+    ]
+    rest = F.col("positive_feedback_count") % len(forms)
+    awkward = F.coalesce(*[F.when(rest == i, form) for i, form in enumerate(forms)])
+    rows = raw_n(spark, d).select("age", "rating", "title", "positive_feedback_count", awkward.alias("awkward"))
+    return sinks.read_csv(spark, sinks.write_csv(rows, rows_per_file=50_000), rows.schema)
 
 
 @register(
@@ -913,23 +996,58 @@ def q_m16_one(spark, d):
     return MO.sample_predictions(pred, 10, ML_COLS, [R.recommended, "prediction", "probability_text"])
 
 
-# Other fitted models: SQL cannot state these, so the driver checks row counts only.
+# The regression that the recipe fits: three numbers and three one-hot columns, collinear among themselves.
+
+
+_LS_CTES = (*imputed_ctes(), ML_CTE, SPLIT_CTE, *least_squares_ctes("(SELECT * FROM mls WHERE split = 'train')", REG_NUMS, CATS, "rating"))
+_LS_TEST = f"lst AS (SELECT t.*, {least_squares_prediction('t', REG_NUMS, CATS)} AS prediction FROM mls t WHERE t.split = 'test')"
+
+
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@register(
+    "m6_gram_entries",
+    _recursive(with_reviews("SELECT CAST(i - 1 AS INTEGER) AS i, CAST(j - 1 AS INTEGER) AS j, round(s, 4) AS total FROM rgram WHERE i <= j AND s <> 0", *_LS_CTES)),
+)
+def q_m6_gram(spark, d):
+    """Sums of products of intercept, features and label over the training rows, where not zero."""
+    train, _ = split_frames(spark, d)
+    points = FE.weighted_distinct(train, [*REG_NUMS, *CATS, R.rating])
+    prepared = FE.fit_weighted_preparation(points, REG_NUMS, CATS).transform(points)
+    return round_doubles(LN.gram(prepared, R.rating, weight="weight").filter("total <> 0"))
 
 
-@register("m6_linear_regression_predictions")
+@register(
+    "m6_linear_regression_predictions",
+    _recursive(with_reviews(f"SELECT {', '.join(c if c != 'age' else 'round(age, 4) AS age' for c in ML_COLS)}, round(prediction, 4) AS prediction, round(rating - prediction, 4) AS error FROM lst", *_LS_CTES, _LS_TEST)),
+)
 def q_m6(spark, d):
     train, test = split_frames(spark, d)
     res = MO.fit_regression(train, test, REG_NUMS, CATS, label=R.rating)
     return round_doubles(M.with_residual(res.predictions.select(*ML_COLS, "prediction"), R.rating, "prediction"))
 
 
-@register("m7_regression_coefficients")
+_LS_COEF = "SELECT CAST(slot - 2 AS INTEGER) AS slot, name AS feature, round(b, 4) AS coefficient FROM rbeta UNION ALL SELECT -1, 'intercept', round(b, 4) FROM ricpt"
+
+
+@register("m7_regression_coefficients", _recursive(with_reviews(_LS_COEF, *_LS_CTES)))
 def q_m7(spark, d):
     train, test = split_frames(spark, d)
     return round_doubles(MO.coefficients(MO.fit_regression(train, test, REG_NUMS, CATS, label=R.rating)))
 
 
-@register("m8_regression_metrics_linear_model")
+_LS_METRICS = _recursive(
+    with_reviews(
+        "SELECT CAST(count(*) AS BIGINT) AS n, round(sqrt(avg((rating - prediction) * (rating - prediction))), 4) AS rmse, round(avg(abs(rating - prediction)), 4) AS mae, "
+        "round(1 - sum((rating - prediction) * (rating - prediction)) / (var_samp(CAST(rating AS DOUBLE)) * (count(*) - 1)), 4) AS r2 FROM lst",
+        *_LS_CTES, _LS_TEST,
+    )
+)
+
+
+@register("m8_regression_metrics_linear_model", _LS_METRICS)
 def q_m8_lr(spark, d):
     train, test = split_frames(spark, d)
     return round_doubles(MO.fit_regression(train, test, REG_NUMS, CATS, label=R.rating).metrics)
@@ -940,6 +1058,46 @@ def q_m9(spark, d):
     return round_doubles(MO.kmeans_sweep(ml_frame(spark, d), CLU_NUMS, CATS, ks=(2, 3, 4, 5), seed=42).table)
 
 
+_STEPS = 3
+_SWEEP_CTES = (*imputed_ctes(), ML_CTE, *sweep_ctes("ml", CLU_NUMS, CATS, (2, 3, 4, 5), _STEPS, doubles=("age",)))
+
+
+@register(
+    "m9_sweep_three_iterations",
+    with_reviews(
+        "SELECT CAST(a.k AS INTEGER) AS k, CAST(a.c AS INTEGER) AS cluster, CAST(sum(p.w) AS BIGINT) AS size, round(any_value(t.cost), 4) AS wssse "
+        f"FROM asg{_STEPS} a JOIN pts p USING (key) JOIN (SELECT k, sum(w * dist) AS cost FROM asg{_STEPS} JOIN pts USING (key) GROUP BY k) t ON t.k = a.k GROUP BY a.k, a.c",
+        *_SWEEP_CTES,
+    ),
+)
+def q_m9_three(spark, d):
+    """The sweep table after three iterations from the hash-drawn start: cost and size of every cluster of k = 2..5."""
+    table = MO.kmeans_sweep(ml_frame(spark, d), CLU_NUMS, CATS, ks=(2, 3, 4, 5), seed=42, iterations=_STEPS, tol=0.0).table
+    return round_doubles(table.select("k", F.posexplode("sizes").alias("cluster", "size"), "wssse"))
+
+
+_ELBOW_CTES = (
+    "costs AS (SELECT class_name, k, CAST(count(*) FILTER (rating >= k) AS DOUBLE) AS wssse FROM cleaned, (SELECT unnest(range(1, 6)) AS k) GROUP BY class_name, k)",
+    "drops AS (SELECT class_name, k, (lag(wssse) OVER c - wssse) / greatest(lag(wssse) OVER c, 1e-12) AS fall FROM costs WINDOW c AS (PARTITION BY class_name ORDER BY k))",
+    "gains AS (SELECT class_name, k, fall - lead(fall) OVER (PARTITION BY class_name ORDER BY k) AS gain FROM drops)",
+)
+
+
+@register(
+    "m10_elbow",
+    with_reviews(
+        "SELECT class_name, CAST(coalesce((SELECT g.k FROM gains g WHERE g.class_name = c.class_name AND g.gain IS NOT NULL ORDER BY gain DESC, k LIMIT 1), max(k)) AS INTEGER) AS k "
+        "FROM costs c GROUP BY class_name",
+        *_ELBOW_CTES,
+    ),
+)
+def q_m10_elbow(spark, d):
+    """The elbow of one falling curve per class: its reviews rated k or better."""
+    curves = cleaned(spark, d).groupBy("class_name").agg(*[F.count_if(F.col("rating") >= k).cast("double").alias(str(k)) for k in range(1, 6)])
+    costs = curves.unpivot("class_name", [str(k) for k in range(1, 6)], "k", "wssse").withColumn("k", F.col("k").cast("int"))
+    return KM.elbow(costs, ["class_name"])
+
+
 def _k3(spark, d):
     return MO.kmeans_sweep(ml_frame(spark, d), CLU_NUMS, CATS, ks=(3,), seed=42)
 
@@ -959,9 +1117,59 @@ def q_m11_div(spark, d):
     return MO.cluster_by_group(MO.assign_points(_k3(spark, d), 3), R.division, 3, weight="weight")
 
 
+# A forest that SQL can state: two trees of depth two, every part of the ten-tree one below.
+
+
+_FOREST_CTES = (
+    *imputed_ctes(), ML_CTE, SPLIT_CTE,
+    *forest_ctes("(SELECT * FROM mls WHERE split = 'train')", "mls WHERE split = 'test'", CLS_NUMS, CATS, "recommended_ind", 2, 2, doubles=("age",)),
+    "fsplit AS (SELECT *, 0 AS lvl FROM fbest0 UNION ALL SELECT *, 1 FROM fbest1)",
+    "fimp AS (SELECT name, sum(g / w) / (SELECT count(DISTINCT t) FROM fsplit) AS importance FROM (SELECT t, slot, sum(gain * n) AS g FROM fsplit GROUP BY t, slot) "
+    "JOIN (SELECT t, sum(gain * n) AS w FROM fsplit GROUP BY t) USING (t) JOIN fname USING (slot) GROUP BY name)",
+)
+
+
+def _two_trees(spark, d):
+    train, test = split_frames(spark, d)
+    return MO.fit_classifier(train, test, CLS_NUMS, CATS, label=R.recommended, num_trees=2, max_depth=2, seed=42)
+
+
+@register(
+    "m13_two_trees_predictions",
+    with_reviews(f"SELECT {', '.join(c if c != 'age' else 'round(age, 4) AS age' for c in ML_COLS)}, prediction, round(p1, 4) AS p1 FROM fpred", *_FOREST_CTES),
+)
+def q_m13_two(spark, d):
+    pred = _two_trees(spark, d).predictions
+    return round_doubles(pred.select(*ML_COLS, "prediction", vector_to_array("probability")[1].alias("p1")))
+
+
+@register(
+    "m14_two_trees_splits",
+    with_reviews(
+        "SELECT CAST(t AS INTEGER) AS tree, CAST(node AS INTEGER) AS node, name AS feature, round(v, 4) AS threshold, round(gain, 4) AS gain, round(n, 4) AS n_rows FROM fsplit JOIN fname USING (slot)",
+        *_FOREST_CTES,
+    ),
+)
+def q_m14_splits(spark, d):
+    """Every split with its gain: what importances are made of."""
+    return round_doubles(_two_trees(spark, d).splits.drop("slot"))
+
+
+@register(
+    "m14_two_trees_importance",
+    with_reviews(
+        "SELECT CASE WHEN position('_vec_' IN name) > 0 THEN left(name, position('_vec_' IN name) - 1) ELSE name END AS feature, "
+        "round(sum(coalesce(importance, 0)), 4) AS importance FROM fname LEFT JOIN fimp USING (name) GROUP BY 1 ORDER BY 2 DESC, 1",
+        *_FOREST_CTES,
+    ),
+)
+def q_m14_two(spark, d):
+    """Importance by source column, largest first."""
+    return round_doubles(MO.feature_importance(_two_trees(spark, d), CLS_NUMS + [c + FE.VEC for c in CATS]))
+
+
 def _forest(spark, d):
     train, test = split_frames(spark, d)
-    train = FE.stable_layout(train, 8, 42)  # a seed alone does not repeat a forest
     return MO.fit_classifier(train, test, CLS_NUMS, CATS, label=R.recommended, num_trees=10, seed=42)
 
 
@@ -1126,11 +1334,65 @@ def q_e1_report(spark, d):
     return E.prepare(reviews_raw(spark, d), median_method="exact").clean_report
 
 
+def _generated(body: str, *ctes: str) -> str:
+    """``body`` over the generated reviews of the line items, cleaned and imputed."""
+    gen = generator_sql("concat(CAST(l_orderkey AS VARCHAR), '-', CAST(l_linenumber AS VARCHAR))", "lineitem")
+    names = ", ".join(f'"{f.name}" AS {f.name.lower()}' for f in G.REVIEW_SCHEMA.fields)
+    parts = [f"gen AS ({gen})", f"raw_n AS (SELECT {names} FROM gen)", "deduped AS (SELECT DISTINCT * FROM raw_n)", f"cleaned AS (SELECT * FROM deduped WHERE {CLEAN_WHERE})", *imputed_ctes(), *ctes]
+    return "WITH " + ",\n".join(parts) + "\n" + body
+
+
+_E1_GENERATED = _generated(select_with("imputed", age="round(age, 4)"))
+
+
+def _prepared_from_generator(spark, d, method):
+    gen = G.synthesize_reviews(lineitem_review_keys(spark, d), "review_id", seed=42, keep_id=False)
+    return round_doubles(E.prepare(gen, median_method=method).data)
+
+
+@register("e1_generate_clean_impute", _E1_GENERATED)
+def q_e1_generated(spark, d):
+    """The first path of all: generate, clean, impute, with the recipe's own (sketched) median."""
+    return _prepared_from_generator(spark, d, "approx")
+
+
+@register("e1_generate_clean_impute_exact", _E1_GENERATED)
+def q_e1_generated_exact(spark, d):
+    return _prepared_from_generator(spark, d, "exact")
+
+
 @register("e2_rating_vs_recommended", _A7_SQL)
 def q_e2(spark, d):
     return E.explore(cleaned(spark, d))["rating_vs_recommended"]
 
 
+_KI_CTES, _KI_BODY = _kde_binned_sql("imputed", "age")
+#: The other nine tables of the bundle, each as SQL states it over the imputed reviews.
+_EXPLORED = {
+    "summary": (_summary_sql("imputed"), ()),
+    "age_histogram": (_H_BODY, _H_CTES),
+    "age_kde": (_KI_BODY.format(scale="1"), _KI_CTES),
+    "rating_counts": (_value_counts_sql("imputed", "rating"), ()),
+    "division_counts": (_value_counts_sql("imputed", "division_name"), ()),
+    "department_counts": (_value_counts_sql("imputed", "department_name"), ()),
+    "class_counts": (_value_counts_sql("imputed", "class_name"), ()),
+    "rating_by_division": (_B8_BODY, _B8_CTES),
+    "feedback_by_rating": (_B9_BODY, _B9_CTES),
+}
+
+
+def _register_explored(table: str) -> None:
+    body, ctes = _EXPLORED[table]
+
+    @register(f"e2_{table}", with_reviews(body, *imputed_ctes(), *ctes))
+    def q_e2_table(spark, d):
+        return round_doubles(E.explore(imputed(spark, d))[table])
+
+
+for _table in _EXPLORED:
+    _register_explored(_table)
+
+
 @register(
     "e3_split_sizes",
     with_reviews("SELECT split, count(*) AS n_rows, CAST(sum(rating) AS BIGINT) AS rating_sum FROM mls GROUP BY split", *imputed_ctes(), ML_CTE, SPLIT_CTE),
@@ -1153,6 +1415,69 @@ def q_e4(spark, d):
     return table.select(R.division, sum((F.col(f"`{c}`") for c in clusters), F.lit(0)).cast("bigint").alias("n_rows"))
 
 
+@register(
+    "e4_profile",
+    with_reviews(
+        "SELECT CAST(a.c AS INTEGER) AS cluster, CAST(sum(p.w) AS BIGINT) AS size, "
+        + ", ".join(f"round(sum(p.w * CAST(p.{c} AS DOUBLE)) / sum(p.w), 4) AS avg_{c}" for c in CLU_NUMS)
+        + f" FROM asg{_STEPS} a JOIN pts p USING (key) WHERE a.k = 3 GROUP BY a.c",
+        *_SWEEP_CTES,
+    ),
+)
+def q_e4_profile(spark, d):
+    """The segmentation recipe's clusters (k = 3 after three iterations) by size and means."""
+    return round_doubles(E.run_segmentation(imputed(spark, d, ML_COLS), iterations=_STEPS, tol=0.0)["profile"])
+
+
+@register(
+    "e4_division_by_cluster",
+    with_reviews(
+        "SELECT p.division_name, " + ", ".join(f'CAST(coalesce(sum(p.w) FILTER (a.c = {i}), 0) AS BIGINT) AS "{i}"' for i in range(3))
+        + f" FROM asg{_STEPS} a JOIN pts p USING (key) WHERE a.k = 3 GROUP BY p.division_name",
+        *_SWEEP_CTES,
+    ),
+)
+def q_e4_division(spark, d):
+    """The recipe's division x cluster table, cell by cell."""
+    return E.run_segmentation(imputed(spark, d, ML_COLS), iterations=_STEPS, tol=0.0)["division_by_cluster"]
+
+
+@register("e3_metrics", _LS_METRICS)
+def q_e3_metrics(spark, d):
+    """The regression recipe's metrics."""
+    return round_doubles(E.run_regression(imputed(spark, d))["metrics"])
+
+
+@register("e3_coefficients", _recursive(with_reviews(_LS_COEF, *_LS_CTES)))
+def q_e3_coefficients(spark, d):
+    return round_doubles(E.run_regression(imputed(spark, d))["coefficients"])
+
+
+@register(
+    "e5_confusion",
+    with_reviews(
+        "SELECT recommended_ind, CAST(count(*) FILTER (prediction = 0) AS BIGINT) AS pred_0, CAST(count(*) FILTER (prediction = 1) AS BIGINT) AS pred_1 FROM fpred GROUP BY recommended_ind",
+        *_FOREST_CTES,
+    ),
+)
+def q_e5_cells(spark, d):
+    """The classification recipe's confusion matrix, cell by cell (two trees of depth two)."""
+    table = E.run_classification(imputed(spark, d), num_trees=2, max_depth=2)["confusion"]
+    return table.select(R.recommended, *[(F.col(c) if c in table.columns else F.lit(0).cast("bigint")).alias(c) for c in ("pred_0", "pred_1")])
+
+
+@register(
+    "e5_probability_sample",
+    with_reviews(
+        "SELECT recommended_ind, prediction, '[' || printf('%.6f', p0) || ', ' || printf('%.6f', p1) || ']' AS probability_text FROM fpred ORDER BY "
+        + ", ".join(f"{c} ASC NULLS FIRST" for c in ML_COLS) + " LIMIT 10",
+        *_FOREST_CTES,
+    ),
+)
+def q_e5_sample(spark, d):
+    return E.run_classification(imputed(spark, d), num_trees=2, max_depth=2)["sample"]
+
+
 @register(
     "e5_confusion_totals",
     with_reviews(
