@@ -1021,12 +1021,13 @@ def q_m6_gram(spark, d):
 
 @register(
     "m6_linear_regression_predictions",
-    _recursive(with_reviews(f"SELECT {', '.join(c if c != 'age' else 'round(age, 4) AS age' for c in ML_COLS)}, round(prediction, 4) AS prediction, round(rating - prediction, 4) AS error FROM lst", *_LS_CTES, _LS_TEST)),
+    _recursive(with_reviews(f"SELECT {', '.join(c if c != 'age' else 'round(age, 4) AS age' for c in ML_COLS)}, round(prediction, 4) AS prediction, round(rating - prediction, 4) + 0.0 AS error FROM lst", *_LS_CTES, _LS_TEST)),
 )
 def q_m6(spark, d):
     train, test = split_frames(spark, d)
     res = MO.fit_regression(train, test, REG_NUMS, CATS, label=R.rating)
-    return round_doubles(M.with_residual(res.predictions.select(*ML_COLS, "prediction"), R.rating, "prediction"))
+    out = round_doubles(M.with_residual(res.predictions.select(*ML_COLS, "prediction"), R.rating, "prediction"))
+    return out.withColumn("error", F.col("error") + F.lit(0.0))  # no negative zero
 
 
 _LS_COEF = "SELECT CAST(slot - 2 AS INTEGER) AS slot, name AS feature, round(b, 4) AS coefficient FROM rbeta UNION ALL SELECT -1, 'intercept', round(b, 4) FROM ricpt"
