@@ -43,7 +43,7 @@ def test_histogram_counts_sum_to_n(spark, xs):
 def test_kde_matches_direct_sum_and_integrates(spark):
     xs = [1.0, 2.0, 2.0, 3.0, 7.0, 7.5, 8.0]
     df = spark.createDataFrame([(x,) for x in xs], "v double")
-    out = sorted(A.kde(df, "v", grid=50, cut=3).collect(), key=lambda r: r.point)
+    out = sorted(A.kde(df, "v", grid=50, cut=3, resolution=None).collect(), key=lambda r: r.point)
     a = np.array(xs)
     bw = a.std(ddof=1) * len(a) ** (-0.2)
     grid = np.linspace(a.min() - 3 * bw, a.max() + 3 * bw, 50)
