@@ -285,6 +285,15 @@ def _pass(block, window: int, shard_words: int):
     return run
 
 
+def _chained(first, second):
+    """Two functions of batches as one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return second(first(batches))
+
+    return run
+
+
 def _pieces(items: DataFrame, window: int) -> DataFrame:
     """``i, t`` with long items in overlapping pieces."""
 
@@ -303,12 +312,15 @@ def _pieces(items: DataFrame, window: int) -> DataFrame:
 
 def find(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = 1_000_000, block_bytes: int = 8 << 20,
-    id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", finish=None,
 ) -> DataFrame:
     """``__id, __text, __row, n_words, begins, ends, items`` of every row.
 
     ``begins`` and ``ends`` are spans of word numbers; with more than one block of
     items they may overlap.  ``items`` are the item ids found, as strings.
+
+    ``finish`` gets the schema of these rows and returns a function of their batches with the schema of its own; it
+    runs behind the last block in the same Python worker, so a task has one worker, not one for each step.
     """
     spark = docs.sparkSession
     asked = _pieces(benchmark.select(col(item_col).alias("i"), col(item_text).alias("t")).filter("t is not null"), window)
@@ -323,7 +335,11 @@ def find(
     for b in range(blocks):
         part = asked.filter(F.col("b") == b) if blocks > 1 else asked
         sent = spark.sparkContext.broadcast([(r["i"], bytes(r["t"])) for r in part.toLocalIterator()])
-        rows = rows.mapInArrow(_pass(sent, window, shard_words), schema)
+        step, out = _pass(sent, window, shard_words), schema
+        if finish and b == blocks - 1:
+            last, out = finish(schema)
+            step = _chained(step, last)
+        rows = rows.mapInArrow(step, out)
         if blocks > 1:
             rows = written(rows, "decontam-found")
             sent.unpersist()
@@ -362,12 +378,11 @@ def remove(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
     A span goes from the first byte of its first word to the last byte of its last
     word; clean texts are untouched, null stays null.
     """
-    found = find(docs, benchmark, id_col=id_col, text_col=text_col, **options)
 
     def run(batches):
         for b in batches:
-            texts = binary(b.column(0))
-            for i, (begin, end) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist())):
+            texts = binary(b.column("__text"))
+            for i, (begin, end) in enumerate(zip(b.column("begins").to_pylist(), b.column("ends").to_pylist())):
                 if begin:
                     at = [m.span() for m in WORD.finditer(texts[i])]
                     left, last = [], 0
@@ -375,8 +390,10 @@ def remove(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
                         left.append(texts[i][last : at[s][0]])
                         last = at[e - 1][1]
                     texts[i] = b"".join([*left, texts[i][last:]])
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()).cast(pa.string()), b.column(3)], names=["__text", "__row"])
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()).cast(pa.string()), b.column("__row")], names=["__text", "__row"])
+
+    def finish(found):
+        return run, T.StructType().add("__text", "string").add(found["__row"])
 
-    schema = T.StructType().add("__text", "string").add(found.schema["__row"])
-    out = found.select("__text", "begins", "ends", "__row").mapInArrow(run, schema)
+    out = find(docs, benchmark, id_col=id_col, text_col=text_col, finish=finish, **options)
     return join_row(out, docs.columns, text_col, F.col("__text"))

@@ -204,6 +204,18 @@ def test_decontamination_against_brute_force(spark):
     assert decontam.report(decontam.find(df, bench.limit(0))).filter("n_hit > 0").count() == 0
 
 
+def test_decontamination_cuts_in_the_worker_that_searches(spark):
+    bench = spark.createDataFrame([(1, "one two three"), (2, "four five six"), (3, "é seven")], "item_id bigint, text string")
+    rows = [(1, "a One, two THREE b four five six c", "en", "a", 9), (2, "clean", "en", "a", 5), (3, None, None, None, None), (4, "x é-seven", "en", "b", 1)]
+    df = docs(spark, rows)
+    out = decontam.remove(df, bench)
+    # Two Python steps in one stage would need two workers for each running task.
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    for got in (out, decontam.remove(df, bench, block_bytes=16, shard_words=2)):
+        assert {r["doc_id"]: r["text"] for r in got.collect()} == {1: "a  b  c", 2: "clean", 3: None, 4: "x "}
+        assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in df.schema]
+
+
 # -- mixing -------------------------------------------------------------------
 
 
