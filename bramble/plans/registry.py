@@ -238,23 +238,30 @@ def q_n1_clean(spark, d):
 _held: list[DataFrame] = []
 
 
+def held(df: DataFrame) -> DataFrame:
+    """``df`` persisted, for a query whose statistics and result read it, so duplicates are removed in one shuffle.
+
+    What the query before this one held is released here (a result still in use recomputes its blocks).
+    """
+    while _held:
+        _held.pop().unpersist()
+    _held.append(df.persist())
+    return _held[-1]
+
+
 def imputed(spark: SparkSession, sf_dir: str, cols: Sequence[str] = tuple(COLS), median_method: str = "exact") -> DataFrame:
     """``cols`` of the cleaned reviews after the reference's imputation plan (exact median by default).
 
     Only ``cols``, and what their fills read, are kept behind the duplicate removal.  They
-    feed every fill statistic and then the result, so they are persisted; what the query
-    before this one held is released here (a result still in use recomputes its blocks).
+    feed every fill statistic and then the result, so they are held (:func:`held`).
     """
-    while _held:
-        _held.pop().unpersist()
     need = set(cols)
     steps = []
     for step in reversed(N.review_plan(median_method=median_method)):
         if step.column in need:
             need |= set(step.by)
             steps.insert(0, step)
-    base = cleaned(spark, sf_dir).select(*[c for c in COLS if c in need]).persist()
-    _held.append(base)
+    base = held(cleaned(spark, sf_dir).select(*[c for c in COLS if c in need]))
     return N.impute(base, steps).imputed.select(*cols)
 
 
@@ -302,7 +309,7 @@ def q_i3_rating(spark, d):
     with_reviews(select_with("cleaned", division_name=f"coalesce(division_name, {mode_sql('cleaned', 'division_name')})")),
 )
 def q_i3_division(spark, d):
-    return N.impute_mode(cleaned(spark, d), R.division)
+    return N.impute_mode(held(cleaned(spark, d)), R.division)
 
 
 @register(

@@ -126,3 +126,14 @@ def test_group_then_global_mode_equals_one_by_one(spark):
     assert got == sorted(map(tuple, one.collect()), key=repr)
     # after the group fill: x = 2 + 3 nulls of A = 5, y = 3 + 1 = 4, so C's and the null group's rows get x
     assert ("C", "x") in got and (None, "x") in got
+
+
+@pytest.mark.parametrize("name,plain", [("i3_impute_mode_division", lambda df: N.impute_mode(df, "division_name"))])
+def test_fills_read_the_cleaned_rows_once(spark, sf_small, name, plain):
+    """The statistic and the filled rows come from one duplicate removal, held between them."""
+    from bramble.plans import registry
+
+    out = registry.QUERIES[name](spark, sf_small)
+    assert "InMemoryTableScan" in out._jdf.queryExecution().executedPlan().toString()
+    want = plain(registry.cleaned(spark, sf_small))
+    assert out.count() == want.count() and out.exceptAll(want).count() == 0
