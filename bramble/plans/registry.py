@@ -320,7 +320,7 @@ def q_i3_division(spark, d):
     ),
 )
 def q_i4(spark, d):
-    return N.impute_group_mode(cleaned(spark, d), R.department, R.division)
+    return N.impute_group_mode(held(cleaned(spark, d)), R.department, R.division)
 
 
 @register("i5_impute_recipe", with_reviews(select_with("imputed", age=_AGE_R), *imputed_ctes()))

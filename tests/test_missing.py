@@ -128,7 +128,7 @@ def test_group_then_global_mode_equals_one_by_one(spark):
     assert ("C", "x") in got and (None, "x") in got
 
 
-@pytest.mark.parametrize("name,plain", [("i3_impute_mode_division", lambda df: N.impute_mode(df, "division_name"))])
+@pytest.mark.parametrize("name,plain", [("i3_impute_mode_division", lambda df: N.impute_mode(df, "division_name")), ("i4_impute_group_mode", lambda df: N.impute_group_mode(df, "department_name", "division_name"))])
 def test_fills_read_the_cleaned_rows_once(spark, sf_small, name, plain):
     """The statistic and the filled rows come from one duplicate removal, held between them."""
     from bramble.plans import registry
