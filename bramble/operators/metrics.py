@@ -82,11 +82,14 @@ def classification_metrics(df: DataFrame, y: str, yhat: str, weight: str | None
     pairs = df.groupBy(F.col(y).cast("double").alias("a"), F.col(yhat).cast("double").alias("p")).agg(
         F.sum(F.col(weight) if weight else F.lit(1)).alias("c")
     )
-    actual = pairs.groupBy(F.col("a").alias("label")).agg(
-        F.sum("c").alias("n_actual"), F.sum(F.when(F.col("a") == F.col("p"), F.col("c")).otherwise(0)).alias("tp")
-    )
-    predicted = pairs.groupBy(F.col("p").alias("label")).agg(F.sum("c").alias("n_pred"))
-    per = actual.join(predicted, "label", "left").fillna(0, subset=["n_pred"])
+    # Both sides of a pair are counted in one pass: read twice, the pairs would be scored twice.
+    own = F.struct(F.col("a").alias("label"), F.lit(True).alias("is_actual"), F.col("c").alias("n"), F.when(F.col("a") == F.col("p"), F.col("c")).alias("hit"))
+    other = F.struct(F.col("p").alias("label"), F.lit(False).alias("is_actual"), F.col("c").alias("n"), F.lit(None).cast(pairs.schema["c"].dataType).alias("hit"))
+    per = pairs.select(F.explode(F.array(own, other)).alias("s")).groupBy(F.col("s.label").alias("label")).agg(
+        F.sum(F.when(F.col("s.is_actual"), F.col("s.n"))).alias("n_actual"),
+        F.coalesce(F.sum("s.hit"), F.lit(0)).alias("tp"),
+        F.coalesce(F.sum(F.when(~F.col("s.is_actual"), F.col("s.n"))), F.lit(0)).alias("n_pred"),
+    ).filter("n_actual is not null")
     prec = F.when(F.col("n_pred") > 0, F.col("tp") / F.col("n_pred")).otherwise(0.0)
     rec = F.col("tp") / F.col("n_actual")
     f1 = F.when(prec + rec > 0, 2.0 * prec * rec / (prec + rec)).otherwise(0.0)

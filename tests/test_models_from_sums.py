@@ -164,3 +164,18 @@ def test_prediction_columns_keep_the_others(spark):
     prep = FE.fit_weighted_preparation(df.withColumn("weight", F.lit(1.0)), ["p"], ["c"])
     out = prep.transform(df).withColumn("prediction", KM.nearest(np.zeros((1, 5))))
     assert out.count() == 20 and {r.prediction for r in out.collect()} == {0} and set(df.columns) <= set(out.columns)
+
+
+def test_forest_metrics_score_the_test_rows_once(spark):
+    rows = [(float(i % 7), ["a", "b", None][i % 3], i % 2 if i % 5 else 1) for i in range(300)]
+    df = spark.createDataFrame(rows, "x double, g string, y int")
+    train, test = df.filter("x < 6"), df.filter("x > 2").unionByName(df.limit(3))
+    res = MO.fit_classifier(train, test, ["x"], ["g"], "y", num_trees=3, max_depth=2)
+    plan = res.metrics._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1  # not once for the actual and once for the predicted labels
+    got = res.predictions.select("y", "prediction").collect()
+    per = [(sum(r.y == k == r.prediction for r in got), sum(r.y == k for r in got), sum(r.prediction == k for r in got)) for k in (0, 1)]
+    f1 = sum((2 * tp / (n + m) if tp else 0.0) * n for tp, n, m in per) / len(got)
+    m = res.metrics.collect()
+    assert len(m) == 1 and m[0].n == len(got)
+    assert m[0].accuracy == pytest.approx(sum(t[0] for t in per) / len(got)) and m[0].f1 == pytest.approx(f1)
