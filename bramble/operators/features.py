@@ -9,6 +9,8 @@ returns to the driver is bounded by the number of distinct labels (the model).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
@@ -48,6 +50,13 @@ def feature_pipeline(nums: Sequence[str], cats: Sequence[str], out: str = "featu
     return Pipeline(stages=[index_strings(cats), one_hot(cats), assemble(nums, cats, out)])
 
 
+def _six_decimals(x: Column) -> Column:
+    """``%.6f`` of a double; a whole number, not zero (which has a sign), is written without the slow formatter."""
+    whole = x.try_cast("bigint")
+    plain = (x != 0) & (F.abs(x) < 1e15) & (whole.cast("double") == x)
+    return F.when(plain, F.concat(whole.cast("string"), F.lit(".000000"))).otherwise(F.format_string("%.6f", x))
+
+
 def row_text(df: DataFrame, cols: Sequence[str] | None = None, sep: str = "|", null: str = "~") -> Column:
     """A fixed text form of a row: values joined by ``sep``, nulls as ``null``.
 
@@ -59,7 +68,7 @@ def row_text(df: DataFrame, cols: Sequence[str] | None = None, sep: str = "|", n
         dt = df.schema[c].dataType
         x = F.col(c)
         if isinstance(dt, (T.DoubleType, T.FloatType)):
-            txt = F.format_string("%.6f", x.cast("double"))
+            txt = _six_decimals(x.cast("double"))
         else:
             txt = x.cast("string")
         parts.append(F.coalesce(txt, F.lit(null)))
@@ -90,7 +99,9 @@ def hash_split(
     b = hash_bucket(df, seed, cols)
     out, lo = [], 0
     for hi in edges:
-        out.append(df.filter((b >= lo) & (b < hi)))
+        # A filter hashes the row once per bound: the bounds that every bucket keeps are left out.
+        bounds = [b >= lo] * (lo > 0) + [b < hi] * (hi < 1000)
+        out.append(df.filter(reduce(and_, bounds)) if bounds else df)
         lo = hi
     return out
 

@@ -185,3 +185,18 @@ def test_explore_bundle_consistent(spark, prepared):
     assert sum(r.n for r in eda["rating_by_division"].collect()) == n
     ct = eda["rating_vs_recommended"].collect()
     assert sum(r["0"] + r["1"] for r in ct) == n
+
+
+def test_split_hashes_a_row_once_per_side_and_writes_doubles_as_before(spark):
+    from pyspark.sql import functions as F
+
+    odd = [0.0, -0.0, 3.0, -3.0, 41.5, 0.1234565, -1e-9, 1e15, 123456789012345.0, 1e18, 1e300, float("nan"), float("inf"), float("-inf"), None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(odd)], "i int, x double")
+    same = F.coalesce(F.format_string("%.6f", "x"), F.lit("~"))
+    assert [r.t for r in df.select(FE.row_text(df, ["x"]).alias("t")).collect()] == [r.t for r in df.select(same.alias("t")).collect()]
+    sides = FE.hash_split(df, (0.5, 0.3, 0.2), seed=1)
+    bucket = df.select("i", FE.hash_bucket(df, 1).alias("b")).collect()
+    for side, lo, hi in zip(sides, (0, 500, 800), (500, 800, 1000)):
+        assert {r.i for r in side.collect()} == {r.i for r in bucket if lo <= r.b < hi}
+    for side in FE.hash_split(df, (0.8, 0.2)):
+        assert side._jdf.queryExecution().executedPlan().toString().count("md5(") == 1
